@@ -122,8 +122,8 @@ JOB_LOG_SQL = """
            CASE event_type WHEN 'signup' THEN 'pending' WHEN 'view' THEN 'running'
                 WHEN 'click' THEN 'paused' WHEN 'purchase' THEN 'completed'
                 ELSE CASE WHEN event_id % 101 = 0 THEN 'unknown' ELSE 'failed' END END AS status,
-           CASE user_id % 6 WHEN 0 THEN 0 WHEN 1 THEN 1000 WHEN 2 THEN 2000 WHEN 3 THEN 3000
-                WHEN 4 THEN 5000 END AS total_rows,
+           CAST(CASE user_id % 6 WHEN 0 THEN 0 WHEN 1 THEN 1000 WHEN 2 THEN 2000 WHEN 3 THEN 3000
+                WHEN 4 THEN 5000 END AS BIGINT) AS total_rows,
            event_id % 5000 AS processed_rows, ts AS inserted_at
     FROM events"""
 

@@ -68,10 +68,11 @@ def slot_starts(totals: DataFrame, group: Sequence[str], slots: int, descending:
 
 
 def _number_slots(rows: DataFrame, order: str, amount: Column, group: Sequence[str], slots: int,
-                  descending: bool, name: str) -> DataFrame:
+                  descending: bool, name: str, totals: DataFrame | None = None) -> DataFrame:
     """Rows carrying ``_slot`` → the same rows with the running sum ``name``."""
     columns = [c for c in rows.columns if c != "_slot"]
-    totals = rows.groupBy(*group, "_slot").agg(F.sum(amount).alias("_total"))
+    if totals is None:
+        totals = rows.groupBy(*group, "_slot").agg(F.sum(amount).alias("_total"))
     starts = slot_starts(totals, group, slots, descending)
     inner = _ahead(amount, [*group, "_slot"], order, descending)
     return (
@@ -88,17 +89,26 @@ def _amount(weight: str | None) -> Column:
 
 def running_total(df: DataFrame, order: str, weight: str | None = None, group: Sequence[str] = (),
                   *, descending: bool = False, name: str = "position", span: int | None = None,
-                  bits: int | None = None) -> DataFrame:
+                  bits: int | None = None, counted: DataFrame | None = None) -> DataFrame:
     """Sum of ``weight`` over the rows ahead in the group's order; exact and 0-based.
 
     ``weight=None`` counts rows, which numbers them.  ``order`` must be an integer
     column, unique within the group; neither it nor the group may hold nulls.
+
+    When ``weight`` is a count of rows per ``order`` value, ``counted`` gives those rows:
+    span and slot totals are then taken from them and need no count per value.
     """
-    span = order_span(df, order) if span is None else span
+    base = df if counted is None else counted
+    span = order_span(base, order) if span is None else span
     bits = slot_bits(df, span) if bits is None else bits
     rows = df.withColumn("_slot", _slot(order, bits))
+    totals = None
+    if counted is not None:
+        totals = counted.groupBy(*group, _slot(order, bits).alias("_slot")) \
+            .agg(F.count(F.lit(1)).alias("_total"))
     # One slot more than the span needs: its ends may not fall on slot borders.
-    return _number_slots(rows, order, _amount(weight), group, (span >> bits) + 2, descending, name)
+    return _number_slots(rows, order, _amount(weight), group, (span >> bits) + 2, descending, name,
+                         totals)
 
 
 def running_total_by_range(df: DataFrame, order: str, weight: str | None = None, *,

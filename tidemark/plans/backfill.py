@@ -89,8 +89,8 @@ def plan_pages(df: DataFrame, col: str, n: int = PAGE_ROWS, *, unique: bool = Fa
     if number is None:
         laid = running_total_by_range(runs, "v", "rows", descending=True, name="ahead")
     else:
-        laid = running_total(runs.withColumn("number", number), "number", "rows",
-                             descending=True, name="ahead", bits=bits)
+        laid = running_total(runs.withColumn("number", number), "number", "rows", descending=True,
+                             name="ahead", bits=bits, counted=values.select(number.alias("number")))
     first = F.call_function("div", F.col("ahead"), F.lit(n))
     last = F.call_function("div", F.col("ahead") + F.col("rows") - 1, F.lit(n))
     if unique:
@@ -113,11 +113,13 @@ def plan_pages(df: DataFrame, col: str, n: int = PAGE_ROWS, *, unique: bool = Fa
 
 
 def _windowed(df: DataFrame, key: str, batch: int) -> DataFrame:
-    """Rows with ``window``: 0 holds the ``batch + 1`` greatest ids, and so on down to id 0."""
-    valid = df.filter(F.col(key) >= 0)
+    """Rows with ``window`` and its ``high_id``; window 0 holds the ``batch + 1`` greatest ids."""
     high = df.agg(F.max(key).cast("long")).scalar()
-    return valid.withColumn("window", F.call_function(
-        "div", high - F.col(key).cast("long"), F.lit(batch + 1)))
+    below = high - F.col(key).cast("long")
+    return df.filter(F.col(key) >= 0).withColumns({
+        "window": F.call_function("div", below, F.lit(batch + 1)),
+        "high_id": F.col(key).cast("long") + below % (batch + 1),
+    })
 
 
 def plan_windows(df: DataFrame, key: str, batch: int = WINDOW_IDS) -> DataFrame:
@@ -126,18 +128,16 @@ def plan_windows(df: DataFrame, key: str, batch: int = WINDOW_IDS) -> DataFrame:
     One hash aggregate, no sort.  Negative ids are not copied; id 0 is.  Windows without
     rows are left out, and an empty table has none.
     """
-    high = df.agg(F.max(key).cast("long")).scalar()
-    top = high - F.col("window") * (batch + 1)
     return (
         _windowed(df.select(key), key, batch)
-        .groupBy("window").agg(F.count(F.lit(1)).alias("rows"))
-        .select("window", F.greatest(top - batch, F.lit(0)).alias("low_id"),
-                top.alias("high_id"), "rows")
+        .groupBy("window", "high_id").agg(F.count(F.lit(1)).alias("rows"))
+        .select("window", F.greatest(F.col("high_id") - batch, F.lit(0)).alias("low_id"),
+                "high_id", "rows")
     )
 
 
 def copy_windows(df: DataFrame, key: str, batch: int = WINDOW_IDS,
                  changes: DataFrame | None = None, change_key: str | None = None) -> DataFrame:
     """The rows to copy, each with its window, minus keys the feed has touched."""
-    rows = _windowed(df, key, batch)
+    rows = _windowed(df, key, batch).drop("high_id")
     return rows if changes is None else exclude_live(rows, changes, key, change_key)

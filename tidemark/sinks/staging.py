@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.convert import convert_record, to_json_rows
 from tidemark.operators.conform import conform
+from tidemark.operators.replica import latest_state
 from tidemark.sinks import folders
 
 Schemas = Dict[str, T.StructType]
@@ -144,6 +145,19 @@ def read_replica(spark: SparkSession, replica_dir: str, dest: str, schema: T.Str
     return spark.read.schema(full).parquet(path)
 
 
+def compact(spark: SparkSession, replica_dir: str, fresh_dir: str, dest: str, schema: T.StructType,
+            keys: Iterable[str], ver: str = "ver") -> None:
+    """Rewrite the latest row per key into a fresh replica folder, as one batch.
+
+    Thousands of small batch folders become a few large files.  Tombstones are kept, so
+    that an older version arriving later still loses.
+    """
+    rows = read_replica(spark, replica_dir, dest, schema)
+    latest = latest_state(rows, list(keys), ver=ver, tie="batch_id")
+    last = max(loaded_batches(spark, replica_dir, dest), default=0)
+    write_replica(latest, fresh_dir, dest, last)
+
+
 def split_held(rows: DataFrame, held: Iterable[str], dest: str = "dest_table") -> tuple[DataFrame, DataFrame]:
     """(rows free to load, rows of held destinations)."""
     names = sorted(held)
