@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.progress import percent_done
 from tidemark.operators.batches import assign_batches, load_report, partition_by_table
-from tidemark.operators.numbering import previous_value, running_total, running_total_by_range
+from tidemark.operators.numbering import (positions_by_range, previous_value, running_total,
+                                          running_total_by_range)
 from tidemark.plans.backfill import (catalogue_estimate, copy_windows, fetch_page, max_value, plan_pages,
                                      plan_windows, row_count, start_cursor, unordered_rows)
 
@@ -58,6 +59,9 @@ def test_pages_of_other_types(spark):
     words = [f"w{i % 13:02}" for i in range(50)]
     df = spark.createDataFrame([(w,) for w in words], "v STRING")
     assert collected(plan_pages(df, "v", 6)) == pages_of(words, 6)
+    keyed = df.withColumn("k", F.monotonically_increasing_id())
+    assert collected(plan_pages(keyed, "v", 6, key="k")) == pages_of(words, 6)
+    assert plan_pages(keyed.limit(0), "v", 6, key="k").count() == 0
     days = [dt.date(2024, 1, 1) + dt.timedelta(days=i * i) for i in range(20)]
     df = spark.createDataFrame([(d,) for d in days], "v DATE")
     assert collected(plan_pages(df, "v", 6)) == pages_of(days, 6)
@@ -147,6 +151,15 @@ def test_running_total_recurses_over_slots_of_slots(spark, monkeypatch):
     assert collected(running_total(df, "o", bits=3)) == [(v, i) for i, v in enumerate(sorted(values))]
 
 
+def test_positions_by_range(spark):
+    rows = [(f"k{i % 3}", i) for i in range(200)]
+    df = spark.createDataFrame(rows, "o STRING, k INT").repartition(7)
+    want = sorted((*row, i) for i, row in enumerate(sorted(rows)))
+    assert collected(positions_by_range(df, ["o", "k"])) == want
+    want = sorted((*row, i) for i, row in enumerate(sorted(rows, reverse=True)))
+    assert collected(positions_by_range(df, ["o", "k"], descending=True)) == want
+
+
 def test_running_total_by_range(spark):
     words = [f"k{i * 7919 % 1000:03}" for i in range(200)]
     df = spark.createDataFrame([(w, 2) for w in words], "o STRING, w INT")
@@ -155,10 +168,11 @@ def test_running_total_by_range(spark):
 
 
 @FEW
-@given(st.lists(st.sampled_from(["a", "b", None]), max_size=25), st.integers(0, 4))
-def test_previous_value_over_slots(spark, values, bits):
+@given(st.lists(st.sampled_from(["a", "b", None]), max_size=25), st.integers(0, 4), st.sampled_from([0, 6, 99]))
+def test_previous_value_over_slots(spark, values, bits, hot_rows):
     df = spark.createDataFrame([(i % 2, i, v) for i, v in enumerate(values)], "g INT, o BIGINT, v STRING")
-    got = {r["o"]: r["previous"] for r in previous_value(df, "v", "o", ["g"], bits=bits).collect()}
+    got = {r["o"]: r["previous"] for r in previous_value(
+        df, "v", "o", ["g"], bits=bits, hot_rows=hot_rows).collect()}
     assert got == {i: values[i - 2] if i >= 2 else None for i in range(len(values))}
 
 

@@ -38,15 +38,15 @@ def test_states_and_active_jobs(spark):
     assert [r["job_id"] for r in list_jobs(log, ["running", "paused"]).collect()] == [5, 1]
 
 
-@pytest.mark.parametrize("bits", [0, 1, 20])
-def test_audit(spark, bits):
+@pytest.mark.parametrize("hot_rows", [0, 2, 2**20])
+def test_audit(spark, hot_rows):
     log = log_of(spark, [
         (1, "pending", {}), (1, "running", {}), (1, "running", {}), (1, "completed", {}), (1, "running", {}),
         (2, "running", {}), (2, "paused", {}), (2, "pending", {}), (2, "paused", {}), (2, "running", {}),
         (3, "pending", {}), (3, "odd", {}), (3, "running", {}), (3, "failed", {"dest_table": None}),
         (4, "pending", {}), (4, "completed", {}), (4, "paused", {}), (4, None, {})])
     got = [(r["job_id"], r["event_no"], r["problem"]) for r in
-           audit_transitions(log, bits=bits).orderBy("event_no").collect()]
+           audit_transitions(log, hot_rows=hot_rows).orderBy("event_no").collect()]
     assert got == [(1, 4, "bad_transition"), (2, 5, "bad_start"), (3, 11, "unknown_status"),
                    (3, 13, "missing_table"), (4, 15, "bad_transition"), (4, 17, "unknown_status")]
 

@@ -80,7 +80,8 @@ def f5_pages_ties(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("f5_pages_time", _pages_sql("orders", "o_orderdate", 700))
 def f5_pages_time(spark: SparkSession, sf: str) -> DataFrame:
-    return plan_pages(table(spark, sf, "orders"), "o_orderdate", 700)
+    """By time, with ties broken by the key."""
+    return plan_pages(table(spark, sf, "orders"), "o_orderdate", 700, key="o_orderkey")
 
 
 @query("f5_pages_text", _pages_sql("customer", "c_name", 100))
@@ -88,6 +89,12 @@ def f5_pages_text(spark: SparkSession, sf: str) -> DataFrame:
     return plan_pages(table(spark, sf, "customer"), "c_name", 100)
 
 
+@query("f5_pages_price", _pages_sql("lineitem", "l_extendedprice", 5000))
+def f5_pages_price(spark: SparkSession, sf: str) -> DataFrame:
+    """By a double without a key: equal prices are counted together first."""
+    return plan_pages(table(spark, sf, "lineitem"), "l_extendedprice", 5000)
+
+
 @query("f5_unordered", "SELECT count(*) FILTER (WHERE event_type = 'error') AS rows FROM events")
 def f5_unordered(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events")
@@ -159,7 +166,7 @@ def f8_active_jobs(spark: SparkSession, sf: str) -> DataFrame:
         ELSE 'bad_transition' END AS problem FROM s)
     SELECT * FROM p WHERE problem IS NOT NULL""")
 def f9_audit(spark: SparkSession, sf: str) -> DataFrame:
-    return audit_transitions(job_log(spark, sf), bits=10)
+    return audit_transitions(job_log(spark, sf))
 
 
 _PERCENT_SQL = """CASE WHEN total_rows IS NULL THEN NULL WHEN total_rows = 0 THEN 100.0

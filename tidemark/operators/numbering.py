@@ -17,11 +17,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import use_checkpoints
+from tidemark.session import scratch_path, use_checkpoints
 
 MAX_BITS = 20  # values per slot, at most
 MIN_BITS = 10
 FAN_BITS = 17  # slots summed by one task, at most
+HOT_ROWS = 2**22  # rows of a group one task may sort
 
 
 def order_span(df: DataFrame, order: str) -> int:
@@ -111,6 +112,32 @@ def running_total(df: DataFrame, order: str, weight: str | None = None, group: S
                          totals)
 
 
+def positions_by_range(df: DataFrame, order: Sequence[str], *, descending: bool = False,
+                       name: str = "position") -> DataFrame:
+    """0-based row numbers for order columns of any sortable type, together unique.
+
+    One range shuffle; rows are numbered where they are sorted, with no second shuffle.
+    The borders of a range partitioning are sampled anew whenever a plan runs, so the
+    numbered rows are written once, to the shared folder, and both passes read that:
+    the totals only its slot column.
+    """
+    by = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    path = scratch_path(df.sparkSession, "ranged")
+    row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    (
+        df.repartitionByRange(*by).sortWithinPartitions(*by)
+        .withColumns({"_slot": F.spark_partition_id().cast("long"), "_inner": row_in_task})
+        .write.parquet(path)
+    )
+    stored = df.sparkSession.read.parquet(path)
+    totals = stored.groupBy("_slot").agg(F.count(F.lit(1)).alias("_total"))
+    return (
+        stored.join(slot_starts(totals, (), 0, False), "_slot")
+        .withColumn(name, F.col("_start") + F.col("_inner"))
+        .select(*df.columns, name)
+    )
+
+
 def running_total_by_range(df: DataFrame, order: str, weight: str | None = None, *,
                            descending: bool = False, name: str = "position") -> DataFrame:
     """``running_total`` for order columns of any sortable type, unique over ``df``.
@@ -128,25 +155,36 @@ def running_total_by_range(df: DataFrame, order: str, weight: str | None = None,
 
 
 def previous_value(df: DataFrame, value: str, order: str, group: Sequence[str],
-                   *, name: str = "previous", bits: int = MAX_BITS) -> DataFrame:
-    """``lag(value)`` within the group's order, computed slot by slot.
+                   *, name: str = "previous", bits: int = MAX_BITS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``lag(value)`` within the group's order, without a task for a whole hot group.
 
-    The first row of a slot takes the last value of the group's slot before it.
-    ``order`` is an integer, unique within the group.
+    Groups of at most ``hot_rows`` rows are sorted as they are.  Larger ones are cut
+    into slots; the first row of a slot takes the last value of the slot before it.
+    ``order`` is an integer, unique within the group; neither it nor the group is null.
+
+    The list of hot groups is broadcast: it has at most one row per ``hot_rows`` rows of
+    input (a quarter million per 10**12), and only the group columns.
     """
-    rows = df.withColumn("_slot", _slot(order, bits))
-    in_slot = Window.partitionBy(*group, "_slot").orderBy(order)
+    hot = (
+        df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > hot_rows)
+        .select(*group, F.lit(True).alias("_hot"))
+    )
+    rows = df.join(F.broadcast(hot), list(group), "left") \
+        .withColumn("_slot", F.when(F.col("_hot"), _slot(order, bits)))
+    last = F.max_by(F.struct(F.col(value).alias("v")), F.col(order))
     by_slot = Window.partitionBy(*group).orderBy("_slot")
     carried = (
-        rows.groupBy(*group, "_slot")
-        .agg(F.max_by(F.struct(F.col(value).alias("v")), F.col(order)).alias("_last"))
+        rows.filter(F.col("_hot"))
+        .groupBy(*group, "_slot").agg(last.alias("_last"))
         .withColumn("_carried", F.lag("_last").over(by_slot))
         .select(*group, "_slot", "_carried")
     )
+    in_slot = Window.partitionBy(*group, "_slot").orderBy(order)
     inner = F.lag(F.struct(F.col(value).alias("v"))).over(in_slot)
     return (
         rows.withColumn("_inner", inner)
-        .join(carried, [*group, "_slot"])
+        .join(carried, [*group, "_slot"], "left")
         .withColumn(name, F.coalesce("_inner", "_carried")["v"])
         .select(*df.columns, name)
     )

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.numbering import running_total, running_total_by_range
+from tidemark.operators.numbering import (positions_by_range, running_total,
+                                          running_total_by_range)
 from tidemark.operators.replica import exclude_live
 
 # Default sizes of a keyset page and of an id window.
@@ -71,45 +72,54 @@ def _as_integer(col: str, dtype: T.DataType) -> Column | None:
     return None
 
 
+def _page_summary(parts: DataFrame, n: int) -> DataFrame:
+    return (
+        parts.groupBy("page")
+        .agg(F.sum("part").alias("rows"), F.min("v").alias("last_id"))
+        .withColumn("processed", F.col("page") * n + F.col("rows"))
+    )
+
+
 def plan_pages(df: DataFrame, col: str, n: int = PAGE_ROWS, *, unique: bool = False,
-               bits: int | None = None) -> DataFrame:
+               key: str | None = None, bits: int | None = None) -> DataFrame:
     """All pages of a descending keyset copy at once: ``page, rows, last_id, processed``.
 
     Equal values are first counted together (pre-aggregated, so a value on a third of
     the rows is one row per task), then laid out by running totals and cut into pages.
-    ``unique=True`` skips that count for a column known to have no repeats.
+    ``unique=True`` skips that count for an integer column known to have no repeats.
+    For a column that is no integer, date or timestamp, ``key``, a unique column, lets
+    rows be laid out by (column, key) instead, which saves a shuffle.
     Ties never get lost at page borders; rows with a null value are on no page.
     """
-    values = df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
-    if unique:
-        runs = values.withColumn("rows", F.lit(1).cast("long"))
-    else:
-        runs = values.groupBy("v").agg(F.count(F.lit(1)).alias("rows"))
-    number = _as_integer("v", runs.schema["v"].dataType)
+    present = df.filter(F.col(col).isNotNull())
+    values = present.select(F.col(col).alias("v"))
+    number = _as_integer("v", values.schema["v"].dataType)
+    page_of = F.call_function("div", F.col("ahead"), F.lit(n)).alias("page")
+    one = F.lit(1).cast("long")
+    if number is None and key is not None:
+        keyed = present.select(F.col(col).alias("v"), F.col(key).alias("k"))
+        laid = positions_by_range(keyed, ["v", "k"], descending=True, name="ahead")
+        return _page_summary(laid.select("v", page_of, one.alias("part")), n)
+    if number is not None and unique:
+        laid = running_total(values.withColumn("number", number), "number",
+                             descending=True, name="ahead", bits=bits)
+        return _page_summary(laid.select("v", page_of, one.alias("part")), n)
+    runs = values.groupBy("v").agg(F.count(F.lit(1)).alias("rows"))
     if number is None:
         laid = running_total_by_range(runs, "v", "rows", descending=True, name="ahead")
     else:
         laid = running_total(runs.withColumn("number", number), "number", "rows", descending=True,
                              name="ahead", bits=bits, counted=values.select(number.alias("number")))
-    first = F.call_function("div", F.col("ahead"), F.lit(n))
+    # One value may cover many pages: unfold the page list in bounded chunks.
     last = F.call_function("div", F.col("ahead") + F.col("rows") - 1, F.lit(n))
-    if unique:
-        parts = laid.select("v", first.alias("page"), F.col("rows").alias("part"))
-    else:
-        # One value may cover many pages: unfold the page list in bounded chunks.
-        chunks = laid.select("v", "ahead", "rows", last.alias("last"),
-                             F.explode(F.sequence(first, last, F.lit(PAGE_CHUNK).cast("long"))).alias("c"))
-        pages = chunks.select(
-            "v", "ahead", "rows",
-            F.explode(F.sequence("c", F.least(F.col("c") + PAGE_CHUNK - 1, "last"))).alias("page"))
-        begin = F.greatest(F.col("ahead"), F.col("page") * n)
-        end = F.least(F.col("ahead") + F.col("rows"), (F.col("page") + 1) * n)
-        parts = pages.select("v", "page", (end - begin).alias("part"))
-    return (
-        parts.groupBy("page")
-        .agg(F.sum("part").alias("rows"), F.min("v").alias("last_id"))
-        .withColumn("processed", F.col("page") * n + F.col("rows"))
-    )
+    chunks = laid.select("v", "ahead", "rows", last.alias("last"), F.explode(F.sequence(
+        F.call_function("div", F.col("ahead"), F.lit(n)), last, F.lit(PAGE_CHUNK).cast("long"))).alias("c"))
+    pages = chunks.select(
+        "v", "ahead", "rows",
+        F.explode(F.sequence("c", F.least(F.col("c") + PAGE_CHUNK - 1, "last"))).alias("page"))
+    begin = F.greatest(F.col("ahead"), F.col("page") * n)
+    end = F.least(F.col("ahead") + F.col("rows"), (F.col("page") + 1) * n)
+    return _page_summary(pages.select("v", "page", (end - begin).alias("part")), n)
 
 
 def _windowed(df: DataFrame, key: str, batch: int) -> DataFrame:

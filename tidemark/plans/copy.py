@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping as Dict
+from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -12,7 +13,8 @@ from tidemark.functions.convert import convert_record
 from tidemark.operators.conform import conform
 from tidemark.operators.route import route
 from tidemark.plans.backfill import plan_pages, row_count, start_cursor
-from tidemark.plans.joblog import JOB_DEFAULTS, active_jobs, append_job_event, job_states, read_job_log
+from tidemark.plans.joblog import (JOB_DEFAULTS, JOB_SCHEMA, active_jobs, append_job_event, job_states,
+                                   read_job_log)
 from tidemark.sinks import folders
 from tidemark.sinks.staging import Defaults, Schemas, write_replica
 from tidemark.sources.mapping import Mapping
@@ -33,17 +35,17 @@ class BackfillJobs:
     def get(self, job_id: int) -> Row | None:
         if not folders.exists(self.spark, self.log_dir):
             return None
-        return job_states(self.log().filter(F.col("job_id") == job_id)).first()
+        return job_states(read_job_log(self.spark, self.log_dir, job_id)).first()
 
-    def _append(self, event: dict[str, Any]) -> None:
-        now = self.spark.sql("SELECT current_timestamp() AS now").first()["now"]
-        event.setdefault("inserted_at", now)
-        append_job_event(self.spark, self.log_dir, {**event, "updated_at": now})
+    def _append(self, event: dict[str, Any]) -> Row:
+        """Log one event; it is the job's new state, so nothing is read back."""
+        now = datetime.now(timezone.utc)
+        event = {"inserted_at": now, **event, "updated_at": now}
+        append_job_event(self.spark, self.log_dir, event)
+        return Row(**{field.name: event.get(field.name) for field in JOB_SCHEMA.fields})
 
     def _update(self, job: Row, **changes: Any) -> Row:
-        event = {**job.asDict(), **changes, "event_no": job["event_no"] + 1}
-        self._append(event)
-        return self.get(job["job_id"])
+        return self._append({**job.asDict(), **changes, "event_no": job["event_no"] + 1})
 
     def _active(self, table: str) -> Row | None:
         if not folders.exists(self.spark, self.log_dir):
@@ -67,16 +69,14 @@ class BackfillJobs:
             raise LookupError(
                 f"no rule for {table!r}; tables with rules: {self.mapping.distinct_tables()}")
         order = ordering_column or key
-        job_id = self._next_id()
-        self._append({
+        return self._append({
             **JOB_DEFAULTS,
-            "job_id": job_id, "event_no": 0, "source_table": table,
+            "job_id": self._next_id(), "event_no": 0, "source_table": table,
             "dest_table": entries[0].dest_table, "primary_key": key, "ordering_column": order,
             "total_rows": row_count(source, estimate),
             **_position(start_cursor(source.agg(F.max(order)).first()[0])),
             "batch_size": batch_size or JOB_DEFAULTS["batch_size"],
         })
-        return self.get(job_id)
 
     def pause(self, job_id: int) -> Row:
         job = self.get(job_id)
@@ -118,7 +118,7 @@ class BackfillJobs:
         try:
             more = False
             if max_pages is not None:
-                pages = plan_pages(rest, col, job["batch_size"]).filter(F.col("page") < max_pages)
+                pages = plan_pages(rest, col, job["batch_size"], key=job["primary_key"]).filter(F.col("page") < max_pages)
                 end = pages.agg(F.min("last_id").cast("string").alias("low"),
                                 F.sum("rows").alias("rows")).first()
                 if end["low"] is not None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from datetime import timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.progress import percent_done
-from tidemark.operators.numbering import MAX_BITS, previous_value
+from tidemark.operators.numbering import HOT_ROWS, previous_value
 from tidemark.operators.replica import latest_state
+from tidemark.sinks import folders
 
 JOB_SCHEMA = T.StructType([
     T.StructField("job_id", T.LongType()),
@@ -50,14 +53,26 @@ NEXT = {
 }
 
 
+def _event_file(job_id: int | str, event_no: int | str) -> str:
+    return f"{job_id}-{event_no}.json"
+
+
 def append_job_event(spark: SparkSession, log_dir: str, event: dict[str, Any]) -> None:
-    """Add one event row; fields not given are null."""
-    row = tuple(event.get(field.name) for field in JOB_SCHEMA.fields)
-    spark.createDataFrame([row], JOB_SCHEMA).coalesce(1).write.mode("append").parquet(log_dir)
+    """Add one event as a file of its own; fields not given are null.
+
+    The file is named by job and event number, so two writers cannot both add an event.
+    """
+    row = {f.name: event[f.name] for f in JOB_SCHEMA.fields if event.get(f.name) is not None}
+    text = json.dumps(row, default=lambda moment: moment.astimezone(timezone.utc).isoformat())
+    folders.write_new(spark, log_dir, _event_file(event["job_id"], event["event_no"]), text)
 
 
-def read_job_log(spark: SparkSession, log_dir: str) -> DataFrame:
-    return spark.read.schema(JOB_SCHEMA).parquet(log_dir)
+def read_job_log(spark: SparkSession, log_dir: str, job_id: int | None = None) -> DataFrame:
+    """The events of all jobs, or of one: then only its files are read."""
+    reader = spark.read.schema(JOB_SCHEMA)
+    if job_id is not None:
+        reader = reader.option("pathGlobFilter", _event_file(job_id, "*"))
+    return reader.json(log_dir)
 
 
 def job_states(log: DataFrame) -> DataFrame:
@@ -79,14 +94,14 @@ def active_jobs(log: DataFrame) -> DataFrame:
     return latest_state(unfinished, ["source_table"], ver="inserted_at", tie="job_id")
 
 
-def audit_transitions(log: DataFrame, bits: int = MAX_BITS) -> DataFrame:
+def audit_transitions(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Log events that break a rule: ``job_id, event_no, previous, status, problem``.
 
     Problems: ``unknown_status``, ``missing_table`` (no source or destination),
     ``bad_start`` (a job must begin as pending) and ``bad_transition``.
     """
     events = log.select("job_id", "event_no", "status", "source_table", "dest_table")
-    steps = previous_value(events, "status", "event_no", ["job_id"], bits=bits)
+    steps = previous_value(events, "status", "event_no", ["job_id"], hot_rows=hot_rows)
     status, previous = F.col("status"), F.col("previous")
     unknown = status.isNull() | ~status.isin(*STATUSES)
     allowed = F.lit(False)

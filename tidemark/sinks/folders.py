@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -37,3 +39,17 @@ def remove(spark: SparkSession, path: str) -> bool:
 def touch(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.create(target, True).close()
+
+
+def write_new(spark: SparkSession, folder: str, name: str, text: str) -> None:
+    """A small text file that appears whole; fails if it is there already."""
+    fs, target = _open(spark, f"{folder}/{name}")
+    if fs.exists(target):
+        raise FileExistsError(f"{folder}/{name}")
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_draft-{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(draft, target):
+        fs.delete(draft, False)
+        raise FileExistsError(f"{folder}/{name}")
