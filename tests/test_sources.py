@@ -42,6 +42,20 @@ def test_table_changes_flattens_structs_and_text(spark):
     assert [tuple(r) for r in table_changes(text, "a", schema).collect()] == want
 
 
+def test_envelopes_of_many_tables(spark):
+    texts = [envelope("c", None, {"id": 1, "v": "x"}, "a"), envelope("d", {"id": 2, "w": [1]}, None, "b")]
+    got = decode_envelope(spark.createDataFrame([(t,) for t in texts], "value STRING"), key="id")
+    assert sorted((r["source_table"], r["op"], r["key"]) for r in got.collect()) == [
+        ("a", "insert", "1"), ("b", "delete", "2")]
+    b = table_changes(got, "b", T.StructType.fromDDL("id INT, w ARRAY<INT>"), keep=("op",))
+    assert [tuple(r) for r in b.collect()] == [("delete", 2, [1])]
+
+
+def test_a_stamped_version_replaces_one_in_the_record(spark):
+    changes = spark.createDataFrame([(9, "a", (1, 5))], "ver BIGINT, source_table STRING, record STRUCT<id: INT, ver: INT>")
+    assert table_changes(changes, "a", keep=("ver",)).first().asDict() == {"ver": 9, "id": 1}
+
+
 def test_read_changes_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "feed")
     spark.range(10).select(F.col("id").alias("seq"), F.concat(F.lit("t"), F.col("id") % 2).alias("source_table")) \

@@ -84,11 +84,11 @@ def test_compact_keeps_latest_rows_and_tombstones(spark, dirs, tmp_path):
 def test_flat_staged_files(spark, tmp_path):
     folder = tmp_path / "flat"
     folder.mkdir()
-    (folder / "100_room_logs.json").write_text(json.dumps([{"id": "1"}, {"id": "2", "x": "y"}]))
+    (folder / "100_shop_orders_eu.json").write_text(json.dumps([{"id": "1"}, {"id": "2", "x": "y"}]))
     (folder / "099_users.json").write_text(json.dumps([{"id": "3"}]))
     got = read_staged_files(spark, str(folder), "id STRING, x STRING").collect()
     assert sorted((r["dest_table"], r["staged_at"], r["id"], r["x"] or "") for r in got) == [
-        ("room_logs", "100", "1", ""), ("room_logs", "100", "2", "y"), ("users", "099", "3", "")]
+        ("shop_orders_eu", "100", "1", ""), ("shop_orders_eu", "100", "2", "y"), ("users", "099", "3", "")]
 
 
 def test_holds(spark, tmp_path):

@@ -17,10 +17,10 @@ from tidemark.operators.rate import with_commit_time
 from tidemark.operators.replica import latest_state
 from tidemark.operators.route import route
 from tidemark.session import scratch_path
-from tidemark.sinks.staging import (HoldGate, drain, load_batch, read_replica, read_staged, split_held,
+from tidemark.sinks.staging import (HoldGate, compact, drain, load_batch, read_replica, read_staged, split_held,
                                     stage_batch, staged_batches)
 from tidemark.sinks.views import append_partials, build_view, materialize, read_partials
-from tidemark.sources.feed import read_changes
+from tidemark.sources.feed import decode_envelope, read_changes
 from tidemark.streaming.rate import event_rate_stream
 from tidemark.streaming.replicate import append_versions, closed_windows, replicate
 
@@ -176,6 +176,38 @@ def stream_versions(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("id BIGINT, value DOUBLE, ver BIGINT").parquet(f"{folder}/rows")
 
 
+@query("stream_envelopes", f"""
+    SELECT id, event_type, value, props, seq + 1 AS ver FROM ({FEED_SQL}) WHERE source_table = 'purchase'""")
+def stream_envelopes(spark: SparkSession, sf: str) -> DataFrame:
+    """Change envelopes as landed JSON lines: decoded, parsed per table and replicated."""
+    folder = scratch_path(spark, "envelopes")
+    code = F.when(F.col("op") == "insert", "c").when(F.col("op") == "delete", "d").otherwise("u")
+    row = F.struct("id", "event_type", "value", "props")
+    source = F.struct(F.col("source_table").alias("table"), F.col("xid").alias("txId"), F.col("seq").alias("lsn"))
+    gone = F.col("op") == "delete"
+    feed(spark, sf).select(F.to_json(F.struct(
+        F.when(gone, row).alias("before"), F.when(~gone, row).alias("after"),
+        source.alias("source"), code.alias("op"))).alias("value")).write.text(f"{folder}/feed")
+    stream = decode_envelope(read_changes(spark, f"{folder}/feed", "value STRING", fmt="text", streaming=True))
+    record = row_type("id BIGINT, event_type STRING, value DOUBLE, props STRING")
+    replicate(stream, RULES, SCHEMAS, checkpoint_dir=f"{folder}/checkpoint",
+              replica_dir=f"{folder}/replica", stage_dir=f"{folder}/stage", available_now=True,
+              record_schemas={t: record for t in RULES.distinct_tables()}).awaitTermination()
+    return read_replica(spark, f"{folder}/replica", "purchases", SCHEMAS["purchases"]).drop("batch_id")
+
+
+@query("r1_compacted", f"""
+    SELECT id, action, amount, weight, ver FROM ({LOADED_SQL})
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY ver DESC) = 1""")
+def r1_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """A replica of many batches rewritten as its latest rows."""
+    folder = scratch_path(spark, "compact")
+    stage_batch({"activity": _batched(_routed(spark, sf)["activity"])}, f"{folder}/stage")
+    drain(spark, f"{folder}/stage", f"{folder}/replica", SCHEMAS, DEFAULTS)
+    compact(spark, f"{folder}/replica", f"{folder}/fresh", "activity", SCHEMAS["activity"], ["id"])
+    return read_replica(spark, f"{folder}/fresh", "activity", SCHEMAS["activity"]).drop("batch_id")
+
+
 @query("stream_event_rate", f"""
     WITH t AS (SELECT xid, max(ts) AS cts FROM ({FEED_SQL}) GROUP BY xid)
     SELECT date_trunc('minute', cts) AS created_at, count(*) AS total FROM t GROUP BY 1

@@ -47,8 +47,8 @@ def read_changes(
     return changes
 
 
-def envelope_schema(row_schema: T.StructType) -> T.StructType:
-    """Schema of the JSON envelope around rows of ``row_schema``."""
+def envelope_schema(row_schema: T.DataType) -> T.StructType:
+    """Schema of the JSON envelope around rows of ``row_schema``; text keeps them as JSON."""
     source = T.StructType([
         T.StructField("ts_ms", T.LongType()),
         T.StructField("schema", T.StringType()),
@@ -72,38 +72,44 @@ def _envelope_op(code: Column) -> Column:
     return op
 
 
-def decode_envelope(df: DataFrame, row_schema: T.StructType, value: str = "value",
+def decode_envelope(df: DataFrame, row_schema: T.StructType | None = None, value: str = "value",
                     key: str | None = None) -> DataFrame:
     """Envelopes in the text column ``value`` → change rows.
 
     A delete carries its old image in ``before``; everything else uses ``after``.
     Codes other than c, r, u and d, and text that is not an envelope, get op ``other``.
+    Without ``row_schema``, as for a feed of many tables, ``record`` is JSON text, which
+    ``table_changes`` parses per table.  ``key`` names the key field of the rows.
     """
-    env = df.select(F.from_json(F.col(value), envelope_schema(row_schema)).alias("e"))
+    parsed = F.from_json(F.col(value), envelope_schema(row_schema or T.StringType()))
+    env = df.select(parsed.alias("e"))
+    record = F.coalesce("e.after", "e.before")
     columns = [
         F.col("e.source.txId").alias("xid"),
         F.col("e.source.lsn").alias("seq"),
         F.timestamp_millis(F.coalesce("e.source.ts_ms", "e.ts_ms")).alias("commit_ts"),
         _envelope_op(F.col("e.op")).alias("op"),
         F.col("e.source.table").alias("source_table"),
-        F.coalesce("e.after", "e.before").alias("record"),
     ]
     if key is not None:
-        columns.insert(5, F.coalesce(f"e.after.{key}", f"e.before.{key}").alias("key"))
-    return env.select(*columns)
+        field = record[key] if row_schema is not None else F.get_json_object(record, f"$.{key}")
+        columns.append(field.alias("key"))
+    return env.select(*columns, record.alias("record"))
 
 
 def table_changes(changes: DataFrame, table: str, record_schema: T.StructType | None = None,
                   keep: Sequence[str] = ("op", "seq")) -> DataFrame:
     """Changes of one table with the payload flattened into columns.
 
-    ``record`` may be a struct, or JSON text when ``record_schema`` is given.
+    ``record`` may be a struct, or JSON text when ``record_schema`` is given.  A field of
+    the payload that is named like a ``keep`` column gives way to it.
     """
     record = F.col("record")
     if record_schema is not None:
         record = F.from_json(record, record_schema)
+    fields = record_schema or changes.schema["record"].dataType
     return (
         changes.filter(F.col("source_table") == table)
         .select(*keep, record.alias("record"))
-        .select(*keep, "record.*")
+        .select(*keep, *[F.col("record").getField(f).alias(f) for f in fields.names if f not in keep])
     )

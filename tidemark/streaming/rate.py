@@ -10,15 +10,20 @@ def event_rate_stream(changes: DataFrame, every: str = "1 minute", delay: str =
                       xid: str = "xid", commit_ts: str = "commit_ts") -> DataFrame:
     """``(total, created_at)`` per closed window, each transaction once.
 
-    ``commit_ts`` must be the same on every change of a transaction.  ``delay`` is both
-    how late a change may come and how long a transaction id is remembered, so state
-    stays bounded; choose it above the longest transaction.
+    ``commit_ts`` must be the same on every change of a transaction, so that all of them
+    fall into one window.  Changes are first grouped by (window, transaction): each task
+    sends one row per transaction, however many changes it has, and the watermark
+    clears the state.  ``delay`` is how late a change may come; choose it above the
+    longest transaction.
     """
-    return (
+    transactions = (
         changes.select(xid, F.col(commit_ts).cast("timestamp").alias("commit_ts"))
         .withWatermark("commit_ts", delay)
-        .dropDuplicatesWithinWatermark([xid])
-        .groupBy(F.window("commit_ts", every))
+        .groupBy(F.window("commit_ts", every), xid)
+        .agg(F.count(F.lit(1)).alias("changes"))
+    )
+    return (
+        transactions.groupBy(F.window(F.window_time("window"), every))
         .agg(F.count(F.lit(1)).alias("total"))
         .select("total", F.col("window.start").alias("created_at"))
     )
