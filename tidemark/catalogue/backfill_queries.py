@@ -113,6 +113,15 @@ def f6_windows(spark: SparkSession, sf: str) -> DataFrame:
     return plan_windows(table(spark, sf, "orders"), "o_orderkey", 1000)
 
 
+@query("f6_lineitem_windows", """
+    SELECT "window", greatest(m - "window" * 10001 - 10000, 0) AS low_id, m - "window" * 10001 AS high_id,
+           count(*) AS rows
+    FROM (SELECT (m - l_orderkey) // 10001 AS "window", m
+          FROM lineitem, (SELECT max(l_orderkey) AS m FROM lineitem)) GROUP BY ALL""")
+def f6_lineitem_windows(spark: SparkSession, sf: str) -> DataFrame:
+    return plan_windows(table(spark, sf, "lineitem"), "l_orderkey")
+
+
 @query("f6_copy", f"""
     SELECT o_orderkey, o_totalprice, "window" FROM ({_WINDOWS_SQL})
     WHERE o_orderkey NOT IN (SELECT id FROM ({FEED_SQL}) WHERE op <> 'delete')""")

@@ -306,6 +306,20 @@ def r3_snapshot_merge(spark: SparkSession, sf: str) -> DataFrame:
     return merge_snapshot(snapshot, changes, ["id"])
 
 
+@query("r3_orders_merge", f"""
+    SELECT id, customer, price, event_type, value, ver, seq FROM (
+        SELECT o_orderkey AS id, o_custkey AS customer, o_totalprice AS price, NULL AS event_type,
+               NULL AS value, CAST(0 AS BIGINT) AS ver, CAST(-1 AS BIGINT) AS seq FROM orders
+        UNION ALL
+        SELECT id, NULL, NULL, event_type, value, seq + 1, seq FROM ({FEED_SQL})
+        WHERE op <> 'delete') QUALIFY {LATEST}""")
+def r3_orders_merge(spark: SparkSession, sf: str) -> DataFrame:
+    snapshot = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"), F.col("o_totalprice").alias("price"))
+    changes = stamp_version(live_changes(feed(spark, sf))).select("id", "event_type", "value", "ver", "seq")
+    return merge_snapshot(snapshot, changes, ["id"])
+
+
 @query("r4_exclude_live", f"""
     SELECT c_custkey, c_name FROM customer
     WHERE c_custkey NOT IN (SELECT id FROM ({FEED_SQL}) WHERE op <> 'delete')""")

@@ -94,6 +94,19 @@ def k3_json_rows(spark: SparkSession, sf: str) -> DataFrame:
     return to_json_rows(convert_record(rows, keep=("event_id",)), keep=("event_id",))
 
 
+@query("k3_json_lineitem", """
+    SELECT l_orderkey, l_linenumber, to_json({
+        'l_partkey': CAST(l_partkey AS VARCHAR), 'l_quantity': CAST(l_quantity AS VARCHAR),
+        'l_extendedprice': CAST(l_extendedprice AS VARCHAR), 'l_discount': CAST(l_discount AS VARCHAR),
+        'l_returnflag': l_returnflag, 'l_shipdate': strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')}) AS value
+    FROM lineitem""")
+def k3_json_lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    keys = ("l_orderkey", "l_linenumber")
+    rows = table(spark, sf, "lineitem").select(
+        *keys, "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate")
+    return to_json_rows(convert_record(rows, keep=keys), keep=keys)
+
+
 @query("k3_json_documents", """
     SELECT doc_id, text, lang, CAST(n_chars AS VARCHAR) AS n_chars FROM documents""")
 def k3_json_documents(spark: SparkSession, sf: str) -> DataFrame:
