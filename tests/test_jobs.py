@@ -106,9 +106,9 @@ def test_a_job_in_steps(spark, job_run):
 def test_exact_multiple_and_empty_table(spark, job_run):
     jobs, run = job_run
     job = jobs.start("items", items(spark, 10), "id", batch_size=5)
-    job = jobs.copy_pages(job["job_id"], items(spark, 10), max_pages=2, **run)
-    assert (job["status"], job["processed_rows"]) == ("running", 10)
-    job = jobs.copy_pages(job["job_id"], items(spark, 10), max_pages=2, **run)
+    job = jobs.copy_pages(job["job_id"], items(spark, 10), max_pages=1, **run)
+    assert (job["status"], job["processed_rows"]) == ("running", 5)
+    job = jobs.copy_pages(job["job_id"], items(spark, 10), max_pages=1, **run)
     assert (job["status"], job["processed_rows"], job["last_processed_id"]) == ("completed", 10, 0)
     job = jobs.start("items", items(spark, 0), "id")
     assert job["last_processed_id"] is None
@@ -116,6 +116,30 @@ def test_exact_multiple_and_empty_table(spark, job_run):
     assert (job["status"], job["processed_rows"]) == ("completed", 0)
 
 
+def test_rows_that_come_or_go_after_planning(spark, job_run):
+    jobs, run = job_run
+    source = items(spark, 30).withColumn("id", F.col("id") + 10)
+    job = jobs.start("items", source, "id", batch_size=5)
+    jobs.copy_pages(job["job_id"], source, max_pages=2, **run)
+    later = source.filter("id < 20 OR id > 24").unionByName(items(spark, 3))
+    steps = 0
+    while jobs.get(job["job_id"])["status"] != "completed":
+        job, steps = jobs.copy_pages(job["job_id"], later, max_pages=1, **run), steps + 1
+    assert steps == 4 and ids(spark, run) == [0, 1, 2] + list(range(10, 20)) + list(range(25, 40))
+    assert job["processed_rows"] == 28
+
+
+def test_many_tables_and_listing(spark, job_run):
+    jobs, run = job_run
+    with pytest.raises(LookupError, match="others"):
+        jobs.start_tables({"items": (items(spark, 4), "id"), "others": (spark.range(1), "id")})
+    (job,) = jobs.start_tables({"items": (items(spark, 4), "id")}, batch_size=3)
+    jobs.copy_pages(job["job_id"], items(spark, 4), max_pages=1, **run)
+    (row,) = jobs.jobs().collect()
+    assert (row["job_id"], row["status"], row["progress_percent"]) == (1, "running", 75.0)
+    assert jobs.jobs("completed").count() == 0
+
+
 def test_a_crash_before_the_log_write_is_repeated_without_doubles(spark, job_run, monkeypatch):
     jobs, run = job_run
     source = items(spark, 12)

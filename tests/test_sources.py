@@ -4,7 +4,7 @@ import json
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.plans.keys import primary_key, profile_keys
+from tidemark.plans.keys import primary_key, profile_keys, screen_keys
 from tidemark.sources.feed import decode_envelope, read_changes, table_changes
 from tidemark.sources.snapshot import jdbc_windows, scan_source
 from tidemark.sources.transactions import (assemble_transactions, committed_changes,
@@ -141,3 +141,9 @@ def test_profile_keys(spark):
     got = {r["candidate"]: (r["null_rows"], r["distinct_values"], r["is_key"])
            for r in profile_keys(df, ["a", "b", "c", ("b", "c")]).collect()}
     assert got == {"a": (0, 3, True), "b": (0, 2, False), "c": (1, 2, False), "b,c": (1, 2, False)}
+
+
+def test_screen_keys(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 10).alias("few"), F.lit(None).cast("int").alias("none"),
+                                  (F.col("id") / 1.1).alias("most"))
+    assert screen_keys(df, df.columns) == ["id", "most"]

@@ -12,7 +12,7 @@ from tidemark.plans.backfill import (copy_windows, fetch_page, max_value, plan_p
                                      unordered_rows)
 from tidemark.plans.copy import BackfillJobs
 from tidemark.plans.joblog import active_jobs, audit_transitions, job_progress, job_states, list_jobs
-from tidemark.plans.keys import profile_keys
+from tidemark.plans.keys import profile_keys, screen_keys
 from tidemark.plans.reports import progress, unmapped_report
 from tidemark.session import scratch_path
 from tidemark.sinks.staging import read_replica
@@ -52,6 +52,13 @@ def f3_composite_key(spark: SparkSession, sf: str) -> DataFrame:
     return profile_keys(table(spark, sf, "conversations"), ["conv_id", "turn", ("conv_id", "turn")])
 
 
+@query("f3_screened_keys", _profile_sql("orders", [("o_orderkey", "o_orderkey")]))
+def f3_screened_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """All columns screened in one pass; only the likely keys are counted exactly."""
+    orders = table(spark, sf, "orders").drop("o_orderdate", "o_totalprice")
+    return profile_keys(orders, screen_keys(orders, orders.columns))
+
+
 @query("f4_page", """
     SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey < 1000
     ORDER BY o_orderkey DESC LIMIT 50""")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping as Dict
+from collections.abc import Sequence
 from datetime import datetime, timezone
 from typing import Any
 
@@ -13,8 +14,8 @@ from tidemark.functions.convert import convert_record
 from tidemark.operators.conform import conform
 from tidemark.operators.route import route
 from tidemark.plans.backfill import plan_pages, row_count, start_cursor
-from tidemark.plans.joblog import (JOB_DEFAULTS, JOB_SCHEMA, active_jobs, append_job_event, job_states,
-                                   read_job_log)
+from tidemark.plans.joblog import (JOB_DEFAULTS, JOB_SCHEMA, active_jobs, append_job_event,
+                                   job_progress, job_states, list_jobs, read_job_log)
 from tidemark.sinks import folders
 from tidemark.sinks.staging import Defaults, Schemas, write_replica
 from tidemark.sources.mapping import Mapping
@@ -78,6 +79,18 @@ class BackfillJobs:
             "batch_size": batch_size or JOB_DEFAULTS["batch_size"],
         })
 
+    def start_tables(self, sources: Dict[str, tuple[DataFrame, str]], **options: Any) -> list[Row]:
+        """Jobs for several tables, table → (rows, key); none starts if any table has no rule."""
+        known = self.mapping.distinct_tables()
+        unknown = [t for t in sources if t not in known]
+        if unknown:
+            raise LookupError(f"no rule for {unknown}; tables with rules: {known}")
+        return [self.start(table, rows, key, **options) for table, (rows, key) in sources.items()]
+
+    def jobs(self, status: str | Sequence[str] | None = None) -> DataFrame:
+        """Current jobs, newest first, with their progress in percent."""
+        return list_jobs(job_progress(self.log()), status, resolved=True)
+
     def pause(self, job_id: int) -> Row:
         job = self.get(job_id)
         if job is None:
@@ -101,8 +114,9 @@ class BackfillJobs:
 
         Pages are consecutive value ranges, so copying k of them is one filtered scan:
         ``low <= column < cursor`` reaches the source as a pushed filter and runs on all
-        cores; choosing ``low`` and counting read the ordering column alone.  Values equal
-        to ``low`` are copied with it.  A retry from the same cursor overwrites its batch.
+        cores.  Page borders are planned once per job, from the ordering column alone, and
+        kept beside the log; the last run has no lower border.  Values equal to ``low`` are
+        copied with it.  A retry from the same cursor overwrites its batch.
         A paused, failed or completed job reads nothing.
         """
         job = self.get(job_id)
@@ -116,15 +130,9 @@ class BackfillJobs:
         if job["cursor"] is not None:
             rest = rest.filter(F.col(col) < _literal(job["cursor"], source, col))
         try:
-            more = False
-            if max_pages is not None:
-                pages = plan_pages(rest, col, job["batch_size"], key=job["primary_key"]).filter(F.col("page") < max_pages)
-                end = pages.agg(F.min("last_id").cast("string").alias("low"),
-                                F.sum("rows").alias("rows")).first()
-                if end["low"] is not None:
-                    rest = rest.filter(F.col(col) >= _literal(end["low"], source, col))
-                    # As with single pages: a full last page means there may be more.
-                    more = end["rows"] == max_pages * job["batch_size"]
+            low = None if max_pages is None else self._border(job, rest, max_pages)
+            if low is not None:
+                rest = rest.filter(F.col(col) >= _literal(low["text"], source, col))
             done = rest.agg(F.count(F.lit(1)).alias("rows"), F.min(col).alias("low"),
                             F.min(col).cast("string").alias("text")).first()
             for dest, frame in route({job["source_table"]: rest}, self.mapping).items():
@@ -134,10 +142,29 @@ class BackfillJobs:
             self._update(job, status="failed", error_message=str(error)[:2000])
             raise
         now = self.get(job_id)  # paused meanwhile: keep that, and the progress made
-        status = "paused" if now["status"] == "paused" else "running" if more else "completed"
-        moved = _position(done["low"], done["text"]) if done["rows"] else {}
+        status = "paused" if now["status"] == "paused" else "completed" if low is None else "running"
+        # The border counts even if its rows are gone: otherwise the job would not move.
+        reached = low if low is not None else done
+        moved = _position(reached["low"], reached["text"]) if reached["low"] is not None else {}
         return self._update(now, status=status, processed_rows=job["processed_rows"] + done["rows"], **moved)
 
+    def _border(self, job: Row, rest: DataFrame, max_pages: int) -> Row | None:
+        """Least value of the next ``max_pages`` pages; none if they are the last ones."""
+        path = f"{self.log_dir}/_pages/{job['job_id']}"
+        if not folders.exists(self.spark, f"{path}/_SUCCESS"):
+            col, key = job["ordering_column"], job["primary_key"]
+            pages = plan_pages(rest, col, job["batch_size"], unique=col == key, key=key)
+            pages.select("page", "last_id").write.mode("overwrite").parquet(path)
+        pages = self.spark.read.parquet(path)
+        ahead = pages
+        if job["cursor"] is not None:
+            ahead = pages.filter(F.col("last_id") < _literal(job["cursor"], pages, "last_id"))
+        ends = ahead.agg(F.min("page").alias("first"), F.max("page").alias("last")).first()
+        if ends["first"] is None or ends["first"] + max_pages > ends["last"]:
+            return None
+        border = pages.filter(F.col("page") == ends["first"] + max_pages - 1)
+        return border.select(F.col("last_id").alias("low"), F.col("last_id").cast("string").alias("text")).first()
+
 
 def _position(value: Any, text: str | None = None) -> dict[str, Any]:
     is_integer = isinstance(value, int) and not isinstance(value, bool)

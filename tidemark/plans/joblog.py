@@ -80,9 +80,13 @@ def job_states(log: DataFrame) -> DataFrame:
     return latest_state(log, ["job_id"], ver="event_no", tie=None)
 
 
-def list_jobs(log: DataFrame, status: str | Sequence[str] | None = None) -> DataFrame:
-    """Current jobs with one of the statuses, newest first."""
-    jobs = job_states(log)
+def list_jobs(log: DataFrame, status: str | Sequence[str] | None = None,
+              resolved: bool = False) -> DataFrame:
+    """Current jobs with one of the statuses, newest first.
+
+    ``resolved`` says that the input has one row per job already.
+    """
+    jobs = log if resolved else job_states(log)
     if status is not None:
         jobs = jobs.filter(F.col("status").isin([status] if isinstance(status, str) else list(status)))
     return jobs.orderBy(F.col("inserted_at").desc(), F.col("job_id").desc())
