@@ -82,10 +82,10 @@ def v13_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("k3_json_rows", """
-    SELECT event_id, CASE WHEN event_type = 'error'
+    SELECT event_id, CAST(CASE WHEN event_type = 'error'
         THEN to_json({'user_id': CAST(user_id AS VARCHAR), 'value': CAST(value AS VARCHAR), 'props': props})
         ELSE to_json({'user_id': CAST(user_id AS VARCHAR), 'kind': event_type,
-                      'value': CAST(value AS VARCHAR), 'props': props}) END AS value
+                      'value': CAST(value AS VARCHAR), 'props': props}) END AS VARCHAR) AS value
     FROM events""")
 def k3_json_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "events").select(
@@ -95,10 +95,10 @@ def k3_json_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("k3_json_lineitem", """
-    SELECT l_orderkey, l_linenumber, to_json({
+    SELECT l_orderkey, l_linenumber, CAST(to_json({
         'l_partkey': CAST(l_partkey AS VARCHAR), 'l_quantity': CAST(l_quantity AS VARCHAR),
         'l_extendedprice': CAST(l_extendedprice AS VARCHAR), 'l_discount': CAST(l_discount AS VARCHAR),
-        'l_returnflag': l_returnflag, 'l_shipdate': strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')}) AS value
+        'l_returnflag': l_returnflag, 'l_shipdate': strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')}) AS VARCHAR) AS value
     FROM lineitem""")
 def k3_json_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     keys = ("l_orderkey", "l_linenumber")

@@ -27,9 +27,10 @@ def event_rate(changes: DataFrame, every: str = "minute", xid: str = "xid",
     spans two minutes counts once, where it commits.  Both steps aggregate before they
     shuffle, so a huge transaction is one row per task.
     """
+    times = transaction_times(changes, xid, ts)
+    kind = times.schema["commit_ts"].dataType  # date_trunc alone would add a zone to zone-less times
     return (
-        transaction_times(changes, xid, ts)
-        .groupBy(F.date_trunc(every, "commit_ts").alias("created_at"))
+        times.groupBy(F.date_trunc(every, "commit_ts").cast(kind).alias("created_at"))
         .agg(F.count(F.lit(1)).alias("total"))
         .select("total", "created_at")
     )
