@@ -18,7 +18,7 @@ from tidemark.session import local_session
 
 HEADLINE = (
     "r1_latest_state", "r2_current", "r3_snapshot_merge", "r3_orders_merge", "r4_exclude_live", "r5_event_rate",
-    "r6_refresh", "t4_remap", "t6_route", "t9_reject_counts", "v_convert_orders",
+    "r6_refresh", "t4_remap", "t6_route", "t9_reject_counts", "t9_route_rejects", "v_convert_orders",
     "v_convert_lineitem", "k3_json_rows", "k3_json_documents", "k3_json_lineitem", "k5_conform", "b1_batches",
     "k4_report", "s4_envelope", "s5_committed", "s5_transactions", "s6_casts", "f3_key_profile",
     "f4_page", "f5_pages", "f5_pages_ties", "f5_pages_text", "f6_windows", "f6_lineitem_windows", "f6_copy",

@@ -49,6 +49,19 @@ def test_latest_state_reduces_before_the_shuffle(spark, sf):
     assert "WindowGroupLimit" in below
 
 
+def test_numbering_shuffles_by_slot(spark, sf):
+    text = plan(QUERIES["b1_batches"](spark, sf))
+    rows = text[:text.index("BroadcastExchange")] if "BroadcastExchange" in text else text
+    assert re.search(r"Exchange hashpartitioning\(source_table#\d+, _slot#\d+L", rows)
+    assert "SinglePartition" not in text
+
+
+def test_transaction_lists_are_cut_by_position(spark, sf):
+    assert re.search(r"collect_list", plan(QUERIES["s5_transactions"](spark, sf)))
+    rows = QUERIES["s5_transactions"](spark, sf).selectExpr("max(operations) AS m").first()
+    assert rows["m"] <= 2**13
+
+
 def test_remap_prunes_the_scan(spark, sf):
     assert "p_size" not in plan(QUERIES["t4_remap"](spark, sf))
 

@@ -11,6 +11,7 @@ from tidemark.operators.rate import event_rate, with_commit_time
 from tidemark.operators.replica import latest_state, latest_state_stream
 from tidemark.sinks.staging import drain, read_replica, staged_batches
 from tidemark.sources.feed import read_changes
+from tidemark.sources.mapping import Entry, Mapping
 from tidemark.streaming.rate import event_rate_stream
 from tidemark.streaming.replicate import append_versions, closed_windows, replicate, route_changes
 
@@ -104,3 +105,16 @@ def test_event_rate_stream_counts_split_transactions_once(spark, changes, landed
     want = rows(closed_windows(batch, changes, "10 minutes").select("created_at", "total"))
     assert rows(closed_windows(got, changes, "10 minutes").select("created_at", "total")) == want
     assert len(want) > 300
+
+
+def test_rejects_of_a_stream_are_kept(spark, changes, landed, tmp_path):
+    rules = Mapping([Entry("click", "notes", remap={"id": "{id}", "text": "note {missing}"}),
+                     Entry("purchase", "purchases")])
+    stream = read_changes(spark, landed, FEED, streaming=True, max_files=2)
+    replicate(stream, rules, SCHEMAS, checkpoint_dir=f"{tmp_path}/cp", available_now=True,
+              replica_dir=f"{tmp_path}/replica", stage_dir=f"{tmp_path}/stage", held=lambda: {"notes"},
+              reject_dir=f"{tmp_path}/rejects").awaitTermination()
+    clicks = changes.filter("source_table = 'click'").count()
+    rejected = spark.read.json(f"{tmp_path}/rejects")
+    assert rejected.filter("source_table = 'click' AND reject_reason = 'text: no column missing'").count() == clicks
+    assert read_replica(spark, f"{tmp_path}/replica", "purchases", SCHEMAS["purchases"]).count() > 0

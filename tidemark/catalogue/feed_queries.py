@@ -13,7 +13,7 @@ from tidemark.operators.changes import filter_mapped, live_changes, stamp_versio
 from tidemark.operators.rate import event_rate, with_commit_time
 from tidemark.operators.replica import exclude_live, latest_state, merge_snapshot, refresh_keys
 from tidemark.operators.route import (register_script, reject_counts, rejects, remap, route,
-                                      split_rejects)
+                                      route_rejects, split_rejects)
 from tidemark.sources.feed import decode_envelope, read_changes
 from tidemark.sources.mapping import Entry, Mapping
 from tidemark.sources.snapshot import scan_source
@@ -267,6 +267,20 @@ def t9_reject_counts(spark: SparkSession, sf: str) -> DataFrame:
     return reject_counts(rejects(_noted(spark, sf), [NOTE_RULE, unfit]))
 
 
+@query("t9_route_rejects", f"""
+    SELECT source_table, 'text: note is null' AS reject_reason, CAST(id AS VARCHAR) AS id,
+           CAST(value AS VARCHAR) AS value
+    FROM ({FEED_SQL}) WHERE source_table IN ('click', 'view') AND (value IS NULL OR value <= 100)""")
+def t9_route_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejected rows of two tables that share a destination."""
+    rules = Mapping([Entry(t, "notes", remap=NOTE_RULE.remap) for t in ("click", "view")])
+    rows = feed_tables(_noted(spark, sf))
+    rejected = route_rejects({t: rows[t] for t in ("click", "view")}, rules)
+    back = F.from_json("value", "id STRING, value STRING")
+    return rejected.select("source_table", "reject_reason", back.alias("r")) \
+        .select("source_table", "reject_reason", "r.*")
+
+
 LATEST = "row_number() OVER (PARTITION BY id ORDER BY ver DESC, seq DESC) = 1"
 
 

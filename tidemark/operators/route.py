@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.convert import convert_record, to_json_rows
 from tidemark.functions.template import projection, reject_reason, settle
 from tidemark.sources.mapping import Entry, Mapping
 
@@ -116,3 +117,21 @@ def route(sources: Dict[str, DataFrame], mapping: Mapping) -> dict[str, DataFram
             for dest, frame in route_table(sources[table], mapping.by_source(table)):
                 by_dest.setdefault(dest, []).append(frame)
     return {dest: settle(fan_in(frames)) for dest, frames in by_dest.items()}
+
+
+def route_rejects(sources: Dict[str, DataFrame], mapping: Mapping) -> DataFrame | None:
+    """What ``route`` leaves out: ``source_table, reject_reason, value`` (the row as JSON).
+
+    ``None`` if the rules fit every row of these sources.
+    """
+    parts = []
+    for table in mapping.distinct_tables():
+        entries = mapping.by_source(table)
+        if table not in sources or (len(entries) == 1 and entries[0].script is not None):
+            continue
+        reason = _entries_reason(sources[table], entries)
+        if reason is not None:
+            kept = ("reject_reason",)
+            rows = to_json_rows(convert_record(_with_reason(sources[table], reason), kept), keep=kept)
+            parts.append(rows.select(F.lit(table).alias("source_table"), "reject_reason", "value"))
+    return reduce(DataFrame.unionByName, parts) if parts else None

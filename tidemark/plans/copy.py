@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.convert import convert_record
 from tidemark.operators.conform import conform
-from tidemark.operators.route import route
+from tidemark.operators.route import route, route_rejects
 from tidemark.plans.backfill import plan_pages, row_count, start_cursor
 from tidemark.plans.joblog import (JOB_DEFAULTS, JOB_SCHEMA, active_jobs, append_job_event,
                                    job_progress, job_states, list_jobs, read_job_log)
 from tidemark.sinks import folders
-from tidemark.sinks.staging import Defaults, Schemas, write_replica
+from tidemark.sinks.staging import Defaults, Schemas, write_rejects, write_replica
 from tidemark.sources.mapping import Mapping
 
 
@@ -109,7 +109,8 @@ class BackfillJobs:
         return self._update(job, status="running")
 
     def copy_pages(self, job_id: int, source: DataFrame, replica_dir: str, schemas: Schemas,
-                   defaults: Defaults | None = None, max_pages: int | None = None) -> Row:
+                   defaults: Defaults | None = None, max_pages: int | None = None,
+                   reject_dir: str | None = None) -> Row:
         """Copy the next pages of a job, all of them by default, and log the new cursor.
 
         Pages are consecutive value ranges, so copying k of them is one filtered scan:
@@ -117,7 +118,8 @@ class BackfillJobs:
         cores.  Page borders are planned once per job, from the ordering column alone, and
         kept beside the log; the last run has no lower border.  Values equal to ``low`` are
         copied with it.  A retry from the same cursor overwrites its batch.
-        A paused, failed or completed job reads nothing.
+        A paused, failed or completed job reads nothing.  Rows a rule cannot express count
+        as processed, and go to ``reject_dir`` with their reason if it is given.
         """
         job = self.get(job_id)
         if job is None:
@@ -135,7 +137,9 @@ class BackfillJobs:
                 rest = rest.filter(F.col(col) >= _literal(low["text"], source, col))
             done = rest.agg(F.count(F.lit(1)).alias("rows"), F.min(col).alias("low"),
                             F.min(col).cast("string").alias("text")).first()
-            for dest, frame in route({job["source_table"]: rest}, self.mapping).items():
+            sources = {job["source_table"]: rest}
+            write_rejects(route_rejects(sources, self.mapping), reject_dir, backfill_batch(job))
+            for dest, frame in route(sources, self.mapping).items():
                 fitted = conform(convert_record(frame), schemas[dest], (defaults or {}).get(dest))
                 write_replica(fitted, replica_dir, dest, backfill_batch(job))
         except Exception as error:

@@ -136,6 +136,12 @@ def drain(spark: SparkSession, stage_dir: str, replica_dir: str, schemas: Schema
     }
 
 
+def write_rejects(rejected: DataFrame | None, reject_dir: str | None, batch_id: int) -> None:
+    """Keep a batch's rejected rows with their reasons, replacing those of an earlier attempt."""
+    if rejected is not None and reject_dir is not None:
+        _replace(rejected.withColumn("batch_id", F.lit(batch_id).cast("long")), reject_dir, "json", "batch_id")
+
+
 def read_replica(spark: SparkSession, replica_dir: str, dest: str, schema: T.StructType) -> DataFrame:
     """All loaded versions of a table with their ``batch_id``; resolve with ``latest_state``."""
     path = f"{replica_dir}/dest_table={dest}"

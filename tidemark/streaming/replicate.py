@@ -13,41 +13,50 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.convert import convert_record
 from tidemark.operators.changes import filter_mapped, live_changes, stamp_version
 from tidemark.operators.conform import conform
-from tidemark.operators.route import route
-from tidemark.sinks.staging import Defaults, Schemas, stage_batch, write_replica
+from tidemark.operators.route import route, route_rejects
+from tidemark.sinks.staging import Defaults, Schemas, stage_batch, write_rejects, write_replica
 from tidemark.sources.feed import table_changes
 from tidemark.sources.mapping import Mapping
 
 LIVE_INTERVAL = "5 seconds"
 
 
-def route_changes(changes: DataFrame, mapping: Mapping,
-                  record_schemas: Dict[str, T.StructType] | None = None,
-                  by: str = "seq") -> dict[str, DataFrame]:
-    """Change rows of many tables → versioned rows per destination (batch or micro-batch)."""
+def live_tables(changes: DataFrame, mapping: Mapping,
+                record_schemas: Dict[str, T.StructType] | None = None,
+                by: str = "seq") -> dict[str, DataFrame]:
+    """Change rows of many tables → versioned live rows per mapped table."""
     live = stamp_version(live_changes(filter_mapped(changes, mapping)), by=by)
-    sources = {
+    return {
         table: table_changes(live, table, (record_schemas or {}).get(table), keep=("ver",))
         for table in mapping.distinct_tables()
     }
-    return route(sources, mapping)
+
+
+def route_changes(changes: DataFrame, mapping: Mapping,
+                  record_schemas: Dict[str, T.StructType] | None = None,
+                  by: str = "seq") -> dict[str, DataFrame]:
+    """Change rows of many tables → versioned rows per destination (batch or micro-batch)."""
+    return route(live_tables(changes, mapping, record_schemas, by), mapping)
 
 
 def replicate(changes: DataFrame, mapping: Mapping, schemas: Schemas, *, replica_dir: str,
               stage_dir: str, checkpoint_dir: str,
               record_schemas: Dict[str, T.StructType] | None = None,
               held: Callable[[], set[str]] = set, defaults: Defaults | None = None,
-              available_now: bool = False, interval: str = LIVE_INTERVAL) -> StreamingQuery:
+              reject_dir: str | None = None, available_now: bool = False, interval: str = LIVE_INTERVAL) -> StreamingQuery:
     """Start the live path.
 
     Each micro-batch is loaded under its own id: a replay after a failure overwrites the
-    batch.  Destinations in ``held()`` are staged instead, for ``drain`` to load.
+    batch.  Destinations in ``held()`` are staged instead, for ``drain`` to load.  Rows a
+    rule cannot express go to ``reject_dir`` with their reason, if it is given.
     """
     def load(batch: DataFrame, batch_id: int) -> None:
         waiting = held()
         batch = batch.persist() if len(mapping) > 1 else batch
         try:
-            routed = route_changes(batch, mapping, record_schemas)
+            tables = live_tables(batch, mapping, record_schemas)
+            routed = route(tables, mapping)
+            write_rejects(route_rejects(tables, mapping), reject_dir, batch_id)
             staged = {dest: rows for dest, rows in routed.items() if dest in waiting}
             if staged:
                 stage_batch(staged, stage_dir, batch_id)
