@@ -69,13 +69,13 @@ item AS (
     SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
     FROM benchmark),
 win AS (
-    SELECT item_id, k, i - 1 AS at, array_to_string(w[i:i + k - 1], ' ') AS s FROM (
+    SELECT item_id, k, i - 1 AS off, array_to_string(w[i:i + k - 1], ' ') AS s FROM (
         SELECT item_id, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
         FROM item WHERE len(w) > 0)),
 place AS (
     SELECT rid, k, i, array_to_string(w[i:i + k - 1], ' ') AS s FROM (
         SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM doc, (SELECT DISTINCT k FROM win) WHERE len(w) >= k)),
-hit AS (SELECT rid, item_id, p.i, p.k, p.i - at AS diagonal FROM place p JOIN win USING (k, s)),
+hit AS (SELECT rid, item_id, p.i, p.k, p.i - off AS diagonal FROM place p JOIN win USING (k, s)),
 words AS (SELECT rid, count(DISTINCT x) AS n FROM (SELECT rid, unnest(range(i, i + k)) AS x FROM hit) GROUP BY rid),
 items AS (
     SELECT rid, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
