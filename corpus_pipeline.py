@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, quality
+from tidemark.llm import decontaminate, mixing, near_duplicates, quality, sharding
 from tidemark.llm.common import stored, table
 
 
@@ -13,14 +13,34 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def near_duplicate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (5-word shingles, similarity 0.8)."""
+    return near_duplicates.keep_one_each(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of the benchmark occurs."""
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it; not at all, once, or up to three times."""
+    return mixing.mixed_documents(docs)
+
+
+def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their shard (0 to 7, near-equal bytes) and their slot in it; columns of
+    these names give way."""
+    return sharding.shard(docs.drop("shard", "slot")).drop("_op4_size", "_op4_crc") \
+        .withColumnsRenamed({"_op4_shard": "shard", "_op4_slot": "slot"})
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("MinHash near-duplicates", near_duplicate_documents),
     ("benchmark decontamination", decontamination),
+    ("mixing to target weights", mixture),
+    ("sharding", sharded),
 ]
 # Hashing words into sketches and the subset-sum program have no SQL form; tests/llm compares with brute force.
 ORACLE_SQL = None

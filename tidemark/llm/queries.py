@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, quality
+from tidemark.llm import decontaminate, mixing, near_duplicates, quality, sharding
 from tidemark.llm.common import table
 
 WORDS_SQL = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
@@ -52,6 +52,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged"""
 
 
+def op4_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("_op4_size").alias("size"), F.col("_op4_crc").alias("text_crc32"), F.lit("bytes").alias("law"),
+        F.col("_op4_shard").alias("shard"), F.col("_op4_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), size=2)
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")) \
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))) \
+        .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("passes")).alias("taken"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -91,6 +107,9 @@ FROM doc LEFT JOIN words USING (rid) LEFT JOIN items USING (rid) LEFT JOIN longe
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op4_sampled_splitters": op4_sampled_splitters,
+    "op6_near_duplicates": op6_near_duplicates,
+    "op8_mixing": op8_mixing,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 SQL = {
