@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, near_duplicates, quality, sharding
+from tidemark.llm import (
+    decontaminate,
+    html_text,
+    language,
+    licences,
+    mixing,
+    near_duplicates,
+    personal_data,
+    quality,
+    sharding,
+    toxicity,
+)
 from tidemark.llm.common import table
 
 WORDS_SQL = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("failed_rule")
 
@@ -52,22 +69,55 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged"""
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(table(spark, sf_dir, "documents"))
+
+    def joined(kinds: Sequence[str]) -> Column:
+        chosen = F.filter("spans", lambda s: s["kind"].isin(list(kinds)))
+        return F.array_join(F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, personal_data.BASE_KINDS), F.sha2(joined(personal_data.BASE_KINDS), 256).alias("base_sha256"),
+                        joined(personal_data.KINDS).alias("spans"))
+
+
 def op4_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents")).select(
         "doc_id", F.col("_op4_size").alias("size"), F.col("_op4_crc").alias("text_crc32"), F.lit("bytes").alias("law"),
         F.col("_op4_shard").alias("shard"), F.col("_op4_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files ``source/thousand/fifty/name``; the first of a folder is its licence file."""
+    number = F.col("doc_id")
+    name = F.when(F.pmod(number, F.lit(50)) == 0, "LICENSE").otherwise(F.concat(number.cast("string"), F.lit(".txt")))
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.floor(number / 1000), F.floor(number / 50), name)
+    files = table(spark, sf_dir, "documents").select(number.alias("file"), path.alias("path"), "text")
+    return licences.scan(spark, files).withColumnRenamed("file", "doc_id")
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), size=2)
 
 
+def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")) \
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))) \
         .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("passes")).alias("taken"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.training_texts(docs))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -105,14 +155,55 @@ SELECT doc_id, len(w) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.
        sha256(coalesce(ids, '')) AS items_sha256, words.n IS NOT NULL AS contaminated, coalesce(longest.n, 0) AS longest_match
 FROM doc LEFT JOIN words USING (rid) LEFT JOIN items USING (rid) LEFT JOIN longest USING (rid)"""
 
+_NOTICE_ROWS = ",\n    ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(licences.NOTICES))
+OP5_SQL = rf"""
+WITH notices(notice, licence, line) AS (VALUES {_NOTICE_ROWS}),
+files AS (
+    SELECT doc_id, text, concat_ws('/', coalesce(source, '-'), doc_id // 1000, doc_id // 50) AS folder,
+           CASE WHEN doc_id % 50 = 0 THEN 'LICENSE' ELSE doc_id || '.txt' END AS name FROM documents),
+split AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
+lines AS (SELECT doc_id, pos, regexp_extract_all(lower(line), '{licences.TERM}') AS terms FROM split
+          WHERE regexp_matches(line, '{licences.CUE}')),
+n AS (SELECT count(*) AS n FROM lines),
+df AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT doc_id, pos, unnest(terms) AS term FROM lines) GROUP BY term),
+side AS (
+    SELECT doc_id AS a, pos AS b, 0 AS kind, unnest(terms) AS term FROM lines
+    UNION ALL SELECT notice, 0, 1, unnest(regexp_extract_all(lower(line), '{licences.TERM}')) FROM notices),
+weight AS (
+    SELECT a, b, kind, term, count(*) * (ln((1.0 + any_value(n)) / (1 + coalesce(any_value(df), 0))) + 1) AS w
+    FROM side LEFT JOIN df USING (term), n GROUP BY a, b, kind, term),
+norm AS (SELECT a, b, kind, sqrt(sum(w * w)) AS norm FROM weight GROUP BY a, b, kind),
+near AS (
+    SELECT x.a AS doc_id, y.a AS notice, sum(x.w * y.w) / (any_value(p.norm) * any_value(q.norm)) AS score
+    FROM weight x JOIN weight y ON x.term = y.term AND x.kind = 0 AND y.kind = 1
+    JOIN norm p ON p.a = x.a AND p.b = x.b AND p.kind = 0 JOIN norm q ON q.a = y.a AND q.kind = 1
+    GROUP BY x.a, x.b, y.a),
+own AS (
+    SELECT doc_id, licence, round(score, 4) AS score FROM near JOIN notices USING (notice) WHERE score >= {licences.LEAST_COSINE}
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 4) DESC, notice) = 1),
+spoken AS (
+    SELECT folder, licence FROM files JOIN own USING (doc_id) WHERE name = 'LICENSE'
+    QUALIFY row_number() OVER (PARTITION BY folder ORDER BY score DESC, doc_id) = 1)
+SELECT f.doc_id, f.folder || '/' || f.name AS path, coalesce(o.licence, s.licence) AS licence,
+       CASE WHEN o.licence IS NOT NULL THEN 'own' WHEN s.licence IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin, o.score
+FROM files f LEFT JOIN own o USING (doc_id) LEFT JOIN LATERAL (
+    SELECT licence FROM spoken WHERE f.folder = spoken.folder OR starts_with(f.folder, spoken.folder || '/')
+    ORDER BY length(spoken.folder) DESC LIMIT 1) s ON true"""
+
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_quality_rules": op2_quality_rules,
+    "op3_personal_data": op3_personal_data,
     "op4_sampled_splitters": op4_sampled_splitters,
+    "op5_licence_scan": op5_licence_scan,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_toxicity_chain": op7_toxicity_chain,
     "op8_mixing": op8_mixing,
+    "op9_language_id": op9_language_id,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 SQL = {
     "op2_quality_rules": OP2_SQL,
+    "op5_licence_scan": OP5_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
 }
