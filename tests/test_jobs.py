@@ -8,7 +8,7 @@ from tidemark.plans import copy as copy_module
 from tidemark.plans.copy import BackfillJobs
 from tidemark.plans.joblog import JOB_SCHEMA, active_jobs, audit_transitions, job_progress, job_states, list_jobs
 from tidemark.plans.reports import progress, unmapped_report
-from tidemark.sinks.staging import loaded_batches, read_replica
+from tidemark.sinks.staging import compact, current_rows, read_replica
 from tidemark.sources.mapping import Mapping
 
 RULES = Mapping.from_dicts([
@@ -140,21 +140,53 @@ def test_many_tables_and_listing(spark, job_run):
     assert jobs.jobs("completed").count() == 0
 
 
-def test_a_crash_before_the_log_write_is_repeated_without_doubles(spark, job_run, monkeypatch):
+@pytest.mark.parametrize("same_step", [True, False])
+def test_a_crash_before_the_log_write_loses_nothing(spark, job_run, monkeypatch, same_step):
     jobs, run = job_run
     source = items(spark, 12)
     job = jobs.start("items", source, "id", batch_size=4)
-    real = copy_module.write_replica
+    real = copy_module.drain
     with monkeypatch.context() as patch:
-        def crash(rows, replica_dir, dest, batch):
-            real(rows, replica_dir, dest, batch)
+        def crash(*args, **options):
+            real(*args, **options)
             raise KeyboardInterrupt
-        patch.setattr(copy_module, "write_replica", crash)
+        patch.setattr(copy_module, "drain", crash)
         with pytest.raises(KeyboardInterrupt):
             jobs.copy_pages(job["job_id"], source, max_pages=1, **run)
+    if same_step:
+        jobs.copy_pages(job["job_id"], source, max_pages=1, **run)
+        assert ids(spark, run) == [8, 9, 10, 11]
     job = jobs.copy_pages(job["job_id"], source, **run)
-    assert job["status"] == "completed" and ids(spark, run) == list(range(12))
-    assert len(loaded_batches(spark, run["replica_dir"], "things")) == 1
+    assert job["status"] == "completed" and set(ids(spark, run)) == set(range(12))
+    assert current_rows(spark, run["replica_dir"], "things", SCHEMAS["things"], ["id"]).count() == 12
+
+
+def test_every_step_is_logged(spark, job_run):
+    jobs, run = job_run
+    source = items(spark, 23)
+    job = jobs.start("items", source, "id", batch_size=5)
+    jobs.copy_pages(job["job_id"], source, pages_per_step=2, **run)
+    steps = [(r["processed_rows"], r["last_processed_id"], r["status"]) for r in jobs.log().orderBy("event_no").collect()]
+    assert steps == [(0, 23, "pending"), (0, 23, "running"), (10, 13, "running"), (20, 3, "running"), (23, 0, "completed")]
+
+
+def test_two_log_folders_and_a_second_backfill_lose_nothing(spark, tmp_path):
+    run = {"replica_dir": str(tmp_path / "replica"), "schemas": SCHEMAS}
+    for name, value in (("log", "old"), ("log", "newer"), ("other", "newest")):
+        jobs = BackfillJobs(spark, str(tmp_path / name), RULES)
+        source = items(spark, 5).withColumn("v", F.lit(value))
+        jobs.copy_pages(jobs.start("items", source, "id")["job_id"], source, **run)
+        state = current_rows(spark, run["replica_dir"], "things", SCHEMAS["things"], ["id"])
+        assert [r["v"] for r in state.collect()] == [value] * 5
+        compact(spark, run["replica_dir"], "things", SCHEMAS["things"], ["id"])
+
+
+def test_starting_all_tables_finds_keys(spark, job_run):
+    jobs, run = job_run
+    (job,) = jobs.start_all({"items": items(spark, 8).select(F.lit(1).alias("k"), "id", "v"), "x": spark.range(1)})
+    assert (job["source_table"], job["primary_key"]) == ("items", "id")
+    with pytest.raises(LookupError, match="items"):
+        jobs.start_all({"items": spark.range(4).select(F.lit(1).alias("k"))})
 
 
 def test_a_failed_run(spark, job_run):

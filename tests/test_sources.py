@@ -4,10 +4,10 @@ import json
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.plans.keys import primary_key, profile_keys, screen_keys
+from tidemark.plans.keys import find_key, primary_key, profile_keys, screen_keys
 from tidemark.sources.feed import decode_envelope, read_changes, table_changes
 from tidemark.sources.snapshot import jdbc_windows, scan_source
-from tidemark.sources.transactions import (assemble_transactions, committed_changes,
+from tidemark.sources.transactions import (assemble_transactions, committed_changes, numbered_operations,
                                            project_operation)
 
 
@@ -31,6 +31,13 @@ def test_envelope_operations(spark):
     assert first["commit_ts"] == dt.datetime(2019, 5, 28, 8, 58, 24, 863000)
 
 
+def test_text_that_cannot_be_read_is_kept(spark):
+    row = T.StructType.fromDDL("id INT, email STRING")
+    texts = [envelope("c", after={"id": 1}), envelope("c", after={"id": "abc"}), "not json", '{"op": "c"}']
+    got = decode_envelope(spark.createDataFrame([(t,) for t in texts], "value STRING"), row).collect()
+    assert [r["corrupt"] for r in got] == [None, *texts[1:]]
+
+
 def test_table_changes_flattens_structs_and_text(spark):
     changes = spark.createDataFrame(
         [("insert", 1, "a", (1, "x")), ("insert", 2, "b", (2, "y"))],
@@ -85,12 +92,20 @@ def test_transactions(spark):
     assert [(r["xid"], r["kind"], r["lsn"], r["end_lsn"]) for r in flat] == [
         (1, "insert", 10, 19), (1, "delete", 10, 19), (5, "update", 50, 59), (5, "update", 50, 59),
         (5, "insert", 50, 59)]
-    whole = assemble_transactions(messages).orderBy("xid", "part").collect()
+    numbered = numbered_operations(messages).orderBy("xid", "op_no").collect()
+    assert [(r["xid"], r["op_no"], r["operations"]) for r in numbered] == [(1, 0, 2), (1, 1, 2), (5, 0, 3), (5, 1, 3), (5, 2, 3)]
+    whole = assemble_transactions(messages, 10).orderBy("xid", "part").collect()
     assert [(r["xid"], r["ops"]) for r in whole] == [
         (1, ["insert", "delete"]), (5, ["update", "update", "insert"])]
-    parts = assemble_transactions(messages, span_bits=1).orderBy("xid", "part").collect()
+    parts = assemble_transactions(messages, 2).orderBy("xid", "part").collect()
     assert [(r["xid"], r["part"], r["ops"]) for r in parts] == [
-        (1, 1, ["insert"]), (1, 2, ["delete"]), (5, 7, ["update"]), (5, 8, ["update", "insert"])]
+        (1, 0, ["insert", "delete"]), (5, 0, ["update", "update"]), (5, 1, ["insert"])]
+
+
+def test_a_short_transaction_anywhere_in_the_log_is_one_list(spark):
+    far = [(kind, xid, lsn, end, seq + 8190) for kind, xid, lsn, end, seq in MESSAGES]
+    messages = spark.createDataFrame(far, "kind STRING, xid BIGINT, lsn BIGINT, end_lsn BIGINT, seq BIGINT")
+    assert [(r["xid"], r["part"]) for r in assemble_transactions(messages, 10).orderBy("xid").collect()] == [(1, 0), (5, 0)]
 
 
 def test_typed_operations(spark):
@@ -146,4 +161,5 @@ def test_profile_keys(spark):
 def test_screen_keys(spark):
     df = spark.range(1000).select("id", (F.col("id") % 10).alias("few"), F.lit(None).cast("int").alias("none"),
                                   (F.col("id") / 1.1).alias("most"))
-    assert screen_keys(df, df.columns) == ["id", "most"]
+    assert screen_keys(df, df.columns) == ["id", "most", "few"]
+    assert find_key(df.select("few", "none", "most", "id")) == "most" and find_key(df.select("few", "none")) is None

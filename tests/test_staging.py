@@ -5,12 +5,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.catalogue.tables import row_type
-from tidemark.operators.replica import latest_state
-from tidemark.sinks import folders
-from tidemark.sinks.staging import (HoldGate, compact, drain, load_batch, loaded_batches, read_replica,
+from tidemark.sinks import folders, loads
+from tidemark.sinks.staging import (HoldGate, compact, current_rows, drain, load_batch, loaded_batches, read_replica,
                                     read_staged, read_staged_files, split_held, stage_batch,
                                     staged_batches, write_replica)
-from tidemark.sinks.views import append_partials, build_view, drop_view, materialize, read_partials
+from tidemark.sinks.views import append_partials, build_view, drop_view, materialize, read_partials, read_view
 
 SCHEMAS = {
     "a": T.StructType([T.StructField("id", T.LongType(), False), T.StructField("v", T.DoubleType()),
@@ -31,54 +30,116 @@ def rows_a(spark, low, high, ver=0):
 
 def test_stage_then_load(spark, dirs):
     stage, replica = dirs
-    stage_batch({"a": rows_a(spark, 0, 5), "wide_name_b": spark.range(3).withColumn("ver", F.lit(1))}, stage, 7)
-    stage_batch({"a": rows_a(spark, 5, 9)}, stage, 3)
-    assert staged_batches(spark, stage) == {"a": [3, 7], "wide_name_b": [7]}
-    wire = read_staged(spark, stage, "a", SCHEMAS["a"], [7]).orderBy("id").first()
-    assert (wire["id"], wire["v"], wire["tags"], wire["batch_id"]) == ("0", "0.0", ["1", None], 7)
+    stage_batch({"a": rows_a(spark, 0, 5), "wide_name_b": spark.range(3).withColumn("ver", F.lit(1))}, stage, "s", 7)
+    stage_batch({"a": rows_a(spark, 5, 9)}, stage, "s", 3)
+    assert staged_batches(spark, stage) == {"a": {"s": [3, 7]}, "wide_name_b": {"s": [7]}}
+    wire = read_staged(spark, stage, "a", SCHEMAS["a"], {"s": [7]}).orderBy("id").first()
+    assert (wire["id"], wire["v"], wire["tags"], wire["load_batch"]) == ("0", "0.0", ["1", None], 7)
     assert drain(spark, stage, replica, SCHEMAS) == {"a": 2, "wide_name_b": 1}
-    assert staged_batches(spark, stage) == {"a": [], "wide_name_b": []}
+    assert staged_batches(spark, stage) == {"a": {"s": []}, "wide_name_b": {"s": []}}
     got = read_replica(spark, replica, "a", SCHEMAS["a"])
-    assert sorted((r["id"], r["v"], tuple(r["tags"]), r["batch_id"]) for r in got.collect()) == [
+    assert sorted((r["id"], r["v"], tuple(r["tags"]), r["load_batch"]) for r in got.collect()) == [
         (i, i / 2, (1, None), 7 if i < 5 else 3) for i in range(9)]
+    assert loaded_batches(spark, replica, "a") == {"s": [[3, 3], [7, 7]]}
     assert drain(spark, stage, replica, SCHEMAS) == {}
 
 
 def test_repeating_a_batch_changes_nothing(spark, dirs):
     stage, replica = dirs
     for _ in range(2):
-        stage_batch({"a": rows_a(spark, 0, 5)}, stage, 1)
-    load_batch(spark, stage, replica, "a", SCHEMAS["a"], [1])
-    stage_batch({"a": rows_a(spark, 0, 5)}, stage, 1)
-    assert load_batch(spark, stage, replica, "a", SCHEMAS["a"], [1]) == 0
-    assert not folders.exists(spark, f"{stage}/dest_table=a/batch_id=1")
-    write_replica(rows_a(spark, 0, 5), replica, "a", 1)
+        stage_batch({"a": rows_a(spark, 0, 5)}, stage, "s", 1)
+    load_batch(spark, stage, replica, "a", SCHEMAS["a"], {"s": [1]})
+    stage_batch({"a": rows_a(spark, 0, 5)}, stage, "s", 1)
+    assert load_batch(spark, stage, replica, "a", SCHEMAS["a"], {"s": [1]}) == 0
+    assert not folders.exists(spark, f"{stage}/dest_table=a/load_origin=s/load_batch=1")
+    assert write_replica(rows_a(spark, 0, 5), replica, "a", "s", 1) is None
     assert read_replica(spark, replica, "a", SCHEMAS["a"]).count() == 5
 
 
-def test_a_bad_batch_stays_staged(spark, dirs):
+def test_equal_batch_ids_of_two_origins_stay_apart(spark, dirs):
     stage, replica = dirs
-    stage_batch({"a": rows_a(spark, 0, 3).withColumn("v", F.lit("no number"))}, stage, 1)
+    for name, low in (("first", 0), ("second", 10)):
+        stage_batch({"a": rows_a(spark, low, low + 5)}, stage, name, 0)
+        assert drain(spark, stage, replica, SCHEMAS) == {"a": 1}
+    assert read_replica(spark, replica, "a", SCHEMAS["a"]).count() == 10
+
+
+def test_of_equal_versions_the_last_loaded_wins(spark, dirs):
+    _, replica = dirs
+    for number, v in enumerate((1.0, 2.0, 3.0)):
+        assert write_replica(rows_a(spark, 0, 3).withColumn("v", F.lit(v)), replica, "a", f"run{number}", 0) == number
+        if number == 1:
+            break
+    compact(spark, replica, "a", SCHEMAS["a"], ["id"])
+    assert {r["v"] for r in current_rows(spark, replica, "a", SCHEMAS["a"], ["id"]).collect()} == {2.0}
+    write_replica(rows_a(spark, 0, 3).withColumn("v", F.lit(3.0)), replica, "a", "run2", 0)
+    assert {r["v"] for r in current_rows(spark, replica, "a", SCHEMAS["a"], ["id"]).collect()} == {3.0}
+
+
+def test_a_load_that_died_leaves_nothing(spark, dirs, monkeypatch):
+    _, replica = dirs
+    write_replica(rows_a(spark, 0, 3), replica, "a", "s", 0)
+
+    def die(*args, **kwargs):
+        raise KeyboardInterrupt
+    with monkeypatch.context() as patch:
+        patch.setattr(loads, "commit", die)
+        with pytest.raises(KeyboardInterrupt):
+            write_replica(rows_a(spark, 3, 6), replica, "a", "s", 1)
+    assert read_replica(spark, replica, "a", SCHEMAS["a"]).count() == 3
+    assert write_replica(rows_a(spark, 3, 6), replica, "a", "s", 1) == 1
+    assert read_replica(spark, replica, "a", SCHEMAS["a"]).count() == 6
+
+
+def test_two_writers_never_share_a_number(spark, dirs, monkeypatch):
+    _, replica = dirs
+    empty = loads.Manifest()
+    with monkeypatch.context() as patch:
+        patch.setattr(loads, "manifest", lambda *args: empty)  # both saw the table before the other's commit
+        numbers = [loads.commit(spark, replica, "a", name, rows=0, batches={name: [[0, 0]]}) for name in ("x", "y")]
+    assert numbers == [0, 1] and loaded_batches(spark, replica, "a") == {"x": [[0, 0]], "y": [[0, 0]]}
+
+
+def test_a_bad_batch_stays_staged_and_is_reported(spark, dirs):
+    stage, replica = dirs
+    stage_batch({"a": rows_a(spark, 0, 3).withColumn("v", F.lit("no number"))}, stage, "s", 1)
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         drain(spark, stage, replica, SCHEMAS)
-    assert staged_batches(spark, stage)["a"] == [1]
-    assert loaded_batches(spark, replica, "a") == set()
+    assert staged_batches(spark, stage)["a"] == {"s": [1]}
+    assert loaded_batches(spark, replica, "a") == {}
     assert read_replica(spark, replica, "a", SCHEMAS["a"]).count() == 0
+    (report,) = spark.read.json(f"{replica}/_failed").collect()
+    assert (report["rows"], report["ids"], report["load_batch"]) == (3, "0,1,2", 1)
 
 
-def test_compact_keeps_latest_rows_and_tombstones(spark, dirs, tmp_path):
+def test_misfits_and_rows_without_a_key_are_kept_aside(spark, dirs, tmp_path):
+    stage, replica = dirs
+    rows = rows_a(spark, 0, 6).withColumn("v", F.when(F.col("id") == 1, "x").otherwise(F.col("v").cast("string"))) \
+        .withColumn("id", F.when(F.col("id") != 2, F.col("id")))
+    stage_batch({"a": rows}, stage, "s", 1)
+    assert drain(spark, stage, replica, SCHEMAS, keys={"a": ("id",)}, reject_dir=f"{tmp_path}/rejects") == {"a": 1}
+    assert sorted(r["id"] for r in read_replica(spark, replica, "a", SCHEMAS["a"]).collect()) == [0, 3, 4, 5]
+    assert sorted(r["reject_reason"] for r in spark.read.json(f"{tmp_path}/rejects").collect()) == [
+        "does not fit: id", "does not fit: v"]
+    (entry,) = loads.entries(spark, replica, "a").collect()
+    assert (entry["rows"], entry["rejected"]) == (4, 2)
+
+
+def test_compact_keeps_latest_rows_tombstones_and_batches(spark, dirs):
     _, replica = dirs
-    fresh = str(tmp_path / "fresh")
     schema = row_type("id BIGINT NOT NULL, deleted_at STRING, ver BIGINT NOT NULL")
     for batch, (ver, gone) in enumerate([(1, None), (2, None), (3, "now")]):
         rows = spark.range(4 if ver < 3 else 2).select("id", F.lit(gone).cast("string").alias("deleted_at"),
                                                        F.lit(ver).cast("long").alias("ver"))
-        write_replica(rows, replica, "a", batch)
-    compact(spark, replica, fresh, "a", schema, ["id"])
-    assert loaded_batches(spark, fresh, "a") == {2}
-    got = read_replica(spark, fresh, "a", schema)
+        write_replica(rows, replica, "a", "s", batch)
+    for _ in range(2):
+        compact(spark, replica, "a", schema, ["id"])
+    assert loaded_batches(spark, replica, "a") == {"s": [[0, 2]]}
+    assert write_replica(spark.range(1).withColumn("deleted_at", F.lit("x")).withColumn("ver", F.lit(9)), replica, "a", "s", 2) is None
+    got = read_replica(spark, replica, "a", schema)
     assert sorted((r["id"], r["ver"]) for r in got.collect()) == [(0, 3), (1, 3), (2, 2), (3, 2)]
-    assert latest_state(got, ["id"], tie=None, deleted="deleted_at").count() == 2
+    assert current_rows(spark, replica, "a", schema, ["id"], deleted="deleted_at").count() == 2
+    assert len(folders.names(spark, f"{replica}/dest_table=a")) == 2  # of the replaced ones only the last generation
 
 
 def test_flat_staged_files(spark, tmp_path):
@@ -109,15 +170,17 @@ def test_views(spark, dirs, tmp_path):
     stage, replica = dirs
     main, other = str(tmp_path / "main"), str(tmp_path / "other")
     view = materialize(spark, "squares", "SELECT id, id * id AS sq FROM {n}", [main, other, main + "/"], n=spark.range(4))
-    assert view.count() == 4 == spark.read.parquet(other).count() == spark.table("squares").count()
+    assert view.count() == 4 == read_view(spark, other).count() == spark.table("squares").count()
+    materialize(spark, "squares", "SELECT id, id * id AS sq FROM {n}", [main], n=spark.range(5))
+    assert view.count() == 4 and read_view(spark, main).count() == 5  # the old generation can still be read
     gate = HoldGate(spark, str(tmp_path / "holds"))
-    stage_batch({"a": rows_a(spark, 0, 3)}, stage, 1)
+    stage_batch({"a": rows_a(spark, 0, 3)}, stage, "s", 1)
     common = {"table": "a", "gate": gate, "stage_dir": stage, "replica_dir": replica, "schemas": SCHEMAS}
     with pytest.raises(Exception):
         build_view(spark, "bad", "SELECT nothing FROM {n}", [main], n=spark.range(4), **common)
-    assert gate.held() == set() and staged_batches(spark, stage)["a"] == [1]
+    assert gate.held() == set() and staged_batches(spark, stage)["a"] == {"s": [1]}
     build_view(spark, "good", "SELECT max(id) AS m FROM {n}", [main], n=spark.range(4), **common)
-    assert gate.held() == set() and loaded_batches(spark, replica, "a") == {1}
+    assert gate.held() == set() and loaded_batches(spark, replica, "a") == {"s": [[1, 1]]}
     drop_view(spark, "squares", [other])
     assert not folders.exists(spark, other)
 

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.catalogue.registry import query
 from tidemark.catalogue.tables import FEED_SQL, JOB_LOG_SQL, RULES, feed, job_log, row_type, table
 from tidemark.operators.changes import live_changes
-from tidemark.plans.backfill import (copy_windows, fetch_page, max_value, plan_pages, plan_windows,
-                                     unordered_rows)
-from tidemark.plans.copy import BackfillJobs
+from tidemark.plans.backfill import (catalogue_estimate, copy_windows, fetch_page, max_value, plan_pages,
+                                     plan_windows, row_count, unordered_rows)
+from tidemark.plans.copy import BackfillJobs, copy_by_windows
 from tidemark.plans.joblog import active_jobs, audit_transitions, job_progress, job_states, list_jobs
 from tidemark.plans.keys import profile_keys, screen_keys
 from tidemark.plans.reports import progress, unmapped_report
 from tidemark.session import scratch_path
-from tidemark.sinks.staging import read_replica
+from tidemark.sinks.staging import compact, current_rows, read_replica
 from tidemark.sources.mapping import Mapping
 
 
@@ -28,9 +30,17 @@ def f1_max(spark: SparkSession, sf: str) -> DataFrame:
     SELECT 'orders' AS source_table, count(*) AS rows FROM orders
     UNION ALL SELECT 'lineitem', count(*) FROM lineitem""")
 def f2_counts(spark: SparkSession, sf: str) -> DataFrame:
-    counts = [table(spark, sf, t).agg(F.count(F.lit(1)).alias("rows"))
-              .select(F.lit(t).alias("source_table"), "rows") for t in ("orders", "lineitem")]
-    return counts[0].unionByName(counts[1])
+    """One table by exact count, one by the estimate its catalogue keeps."""
+    orders = table(spark, sf, "orders")
+    name = f"f2_{uuid.uuid4().hex}"
+    table(spark, sf, "lineitem").select("l_orderkey").write.saveAsTable(name)
+    try:
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+        rows = [("orders", row_count(orders, None)),
+                ("lineitem", row_count(spark.table(name), catalogue_estimate(spark, name)))]
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame(rows, "source_table STRING, rows BIGINT")
 
 
 def _profile_sql(source: str, candidates: list[tuple[str, str]]) -> str:
@@ -52,13 +62,25 @@ def f3_composite_key(spark: SparkSession, sf: str) -> DataFrame:
     return profile_keys(table(spark, sf, "conversations"), ["conv_id", "turn", ("conv_id", "turn")])
 
 
-@query("f3_screened_keys", _profile_sql("orders", [("o_orderkey", "o_orderkey")]))
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+
+
+@query("f3_screened_keys", _profile_sql("orders", [(c, c) for c in ORDER_COLUMNS]))
 def f3_screened_keys(spark: SparkSession, sf: str) -> DataFrame:
-    """All columns screened in one pass; only the likely keys are counted exactly."""
-    orders = table(spark, sf, "orders").drop("o_orderdate", "o_totalprice")
+    """All columns screened in one pass, those without nulls counted exactly, the likeliest first."""
+    orders = table(spark, sf, "orders")
     return profile_keys(orders, screen_keys(orders, orders.columns))
 
 
+@query("f3_found_key", "SELECT 'orders' AS source_table, 'o_orderkey' AS key UNION ALL SELECT 'customer', 'c_custkey'")
+def f3_found_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Jobs for all mapped tables, each key found in the data."""
+    rules = Mapping.from_dicts([{"source_table": t, "dest_table": t} for t in ("orders", "customer")])
+    jobs = BackfillJobs(spark, scratch_path(spark, "all"), rules)
+    jobs.start_all({t: table(spark, sf, t) for t in ("orders", "customer", "part")})
+    return job_states(jobs.log()).select("source_table", F.col("primary_key").alias("key"))
+
+
 @query("f4_page", """
     SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey < 1000
     ORDER BY o_orderkey DESC LIMIT 50""")
@@ -236,4 +258,61 @@ def f11_copy_pages(spark: SparkSession, sf: str) -> DataFrame:
     jobs.copy_pages(job["job_id"], **run)
     jobs.resume(job["job_id"])
     jobs.copy_pages(job["job_id"], **run)
-    return read_replica(spark, f"{folder}/replica", "order_facts", ORDER_FACTS).drop("batch_id")
+    return read_replica(spark, f"{folder}/replica", "order_facts", ORDER_FACTS).drop("load_origin", "load_batch", "load_no")
+
+
+@query("f11_job_log", """
+    WITH p AS (SELECT page, count(*) AS n, min(v) AS last_id FROM (
+                   SELECT o_orderkey AS v, (row_number() OVER (ORDER BY o_orderkey DESC) - 1) // 1000 AS page FROM orders)
+               GROUP BY page),
+    s AS (SELECT page // 5 AS step, min(last_id) AS last_processed_id, sum(n) AS n FROM p GROUP BY 1)
+    SELECT step, last_processed_id, CAST(sum(n) OVER (ORDER BY step) AS BIGINT) AS processed_rows,
+           CASE WHEN step = (SELECT max(step) FROM s) THEN 'completed' ELSE 'running' END AS status FROM s""")
+def f11_job_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Cursor and count after each step of five pages, with a failure in between that is resumed."""
+    folder = scratch_path(spark, "copy")
+    jobs = BackfillJobs(spark, f"{folder}/log", ORDER_RULES)
+    orders = table(spark, sf, "orders")
+    job = jobs.start("orders", orders, "o_orderkey", batch_size=1000)
+    run = {"replica_dir": f"{folder}/replica", "schemas": {"order_facts": ORDER_FACTS}, "pages_per_step": 5}
+    jobs.copy_pages(job["job_id"], orders, max_pages=5, **run)
+    broken = orders.withColumn("o_totalprice", F.raise_error(F.lit("lost the source")).cast("double"))
+    try:
+        jobs.copy_pages(job["job_id"], broken, **run)
+    except Exception as error:  # noqa: BLE001
+        if "lost the source" not in str(error):
+            raise
+    jobs.resume(job["job_id"], from_failed=True)
+    jobs.copy_pages(job["job_id"], orders, **run)
+    steps = jobs.log().filter("processed_rows > 0 AND status IN ('running', 'completed')") \
+        .groupBy("last_processed_id", "processed_rows").agg(F.max("status").alias("a"), F.min("status").alias("status"))
+    order = Window.orderBy("processed_rows")
+    return steps.select((F.row_number().over(order) - 1).cast("long").alias("step"), "last_processed_id",
+                        "processed_rows", "status")
+
+
+@query("f11_second_backfill", """
+    SELECT o_orderkey AS id, o_custkey AS customer, o_totalprice + 1 AS price,
+           date_trunc('second', o_orderdate) AS placed, 'backfill' AS origin, CAST(0 AS BIGINT) AS ver FROM orders""")
+def f11_second_backfill(spark: SparkSession, sf: str) -> DataFrame:
+    """A table copied again after it changed, then compacted: of rows of one version the last copied counts."""
+    folder = scratch_path(spark, "copy")
+    jobs = BackfillJobs(spark, f"{folder}/log", ORDER_RULES)
+    orders = table(spark, sf, "orders")
+    for source in (orders, orders.withColumn("o_totalprice", F.col("o_totalprice") + 1)):
+        job = jobs.start("orders", source, "o_orderkey")
+        jobs.copy_pages(job["job_id"], source, f"{folder}/replica", {"order_facts": ORDER_FACTS})
+    compact(spark, f"{folder}/replica", "order_facts", ORDER_FACTS, ["id"])
+    return current_rows(spark, f"{folder}/replica", "order_facts", ORDER_FACTS, ["id"])
+
+
+@query("f6_copied", f"""
+    SELECT o_orderkey AS id, o_totalprice AS price FROM orders
+    WHERE o_orderkey NOT IN (SELECT id FROM ({FEED_SQL}) WHERE op <> 'delete')""")
+def f6_copied(spark: SparkSession, sf: str) -> DataFrame:
+    """A copy by id windows through the rules, without the ids the feed has touched."""
+    folder = scratch_path(spark, "windows")
+    copy_by_windows(table(spark, sf, "orders"), "orders", "o_orderkey", ORDER_RULES, origin="windows", batch=5000,
+                    stage_dir=f"{folder}/stage", replica_dir=f"{folder}/replica", schemas={"order_facts": ORDER_FACTS},
+                    changes=live_changes(feed(spark, sf)), change_key="id")
+    return read_replica(spark, f"{folder}/replica", "order_facts", ORDER_FACTS).select("id", "price")

@@ -17,7 +17,7 @@ from tidemark.operators.route import (register_script, reject_counts, rejects, r
 from tidemark.sources.feed import decode_envelope, read_changes
 from tidemark.sources.mapping import Entry, Mapping
 from tidemark.sources.snapshot import scan_source
-from tidemark.sources.transactions import (assemble_transactions, committed_changes,
+from tidemark.sources.transactions import (assemble_transactions, committed_changes, numbered_operations,
                                            project_operation)
 
 
@@ -95,30 +95,44 @@ def s5_committed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("s5_transactions", f"""
-    SELECT m.xid, h.lsn, h.end_lsn, m.seq >> 13 AS part, count(*) AS operations,
-           string_agg(m.kind, ',' ORDER BY m.seq) AS ops
+    SELECT m.xid, h.lsn, h.end_lsn, m.kind, row_number() OVER (PARTITION BY m.xid ORDER BY m.seq) - 1 AS op_no,
+           count(*) OVER (PARTITION BY m.xid) AS operations
     FROM ({MESSAGES_SQL}) m JOIN ({_HEADS_SQL}) h ON m.xid = h.xid
-    WHERE m.kind IN ('insert', 'update', 'delete') AND m.seq > h.b AND m.seq < h.c
-    GROUP BY ALL""")
+    WHERE m.kind IN ('insert', 'update', 'delete') AND m.seq > h.b AND m.seq < h.c""")
 def s5_transactions(spark: SparkSession, sf: str) -> DataFrame:
-    return assemble_transactions(messages(spark, sf)).withColumn("ops", F.array_join("ops", ","))
+    return numbered_operations(messages(spark, sf)).select("xid", "lsn", "end_lsn", "kind", "op_no", "operations")
+
+
+@query("s5_transaction_lists", f"""
+    SELECT xid, any_value(lsn) AS lsn, any_value(end_lsn) AS end_lsn, op_no // 2 AS part, any_value(operations) AS operations,
+           string_agg(kind, ',' ORDER BY op_no) AS ops
+    FROM (SELECT m.xid, h.lsn, h.end_lsn, m.kind, row_number() OVER (PARTITION BY m.xid ORDER BY m.seq) - 1 AS op_no,
+                 count(*) OVER (PARTITION BY m.xid) AS operations
+          FROM ({MESSAGES_SQL}) m JOIN ({_HEADS_SQL}) h ON m.xid = h.xid
+          WHERE m.kind IN ('insert', 'update', 'delete') AND m.seq > h.b AND m.seq < h.c)
+    GROUP BY xid, op_no // 2""")
+def s5_transaction_lists(spark: SparkSession, sf: str) -> DataFrame:
+    return assemble_transactions(messages(spark, sf), 2).withColumn("ops", F.array_join("ops", ","))
 
 
 @query("s6_casts", f"""
     WITH f AS (SELECT seq, op, CAST(id AS VARCHAR) AS id,
-                      CASE WHEN seq % 7 = 0 THEN event_type ELSE CAST(value AS VARCHAR) END AS v
+                      CASE WHEN seq % 7 = 0 THEN event_type ELSE CAST(value AS VARCHAR) END AS v, value
                FROM ({FEED_SQL}))
     SELECT seq, op,
            CASE WHEN op <> 'delete' THEN CAST(id AS BIGINT) END AS new_id,
            CASE WHEN op <> 'delete' THEN TRY_CAST(v AS DOUBLE) END AS new_value,
-           CASE WHEN op <> 'insert' THEN CAST(id AS BIGINT) END AS old_id,
-           CASE WHEN op <> 'insert' THEN TRY_CAST(v AS DOUBLE) END AS old_value,
+           CASE WHEN op <> 'insert' THEN CAST(id AS BIGINT) - 1 END AS old_id,
+           CASE WHEN op <> 'insert' AND seq % 5 <> 0 THEN value * 2 END AS old_value,
            CASE WHEN op <> 'delete' AND TRY_CAST(v AS DOUBLE) IS NULL THEN v END AS raw_value
     FROM f""")
 def s6_casts(spark: SparkSession, sf: str) -> DataFrame:
     text = F.when(F.col("seq") % 7 == 0, F.col("event_type")).otherwise(F.col("value").cast("string"))
     data = F.array(F.col("id").cast("string"), text)
-    ops = feed(spark, sf).select("seq", "op", data.alias("data"), data.alias("old_data"))
+    # The old row had another id and value, and one in five a text where the value was.
+    before = F.when(F.col("seq") % 5 == 0, "none").otherwise((F.col("value") * 2).cast("string"))
+    old = F.array((F.col("id") - 1).cast("string"), before)
+    ops = feed(spark, sf).select("seq", "op", data.alias("data"), old.alias("old_data"))
     typed = project_operation(ops, {"id": "bigint", "value": "double"})
     return typed.select("seq", "op", F.col("record.id").alias("new_id"),
                         F.col("record.value").alias("new_value"),

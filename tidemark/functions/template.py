@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from typing import Any
 
@@ -51,20 +51,27 @@ def _constant(value: Any) -> Column:
     return F.lit(value)
 
 
-def _compile(template: Template, columns: list[str]) -> Column:
+Resolve = Callable[[str], Column]
+
+
+def named(column: str) -> Column:
+    return F.col(f"`{column}`")
+
+
+def _compile(template: Template, columns: Iterable[str], resolve: Resolve = named) -> Column:
     if template.kind == "constant":
         return _constant(template.value)
     if template.column not in columns:
         return F.lit(None)  # untyped, so that a fan-in can give it the other side's type
-    source = F.col(f"`{template.column}`")
+    source = resolve(template.column)
     if template.kind == "column":
         return source
     return F.concat(F.lit(template.before), source, F.lit(template.after))
 
 
-def _version(columns: list[str]) -> Column:
+def _version(columns: Iterable[str], resolve: Resolve = named) -> Column:
     if VERSION in columns:
-        return F.coalesce(F.col(VERSION).cast("long"), F.lit(0).cast("long"))
+        return F.coalesce(resolve(VERSION).cast("long"), F.lit(0).cast("long"))
     return F.lit(0).cast("long")
 
 
@@ -83,6 +90,34 @@ def projection(df: DataFrame, remap: dict[str, Any] | None) -> Callable[[DataFra
     return lambda frame: frame.select(*selected)
 
 
+def _constant_type(value: Any) -> T.DataType | None:
+    """Type of a constant as ``convert_value`` needs it; none for null."""
+    if value is None:
+        return None
+    if isinstance(value, list):
+        kinds = [k for k in map(_constant_type, value) if k is not None]
+        return T.ArrayType(kinds[0] if kinds else T.StringType())
+    for kind, dtype in ((bool, T.BooleanType()), (int, T.LongType()), (float, T.DoubleType())):
+        if isinstance(value, kind):
+            return dtype
+    return T.StringType()
+
+
+def rule_columns(types: dict[str, T.DataType], remap: dict[str, Any] | None,
+                 resolve: Resolve = named) -> list[tuple[str, Column, T.DataType]]:
+    """The rule's destination columns with their types; those that are null for every row are left out."""
+    if remap is None:
+        return [(name, resolve(name), dtype) for name, dtype in types.items()]
+    out = []
+    for dest, value in remap.items():
+        template = parse(value)
+        dtype = (_constant_type(template.value) if template.kind == "constant"
+                 else T.StringType() if template.kind == "text" else types.get(template.column))
+        if dest != VERSION and dtype is not None and (template.kind == "constant" or template.column in types):
+            out.append((dest, _compile(template, types, resolve), dtype))
+    return [*out, (VERSION, _version(types, resolve), T.LongType())]
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Columns still without a type become text, which every sink can store."""
     untyped = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NullType)]
@@ -90,13 +125,17 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def reject_reason(df: DataFrame, remap: dict[str, Any] | None) -> Column | None:
-    """Why a row cannot be remapped, or null; ``None`` if the rule fits every row.
+    """Why a row cannot be remapped, or null; ``None`` if the rule fits every row."""
+    return misfit({field.name: field.dataType for field in df.schema.fields}, remap)
+
+
+def misfit(types: dict[str, T.DataType], remap: dict[str, Any] | None, resolve: Resolve = named) -> Column | None:
+    """The same for columns of the given types.
 
     Text around a column needs a text value: a missing column, a column of another
     type and a null value cannot be inserted.
     """
     reason = None
-    types = {field.name: field.dataType for field in df.schema.fields}
     for dest, value in (remap or {}).items():
         template = parse(value)
         if template.kind != "text":
@@ -106,7 +145,6 @@ def reject_reason(df: DataFrame, remap: dict[str, Any] | None) -> Column | None:
         elif not isinstance(types[template.column], (T.StringType, T.VarcharType, T.CharType)):
             this = F.lit(f"{dest}: {template.column} is not text")
         else:
-            this = F.when(F.col(f"`{template.column}`").isNull(),
-                          F.lit(f"{dest}: {template.column} is null"))
+            this = F.when(resolve(template.column).isNull(), F.lit(f"{dest}: {template.column} is null"))
         reason = this if reason is None else F.coalesce(reason, this)
     return reason

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.numbering import running_total
 
-# The batch limits of the live path.
+# Fixed value: rows of a batch of the live path.
 BATCH_ROWS = 10_000
-BATCH_MILLIS = 5_000
 
 
 def assign_batches(df: DataFrame, size: int = BATCH_ROWS, order: str = "seq",
@@ -29,10 +28,15 @@ def partition_by_table(df: DataFrame, order: str = "seq", table: str = "source_t
                        key: str | None = None, partitions: int | None = None) -> DataFrame:
     """Tables side by side, each in feed order.
 
-    With ``key`` a table is spread over many tasks and only each key's own order is
-    kept: all that versions need, and what a table with most of the rows requires.
+    Ranges of (table, order) keep the whole order and split a table with most of the rows over
+    many tasks.  With ``key`` rows are dealt by key instead, and each key's own order is kept,
+    which is all that versions need.
     """
-    columns = [F.col(table)] if key is None else [F.col(table), F.col(key)]
+    if key is None:
+        columns = [F.col(table), F.col(order)]
+        spread = df.repartitionByRange(*columns) if partitions is None else df.repartitionByRange(partitions, *columns)
+        return spread.sortWithinPartitions(table, order)
+    columns = [F.col(table), F.col(key)]
     spread = df.repartition(*columns) if partitions is None else df.repartition(partitions, *columns)
     return spread.sortWithinPartitions(order)
 

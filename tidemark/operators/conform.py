@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from collections.abc import Mapping as Dict
 from typing import Any
 
@@ -61,16 +62,31 @@ def conform(df: DataFrame, schema: T.StructType, defaults: Dict[str, Any] | None
     return df.select(*keep, *_fitted(df, schema, defaults or {}, strict=True))
 
 
-def split_conform(df: DataFrame, schema: T.StructType, defaults: Dict[str, Any] | None = None,
-                  keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """(rows that fit, original rows with the ``bad_columns`` that do not parse)."""
+def misfit_columns(df: DataFrame, schema: T.StructType, keys: Iterable[str] = ()) -> Column:
+    """Names of the columns that do not parse, and of keys that are null or absent."""
     misfits = []
     for field in schema.fields:
         source = _source(df, field)
         if source is not None:
             bad = source.isNotNull() & source.try_cast(field.dataType).isNull()
-            misfits.append(F.when(bad, F.lit(field.name)))
-    bad_columns = F.array_compact(F.array(*misfits)) if misfits else F.array().cast("array<string>")
-    good = df.filter(F.size(bad_columns) == 0).select(
-        *keep, *_fitted(df, schema, defaults or {}, strict=False))
+            misfits.append(F.when(bad | source.isNull() if field.name in keys else bad, F.lit(field.name)))
+        elif field.name in keys:
+            misfits.append(F.lit(field.name))
+    return F.array_compact(F.array(*misfits)) if misfits else F.array().cast("array<string>")
+
+
+def fitted(df: DataFrame, schema: T.StructType, defaults: Dict[str, Any] | None = None,
+           keep: tuple[str, ...] = ()) -> DataFrame:
+    """``conform`` for rows without misfits."""
+    return df.select(*keep, *_fitted(df, schema, defaults or {}, strict=False))
+
+
+def split_conform(df: DataFrame, schema: T.StructType, defaults: Dict[str, Any] | None = None,
+                  keep: tuple[str, ...] = (), keys: Iterable[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit, original rows with the ``bad_columns`` that do not parse).
+
+    A key never takes a default: a row without it does not fit.
+    """
+    bad_columns = misfit_columns(df, schema, tuple(keys))
+    good = fitted(df.filter(F.size(bad_columns) == 0), schema, defaults, keep)
     return good, df.withColumn("bad_columns", bad_columns).filter(F.size("bad_columns") > 0)

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.convert import convert_record, to_json_rows
-from tidemark.functions.template import projection, reject_reason, settle
+from tidemark.functions.convert import convert_record, convert_value, to_json_rows
+from tidemark.functions.template import Resolve, misfit, named, projection, reject_reason, rule_columns, settle
 from tidemark.sources.mapping import Entry, Mapping
 
 ScriptResult = DataFrame | dict[str, DataFrame]
@@ -135,3 +135,61 @@ def route_rejects(sources: Dict[str, DataFrame], mapping: Mapping) -> DataFrame
             rows = to_json_rows(convert_record(_with_reason(sources[table], reason), kept), keep=kept)
             parts.append(rows.select(F.lit(table).alias("source_table"), "reject_reason", "value"))
     return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+# Destination under which rows that no rule can express travel with their reason.
+REJECTED = "_rejected"
+
+
+def _wire(columns: list[tuple[str, Column, T.DataType]]) -> Column:
+    """A row as JSON of wire values; null fields left out."""
+    return F.to_json(F.struct(*[convert_value(column, dtype).alias(name) for name, column, dtype in columns]))
+
+
+def _sent(dest: str, value: Column) -> Column:
+    return F.struct(F.lit(dest).alias("dest_table"), value.alias("value"))
+
+
+def sent_row(dest: str, columns: list[tuple[str, Column, T.DataType]]) -> Column:
+    return _sent(dest, _wire(columns))
+
+
+def rejected(table: str | Column, reason: Column, value: Column) -> Column:
+    """What is sent for a row that cannot be routed."""
+    source = F.lit(table) if isinstance(table, str) else table
+    return F.array(_sent(REJECTED, F.to_json(F.struct(
+        source.alias("source_table"), reason.alias("reject_reason"), value.alias("value")))))
+
+
+def wire_of(table: str, entries: Iterable[Entry], types: Dict[str, T.DataType], resolve: Resolve = named) -> Column:
+    """Everything the rules of a table send for one row: a list of ``(dest_table, value)``.
+
+    A row some rule cannot express is sent to ``REJECTED`` alone.
+    """
+    reason, parts = None, []
+    for entry in entries:
+        this = F.lit("rule has no dest_table") if entry.dest_table is None else misfit(dict(types), entry.remap, resolve)
+        if this is not None:
+            reason = this if reason is None else F.coalesce(reason, this)
+        if entry.dest_table is not None:
+            parts.append(sent_row(entry.dest_table, rule_columns(dict(types), entry.remap, resolve)))
+    everything = _wire([(name, resolve(name), dtype) for name, dtype in types.items()])
+    if reason is None:
+        return F.array(*parts)
+    refused = rejected(table, reason, everything)
+    return F.when(reason.isNotNull(), refused).otherwise(F.array(*parts)) if parts else refused
+
+
+def has_script(entries: list[Entry]) -> bool:
+    return len(entries) == 1 and entries[0].script is not None
+
+
+def wire_table(rows: DataFrame, table: str, mapping: Mapping) -> DataFrame:
+    """Rows of one source table → ``dest_table, value`` for all its rules, in one pass."""
+    entries = mapping.by_source(table)
+    if has_script(entries):
+        parts = [to_json_rows(convert_record(frame)).select(F.lit(dest).alias("dest_table"), "value")
+                 for dest, frame in route_table(rows, entries)]
+        return reduce(DataFrame.unionByName, parts)
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    return rows.select(F.inline(wire_of(table, entries, types)))

@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterable, Sequence
 from collections.abc import Mapping as Dict
-from collections.abc import Sequence
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.convert import convert_record
-from tidemark.operators.conform import conform
-from tidemark.operators.route import route, route_rejects
-from tidemark.plans.backfill import plan_pages, row_count, start_cursor
+from tidemark.operators.route import wire_of, wire_table
+from tidemark.plans.backfill import WINDOW_IDS, copy_windows, plan_pages, row_count, start_cursor
 from tidemark.plans.joblog import (JOB_DEFAULTS, JOB_SCHEMA, active_jobs, append_job_event,
                                    job_progress, job_states, list_jobs, read_job_log)
+from tidemark.plans.keys import find_key
 from tidemark.sinks import folders
-from tidemark.sinks.staging import Defaults, Schemas, write_rejects, write_replica
+from tidemark.sinks.staging import Defaults, Keys, LoadedRows, Schemas, drain, stage_wire
 from tidemark.sources.mapping import Mapping
 
+# Pages copied between two log entries: a hundred million rows at the default page size.
+PAGES_PER_STEP = 20_000
+
 
 class BackfillJobs:
     """Starting, pausing, resuming and running backfill jobs over a log folder.
@@ -70,14 +73,19 @@ class BackfillJobs:
             raise LookupError(
                 f"no rule for {table!r}; tables with rules: {self.mapping.distinct_tables()}")
         order = ordering_column or key
-        return self._append({
-            **JOB_DEFAULTS,
-            "job_id": self._next_id(), "event_no": 0, "source_table": table,
+        job_id = self._next_id()
+        event = {
+            **JOB_DEFAULTS, "event_no": 0, "source_table": table,
             "dest_table": entries[0].dest_table, "primary_key": key, "ordering_column": order,
             "total_rows": row_count(source, estimate),
             **_position(start_cursor(source.agg(F.max(order)).first()[0])),
             "batch_size": batch_size or JOB_DEFAULTS["batch_size"],
-        })
+        }
+        while True:  # another driver may take the number first
+            try:
+                return self._append({**event, "job_id": job_id})
+            except FileExistsError:
+                job_id += 1
 
     def start_tables(self, sources: Dict[str, tuple[DataFrame, str]], **options: Any) -> list[Row]:
         """Jobs for several tables, table → (rows, key); none starts if any table has no rule."""
@@ -87,6 +95,15 @@ class BackfillJobs:
             raise LookupError(f"no rule for {unknown}; tables with rules: {known}")
         return [self.start(table, rows, key, **options) for table, (rows, key) in sources.items()]
 
+    def start_all(self, sources: Dict[str, DataFrame], **options: Any) -> list[Row]:
+        """Jobs for all mapped tables among the sources; each table's key is found in its data."""
+        wanted = {t: sources[t] for t in self.mapping.distinct_tables() if t in sources}
+        found = {t: (rows, find_key(rows)) for t, rows in wanted.items()}
+        missing = [t for t, (_, key) in found.items() if key is None]
+        if missing:
+            raise LookupError(f"no single column is a key of {missing}")
+        return self.start_tables(found, **options)
+
     def jobs(self, status: str | Sequence[str] | None = None) -> DataFrame:
         """Current jobs, newest first, with their progress in percent."""
         return list_jobs(job_progress(self.log()), status, resolved=True)
@@ -110,42 +127,59 @@ class BackfillJobs:
 
     def copy_pages(self, job_id: int, source: DataFrame, replica_dir: str, schemas: Schemas,
                    defaults: Defaults | None = None, max_pages: int | None = None,
-                   reject_dir: str | None = None) -> Row:
-        """Copy the next pages of a job, all of them by default, and log the new cursor.
-
-        Pages are consecutive value ranges, so copying k of them is one filtered scan:
-        ``low <= column < cursor`` reaches the source as a pushed filter and runs on all
-        cores.  Page borders are planned once per job, from the ordering column alone, and
-        kept beside the log; the last run has no lower border.  Values equal to ``low`` are
-        copied with it.  A retry from the same cursor overwrites its batch.
-        A paused, failed or completed job reads nothing.  Rows a rule cannot express count
-        as processed, and go to ``reject_dir`` with their reason if it is given.
+                   reject_dir: str | None = None, *, pages_per_step: int = PAGES_PER_STEP,
+                   keys: Keys | None = None, views: Iterable[LoadedRows] = ()) -> Row:
+        """Copy the next pages of a job, all of them by default, step by step.
+
+        A step copies some pages and logs the new cursor and count, so that whatever stops the
+        run loses one step.  Pages are consecutive value ranges, so a step is one filtered scan:
+        ``low <= column < cursor`` reaches the source as a pushed filter, and the rows of all
+        destinations are staged in that one job, which also counts them.  Page borders are
+        planned once per job, from the ordering column alone, and kept beside the log; the last
+        step has no lower border.  Values equal to ``low`` are copied with it.  A retry from the
+        same cursor is the same batch.  A paused, failed or completed job reads nothing.  Rows
+        a rule cannot express, or that do not fit, count as processed, and go to ``reject_dir``
+        with their reason if it is given.
         """
         job = self.get(job_id)
         if job is None:
             raise LookupError(f"no job {job_id}")
-        if job["status"] not in ("pending", "running"):
-            return job
-        job = self._update(job, status="running")
-        col = job["ordering_column"]
+        left = max_pages
+        while job["status"] in ("pending", "running") and left != 0:
+            pages = pages_per_step if left is None else min(left, pages_per_step)
+            job = self._copy_step(job, source, pages, replica_dir, schemas, defaults, reject_dir, keys, views)
+            left = None if left is None else left - pages
+        return job
+
+    def origin(self, job_id: int) -> str:
+        """The name of a job's batches: job ids are unique within a log folder."""
+        return f"backfill-{hashlib.sha1(self.log_dir.encode()).hexdigest()[:12]}-{job_id}"
+
+    def _copy_step(self, job: Row, source: DataFrame, pages: int, replica_dir: str, schemas: Schemas,
+                   defaults: Defaults | None, reject_dir: str | None, keys: Keys | None,
+                   views: Iterable[LoadedRows]) -> Row:
+        if job["status"] != "running":
+            job = self._update(job, status="running")
+        col, origin = job["ordering_column"], self.origin(job["job_id"])
         rest = source.filter(F.col(col).isNotNull())
         if job["cursor"] is not None:
             rest = rest.filter(F.col(col) < _literal(job["cursor"], source, col))
+        stage = f"{self.log_dir}/_stage/{job['job_id']}"
         try:
-            low = None if max_pages is None else self._border(job, rest, max_pages)
+            low = self._border(job, rest, pages)
             if low is not None:
                 rest = rest.filter(F.col(col) >= _literal(low["text"], source, col))
-            done = rest.agg(F.count(F.lit(1)).alias("rows"), F.min(col).alias("low"),
-                            F.min(col).cast("string").alias("text")).first()
-            sources = {job["source_table"]: rest}
-            write_rejects(route_rejects(sources, self.mapping), reject_dir, backfill_batch(job))
-            for dest, frame in route(sources, self.mapping).items():
-                fitted = conform(convert_record(frame), schemas[dest], (defaults or {}).get(dest))
-                write_replica(fitted, replica_dir, dest, backfill_batch(job))
+            seen = Observation(f"{origin}-{job['processed_rows']}-{job['event_no']}")
+            rest = rest.observe(seen, F.count(F.lit(1)).alias("rows"), F.min(col).alias("low"),
+                                F.min(col).cast("string").alias("text"))
+            stage_wire(wire_table(rest, job["source_table"], self.mapping), stage, origin,
+                       _step_batch(job["cursor"], low["text"] if low is not None else None))
+            drain(self.spark, stage, replica_dir, schemas, defaults, keys=keys, reject_dir=reject_dir, views=views)
         except Exception as error:
-            self._update(job, status="failed", error_message=str(error)[:2000])
+            self._update(job, status="failed", error_message=str(error))
             raise
-        now = self.get(job_id)  # paused meanwhile: keep that, and the progress made
+        done = {"rows": 0, "low": None, "text": None, **seen.get}
+        now = self.get(job["job_id"])  # paused meanwhile: keep that, and the progress made
         status = "paused" if now["status"] == "paused" else "completed" if low is None else "running"
         # The border counts even if its rows are gone: otherwise the job would not move.
         reached = low if low is not None else done
@@ -182,6 +216,24 @@ def _literal(text: str, source: DataFrame, col: str) -> Column:
     return F.lit(text).cast(source.schema[col].dataType)
 
 
-def backfill_batch(job: Dict[str, Any] | Row) -> int:
-    """Batch id of a run: negative, so apart from stream batches, and fixed by its cursor."""
-    return -(job["job_id"] * 2**40 + job["processed_rows"] + 1)
+def _step_batch(cursor: str | None, low: str | None) -> int:
+    """Batch id of a step: the same for the same range of values, so a repeated step is a known
+    batch, and another for any other range."""
+    return int.from_bytes(hashlib.sha1(repr((cursor, low)).encode()).digest()[:7])
+
+
+def copy_by_windows(source: DataFrame, table: str, key: str, mapping: Mapping, *, origin: str, stage_dir: str,
+                    replica_dir: str, schemas: Schemas, batch: int = WINDOW_IDS, changes: DataFrame | None = None,
+                    change_key: str | None = None, defaults: Defaults | None = None, keys: Keys | None = None,
+                    reject_dir: str | None = None, views: Iterable[LoadedRows] = ()) -> dict[str, int]:
+    """Copy a table through all its rules by id windows, each window a batch of ``origin``.
+
+    Keys that ``changes`` has touched are left to the live path.  Returns the batches loaded
+    per destination.
+    """
+    rows = copy_windows(source, key, batch, changes, change_key)
+    types = {f.name: f.dataType for f in source.schema.fields}
+    sent = F.inline(wire_of(table, mapping.by_source(table), types))
+    stage_wire(rows.select(F.col("window").alias("batch_id"), sent), stage_dir, origin)
+    return drain(source.sparkSession, stage_dir, replica_dir, schemas, defaults, keys=keys, reject_dir=reject_dir,
+                 views=views)

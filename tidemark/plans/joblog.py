@@ -16,6 +16,7 @@ from tidemark.operators.numbering import HOT_ROWS, previous_value
 from tidemark.operators.replica import latest_state
 from tidemark.sinks import folders
 
+# The field names of a job.
 JOB_SCHEMA = T.StructType([
     T.StructField("job_id", T.LongType()),
     T.StructField("event_no", T.LongType()),

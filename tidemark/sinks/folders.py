@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -36,20 +37,47 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
+def move_partitions(spark: SparkSession, source: str, target: str, columns: tuple[str, ...]) -> None:
+    """Move every leaf of a partitioned folder into place, each in one rename, replacing what is there."""
+    if not columns:
+        fs, new = _open(spark, target)
+        fs.mkdirs(new.getParent())
+        fs.delete(new, True)
+        if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(source), new):
+            raise OSError(f"cannot move {source} to {target}")
+        return
+    for value in partitions(spark, source, columns[0]):
+        name = f"{columns[0]}={value}"
+        move_partitions(spark, f"{source}/{name}", f"{target}/{name}", columns[1:])
+
+
+def rename(spark: SparkSession, source: str, target: str) -> bool:
+    fs, old = _open(spark, source)
+    return fs.rename(old, spark._jvm.org.apache.hadoop.fs.Path(target))
+
+
 def touch(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.create(target, True).close()
 
 
 def write_new(spark: SparkSession, folder: str, name: str, text: str) -> None:
-    """A small text file that appears whole; fails if it is there already."""
+    """A small text file that appears whole; fails if it is there already.
+
+    The draft is renamed without overwriting, which the file system decides in one step.
+    """
+    jvm = spark._jvm
     fs, target = _open(spark, f"{folder}/{name}")
-    if fs.exists(target):
-        raise FileExistsError(f"{folder}/{name}")
-    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_draft-{uuid.uuid4().hex}")
+    draft = jvm.org.apache.hadoop.fs.Path(f"{folder}/_draft-{uuid.uuid4().hex}")
     out = fs.create(draft, False)
     out.write(bytearray(text.encode()))
     out.close()
-    if not fs.rename(draft, target):
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    no_overwrite = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        files.rename(draft, target, no_overwrite)
+    except Py4JJavaError as error:
         fs.delete(draft, False)
-        raise FileExistsError(f"{folder}/{name}")
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            raise FileExistsError(f"{folder}/{name}") from error
+        raise

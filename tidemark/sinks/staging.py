@@ -2,31 +2,47 @@
 
 Layout::
 
-    <stage>/dest_table=<t>/batch_id=<n>/part-*      one JSON object per line
-    <replica>/dest_table=<t>/batch_id=<n>/part-*    parquet, the destination's types
+    <stage>/dest_table=<t>/load_origin=<o>/load_batch=<n>/part-*   one JSON object per line
+    <rejects>/kind=<k>/load_origin=<o>/load_batch=<n>/part-*       rows left out, with the reason
 
-Both are written with dynamic partition overwrite: a batch folder is replaced as a whole
-when the write commits, so repeating a batch leaves the same rows.
+``origin`` names the stream or job a batch comes from; batch ids count within it, so several
+streams and jobs may feed one table.  A staged or rejected batch is replaced as a whole, so
+repeating it leaves the same rows.  The replica's own layout and commits are described in
+``loads``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from collections.abc import Mapping as Dict
 from functools import reduce
-from typing import Any
+from typing import Any, Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.convert import convert_record, to_json_rows
-from tidemark.operators.conform import conform
+from tidemark.operators.batches import load_report
+from tidemark.operators.conform import conform, fitted, misfit_columns
 from tidemark.operators.replica import latest_state
-from tidemark.sinks import folders
+from tidemark.operators.route import REJECTED
+from tidemark.sinks import folders, loads
 
 Schemas = Dict[str, T.StructType]
 Defaults = Dict[str, Dict[str, Any]]
+Keys = Dict[str, Sequence[str]]
+# Reserved names: which batch a row came with.
+ORIGIN, BATCH = loads.ORIGIN, loads.BATCH
+BY_BATCH = ("dest_table", ORIGIN, BATCH)
+
+
+class LoadedRows(Protocol):
+    """Something fed by every load of a table, such as an incremental view."""
+
+    table: str
+
+    def add(self, rows: DataFrame, load: str) -> None: ...
 
 
 def _replace(df: DataFrame, path: str, fmt: str, *by: str) -> None:
@@ -34,6 +50,21 @@ def _replace(df: DataFrame, path: str, fmt: str, *by: str) -> None:
      .partitionBy(*by).format(fmt).save(path))
 
 
+def stage_wire(wire: DataFrame, stage_dir: str, origin: str, batch_id: int | None = None) -> None:
+    """Write ``dest_table, value`` rows of all destinations to the stage, in one job.
+
+    The rows bring their own ``batch_id`` column unless one number is given for all.
+    """
+    if batch_id is not None:
+        wire = wire.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    # Written aside and then moved: whoever drains the stage meanwhile sees whole batches only.
+    aside = f"{stage_dir}/_incoming-{loads.new_name()}"
+    wire.select("dest_table", F.lit(origin).alias(ORIGIN), F.col("batch_id").alias(BATCH), "value") \
+        .write.partitionBy(*BY_BATCH).text(aside)
+    folders.move_partitions(wire.sparkSession, aside, stage_dir, BY_BATCH)
+    folders.remove(wire.sparkSession, aside)
+
+
 def stage_rows(routed: Dict[str, DataFrame], batch_id: int | None = None) -> DataFrame:
     """Routed rows of all destinations as wire text: ``dest_table, batch_id, value``.
 
@@ -49,21 +80,24 @@ def stage_rows(routed: Dict[str, DataFrame], batch_id: int | None = None) -> Dat
     return reduce(DataFrame.unionByName, parts)
 
 
-def stage_batch(routed: Dict[str, DataFrame], stage_dir: str, batch_id: int | None = None) -> None:
+def stage_batch(routed: Dict[str, DataFrame], stage_dir: str, origin: str, batch_id: int | None = None) -> None:
     """Write the batch of every destination to the stage, in one job."""
-    _replace(stage_rows(routed, batch_id), stage_dir, "text", "dest_table", "batch_id")
+    stage_wire(stage_rows(routed, batch_id), stage_dir, origin)
 
 
-def staged_batches(spark: SparkSession, stage_dir: str) -> dict[str, list[int]]:
-    """Destination → staged batch ids in batch order."""
+def staged_batches(spark: SparkSession, stage_dir: str) -> dict[str, dict[str, list[int]]]:
+    """Destination → origin → staged batch ids in batch order."""
     return {
-        dest: sorted(int(b) for b in folders.partitions(spark, f"{stage_dir}/dest_table={dest}", "batch_id"))
+        dest: {origin: sorted(int(b) for b in folders.partitions(
+                   spark, f"{stage_dir}/dest_table={dest}/{ORIGIN}={origin}", BATCH))
+               for origin in folders.partitions(spark, f"{stage_dir}/dest_table={dest}", ORIGIN)}
         for dest in folders.partitions(spark, stage_dir, "dest_table")
     }
 
 
-def loaded_batches(spark: SparkSession, replica_dir: str, dest: str) -> set[int]:
-    return {int(b) for b in folders.partitions(spark, f"{replica_dir}/dest_table={dest}", "batch_id")}
+def loaded_batches(spark: SparkSession, replica_dir: str, dest: str) -> loads.Ranges:
+    """Origin → inclusive ranges of the batches that have been loaded."""
+    return loads.manifest(spark, replica_dir, dest).batches()
 
 
 def _wire_type(dtype: T.DataType) -> T.DataType:
@@ -77,12 +111,21 @@ def wire_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, _wire_type(f.dataType)) for f in schema.fields])
 
 
+def _among(batches: Dict[str, Iterable[int]]) -> Column:
+    """Rows of the named batches, as ranges: short however many batches there are."""
+    named = F.lit(False)
+    for origin, ids in batches.items():
+        for low, high in loads.ranges(ids):
+            named = named | ((F.col(ORIGIN) == origin) & F.col(BATCH).between(low, high))
+    return named
+
+
 def read_staged(spark: SparkSession, stage_dir: str, dest: str, schema: T.StructType,
-                batch_ids: Iterable[int] | None = None) -> DataFrame:
-    """Staged rows of one destination with their ``batch_id``; only the named batches are read."""
-    full = wire_schema(schema).add("batch_id", T.LongType())
+                batches: Dict[str, Iterable[int]] | None = None) -> DataFrame:
+    """Staged rows of one destination with their origin and batch; only the named batches are read."""
+    full = wire_schema(schema).add(ORIGIN, T.StringType()).add(BATCH, T.LongType())
     rows = spark.read.schema(full).json(f"{stage_dir}/dest_table={dest}")
-    return rows if batch_ids is None else rows.filter(F.col("batch_id").isin(list(batch_ids)))
+    return rows if batches is None else rows.filter(_among(batches))
 
 
 def staged_name_parts(file_name: Column) -> tuple[Column, Column]:
@@ -101,67 +144,166 @@ def read_staged_files(spark: SparkSession, path: str, schema: T.StructType | str
     return rows.select(staged_at.alias("staged_at"), dest.alias("dest_table"), "*")
 
 
-def write_replica(df: DataFrame, replica_dir: str, dest: str, batch_id: int | None = None) -> None:
-    """Append conformed rows to a replica table as one batch, or by their ``batch_id``."""
-    if batch_id is not None:
-        df = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-    _replace(df, f"{replica_dir}/dest_table={dest}", "parquet", "batch_id")
+def write_rejects(rejected: DataFrame, reject_dir: str, kind: str) -> None:
+    """Keep rejected rows (with their origin and batch), replacing those of an earlier attempt."""
+    _replace(rejected.withColumn("kind", F.lit(kind)), reject_dir, "json", "kind", ORIGIN, BATCH)
 
 
-def load_batch(spark: SparkSession, stage_dir: str, replica_dir: str, dest: str, schema: T.StructType,
-               batch_ids: Iterable[int], defaults: Dict[str, Any] | None = None) -> int:
-    """Load staged batches of one destination in one job, then drop their staged files.
+def write_replica(df: DataFrame, replica_dir: str, dest: str, origin: str, batch_id: int,
+                  views: Iterable[LoadedRows] = ()) -> int | None:
+    """Append conformed rows to a replica table as one batch; returns the load's number.
 
-    Batches already in the replica are not loaded again.  A value that does not parse
-    fails the job: nothing is committed and the staged files stay.
-    Returns the number of batches loaded.
+    A batch that has been loaded is not loaded again (none is returned).
     """
-    wanted = set(batch_ids)
-    fresh = wanted - loaded_batches(spark, replica_dir, dest)
+    spark = df.sparkSession
+    if loads.manifest(spark, replica_dir, dest).has(origin, batch_id):
+        return None
+    rows = df.withColumns({ORIGIN: F.lit(origin), BATCH: F.lit(batch_id).cast("long")})
+    return _append(rows, replica_dir, dest, {origin: [[batch_id, batch_id]]}, F.lit(0), views)
+
+
+def _append(rows: DataFrame, replica_dir: str, dest: str, batches: loads.Ranges, rejected: Column | Any,
+            views: Iterable[LoadedRows]) -> int:
+    spark, name = rows.sparkSession, loads.new_name()
+    path = loads.load_path(replica_dir, dest, name)
+    seen = Observation(f"load-{name}")
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    for view in views:
+        if view.table == dest:
+            view.add(spark.read.schema(rows.schema).parquet(path), name)
+    count = rejected() if callable(rejected) else 0
+    return loads.commit(spark, replica_dir, dest, name, rows=seen.get.get("rows", 0), rejected=count, batches=batches)
+
+
+def load_batch(spark: SparkSession, stage_dir: str, replica_dir: str, dest: str, schema: T.StructType,
+               batches: Dict[str, Iterable[int]], defaults: Dict[str, Any] | None = None, *,
+               keys: Sequence[str] = (), reject_dir: str | None = None,
+               views: Iterable[LoadedRows] = ()) -> int:
+    """Load staged batches of one destination as one load, then drop their staged files.
+
+    Batches already loaded are not loaded again.  With ``reject_dir``, rows with values that do
+    not parse or without a key go there with their reason, and the rest is loaded.  Without it
+    such a value fails the load: nothing is committed, the staged files stay, and the batches'
+    rows are reported under ``<replica>/_failed``.  Returns the number of batches loaded.
+    """
+    wanted = {origin: set(ids) for origin, ids in batches.items()}
+    known = loads.manifest(spark, replica_dir, dest)
+    fresh = {o: {b for b in ids if not known.has(o, b)} for o, ids in wanted.items()}
+    fresh = {o: ids for o, ids in fresh.items() if ids}
     if fresh:
-        staged = read_staged(spark, stage_dir, dest, schema, sorted(fresh))
-        write_replica(conform(staged, schema, defaults, keep=("batch_id",)), replica_dir, dest)
-    for batch in wanted:
-        folders.remove(spark, f"{stage_dir}/dest_table={dest}/batch_id={batch}")
-    return len(fresh)
+        staged = read_staged(spark, stage_dir, dest, schema, fresh)
+        keep = (ORIGIN, BATCH)
+        covered = {o: loads.ranges(ids) for o, ids in fresh.items()}
+        try:
+            if reject_dir is None:
+                _append(conform(staged, schema, defaults, keep), replica_dir, dest, covered, None, views)
+            else:
+                marked = staged.withColumn("bad_columns", misfit_columns(staged, schema, tuple(keys)))
+                misfits = Observation(f"misfits-{loads.new_name()}")
+                is_bad = F.size("bad_columns") > 0
+                good = marked.observe(misfits, F.count_if(is_bad).alias("rows")).filter(~is_bad)
+
+                def keep_rejects() -> int:
+                    if misfits.get.get("rows", 0):
+                        reason = F.concat(F.lit("does not fit: "), F.array_join("bad_columns", ", "))
+                        value = F.to_json(F.struct(*[f"`{c}`" for c in wire_schema(schema).names]))
+                        write_rejects(marked.filter(is_bad).select(
+                            F.lit(dest).alias("dest_table"), reason.alias("reject_reason"), value.alias("value"), *keep),
+                            reject_dir, f"load-{dest}")
+                    return misfits.get.get("rows", 0)
+
+                _append(fitted(good, schema, defaults, keep), replica_dir, dest, covered, keep_rejects, views)
+        except Exception:
+            _report_failure(staged, replica_dir, dest, schema)
+            raise
+    for origin, ids in wanted.items():
+        for batch in ids:
+            folders.remove(spark, f"{stage_dir}/dest_table={dest}/{ORIGIN}={origin}/{BATCH}={batch}")
+    return sum(map(len, fresh.values()))
+
+
+def _report_failure(staged: DataFrame, replica_dir: str, dest: str, schema: T.StructType) -> None:
+    """Rows, first id and all ids of each batch of a failed load."""
+    key = schema.names[0] if schema.names else None
+    order = "ver" if "ver" in schema.names else key
+    report = load_report(staged.withColumn("dest_table", F.lit(dest)), key, order, with_ids=True, by=BY_BATCH)
+    report.write.mode("append").json(f"{replica_dir}/_failed")
+
+
+def loaded_report(spark: SparkSession, replica_dir: str, dest: str, schema: T.StructType, key: str = "id",
+                  order: str = "ver") -> DataFrame:
+    """Per loaded batch its rows, first id and the number of its load."""
+    rows = read_replica(spark, replica_dir, dest, schema).withColumn("dest_table", F.lit(dest))
+    return load_report(rows, key, order, by=(*BY_BATCH, "load_no"))
 
 
 def drain(spark: SparkSession, stage_dir: str, replica_dir: str, schemas: Schemas,
-          defaults: Defaults | None = None) -> dict[str, int]:
-    """Load everything staged: destination → number of batches loaded."""
-    return {
-        dest: load_batch(spark, stage_dir, replica_dir, dest, schemas[dest], batches,
-                         (defaults or {}).get(dest))
-        for dest, batches in staged_batches(spark, stage_dir).items() if batches
-    }
+          defaults: Defaults | None = None, *, keys: Keys | None = None, reject_dir: str | None = None,
+          held: Iterable[str] = (), views: Iterable[LoadedRows] = ()) -> dict[str, int]:
+    """Load everything staged for destinations not held: destination → number of batches loaded.
 
+    What the rules refused moves from the stage to ``reject_dir``.
+    """
+    done, waiting = {}, set(held)
+    for dest, batches in staged_batches(spark, stage_dir).items():
+        batches = {o: ids for o, ids in batches.items() if ids}
+        if not batches or dest in waiting:
+            continue
+        if dest == REJECTED:
+            if reject_dir is not None:
+                _move_rejects(spark, stage_dir, reject_dir, batches)
+            continue
+        done[dest] = load_batch(spark, stage_dir, replica_dir, dest, schemas[dest], batches,
+                                (defaults or {}).get(dest), keys=(keys or {}).get(dest, ()),
+                                reject_dir=reject_dir, views=views)
+    return done
 
-def write_rejects(rejected: DataFrame | None, reject_dir: str | None, batch_id: int) -> None:
-    """Keep a batch's rejected rows with their reasons, replacing those of an earlier attempt."""
-    if rejected is not None and reject_dir is not None:
-        _replace(rejected.withColumn("batch_id", F.lit(batch_id).cast("long")), reject_dir, "json", "batch_id")
+
+REJECT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("source_table", "reject_reason", "value")])
+
+
+def _move_rejects(spark: SparkSession, stage_dir: str, reject_dir: str, batches: Dict[str, Iterable[int]]) -> None:
+    write_rejects(read_staged(spark, stage_dir, REJECTED, REJECT_SCHEMA, batches), reject_dir, "route")
+    for origin, ids in batches.items():
+        for batch in ids:
+            folders.remove(spark, f"{stage_dir}/dest_table={REJECTED}/{ORIGIN}={origin}/{BATCH}={batch}")
 
 
 def read_replica(spark: SparkSession, replica_dir: str, dest: str, schema: T.StructType) -> DataFrame:
-    """All loaded versions of a table with their ``batch_id``; resolve with ``latest_state``."""
-    path = f"{replica_dir}/dest_table={dest}"
-    full = T.StructType(list(schema.fields)).add("batch_id", T.LongType())
-    if not folders.exists(spark, path):
-        return spark.createDataFrame([], full)
-    return spark.read.schema(full).parquet(path)
+    """All loaded versions of a table with ``load_origin``, ``load_batch`` and ``load_no``; of rows of one
+    version, the one with the greatest ``load_no`` was inserted last."""
+    return loads.read_loads(spark, replica_dir, dest, schema)
+
+
+def current_rows(spark: SparkSession, replica_dir: str, dest: str, schema: T.StructType, keys: Iterable[str],
+                 ver: str = "ver", deleted: str | None = None) -> DataFrame:
+    """The latest row per key: greatest version, then last inserted."""
+    rows = read_replica(spark, replica_dir, dest, schema)
+    return latest_state(rows, list(keys), ver=ver, tie="load_no", deleted=deleted).drop(ORIGIN, BATCH, "load_no")
 
 
-def compact(spark: SparkSession, replica_dir: str, fresh_dir: str, dest: str, schema: T.StructType,
-            keys: Iterable[str], ver: str = "ver") -> None:
-    """Rewrite the latest row per key into a fresh replica folder, as one batch.
+def compact(spark: SparkSession, replica_dir: str, dest: str, schema: T.StructType, keys: Iterable[str],
+            ver: str = "ver") -> None:
+    """Replace the loads of a table by one load with its latest rows.
 
-    Thousands of small batch folders become a few large files.  Tombstones are kept, so
-    that an older version arriving later still loses.
+    Thousands of small loads become a few large files.  The new load names all batches it
+    covers, so that a replay of one of them is still known, and the rows keep the numbers of
+    their loads.  Loads that commit meanwhile stay beside it.  Tombstones are kept, so that an
+    older version arriving later still loses.  Readers of the replaced loads may finish: their
+    files go with the next compaction.
     """
+    before = loads.manifest(spark, replica_dir, dest)
+    live = before.live()
+    if not live:
+        return
     rows = read_replica(spark, replica_dir, dest, schema)
-    latest = latest_state(rows, list(keys), ver=ver, tie="batch_id")
-    last = max(loaded_batches(spark, replica_dir, dest), default=0)
-    write_replica(latest, fresh_dir, dest, last)
+    latest = latest_state(rows, list(keys), ver=ver, tie="load_no").withColumnRenamed("load_no", "kept_no")
+    name = loads.new_name()
+    seen = Observation(f"compact-{name}")
+    latest.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(loads.load_path(replica_dir, dest, name))
+    names = [e["name"] for e in live]
+    loads.commit(spark, replica_dir, dest, name, rows=seen.get.get("rows", 0), batches=before.batches(), replaces=names)
+    loads.sweep(spark, replica_dir, dest, keep=names)
 
 
 def split_held(rows: DataFrame, held: Iterable[str], dest: str = "dest_table") -> tuple[DataFrame, DataFrame]:

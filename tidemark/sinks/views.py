@@ -1,14 +1,37 @@
-"""Materialised views from user SQL (M1)."""
+"""Materialised views from user SQL, and views that follow the loads (M1)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.sinks import folders
-from tidemark.sinks.staging import Defaults, HoldGate, Schemas, drain
+from tidemark.sinks import folders, loads
+from tidemark.sinks.staging import Defaults, HoldGate, Keys, Schemas, drain
+
+GENERATION = "generation"
+
+
+def read_view(spark: SparkSession, target: str) -> DataFrame:
+    """The newest complete generation at a target."""
+    newest = max(map(int, folders.partitions(spark, f"{target}/_ready", GENERATION)))
+    return spark.read.parquet(f"{target}/{GENERATION}={newest}")
+
+
+def _store(view: DataFrame, target: str) -> None:
+    """Write a new generation and then announce it: readers never meet a gap, and a failure
+    leaves the one before.  Generations before that one are removed."""
+    spark = view.sparkSession
+    known = sorted(map(int, folders.partitions(spark, f"{target}/_ready", GENERATION)))
+    number = known[-1] + 1 if known else 0
+    view.write.mode("overwrite").parquet(f"{target}/{GENERATION}={number}")
+    folders.touch(spark, f"{target}/_ready/{GENERATION}={number}")
+    for old in known[:-1]:
+        folders.remove(spark, f"{target}/_ready/{GENERATION}={old}")
+        folders.remove(spark, f"{target}/{GENERATION}={old}")
 
 
 def materialize(spark: SparkSession, name: str, sql: str, targets: Sequence[str],
@@ -19,45 +42,85 @@ def materialize(spark: SparkSession, name: str, sql: str, targets: Sequence[str]
     others copy it.  Any failure is raised; success registers the view as ``name``.
     """
     first, *copies = dict.fromkeys(t.rstrip("/") for t in targets)
-    spark.sql(sql, **frames).write.mode("overwrite").parquet(first)
-    stored = spark.read.parquet(first)
+    _store(spark.sql(sql, **frames), first)
+    stored = read_view(spark, first)
     for copy in copies:
-        stored.write.mode("overwrite").parquet(copy)
+        _store(stored, copy)
     stored.createOrReplaceTempView(name)
     return stored
 
 
 def build_view(spark: SparkSession, name: str, sql: str, targets: Sequence[str], *, table: str,
                gate: HoldGate, stage_dir: str, replica_dir: str, schemas: Schemas,
-               defaults: Defaults | None = None, **frames: DataFrame) -> DataFrame:
+               defaults: Defaults | None = None, keys: Keys | None = None, reject_dir: str | None = None,
+               **frames: DataFrame) -> DataFrame:
     """Hold ``table``, build the view, release the hold and load what was staged meanwhile.
 
-    A failure releases the hold as well, and is raised; staged batches then wait for the
-    next drain.
+    The view is a snapshot; ``IncrementalView`` follows the loads.  A failure releases the hold
+    as well, and is raised; staged batches then wait for the next drain.
     """
     gate.hold(table)
     try:
         view = materialize(spark, name, sql, targets, **frames)
     finally:
         gate.release(table)
-    drain(spark, stage_dir, replica_dir, schemas, defaults)
+    drain(spark, stage_dir, replica_dir, schemas, defaults, keys=keys, reject_dir=reject_dir, held=gate.held())
     return view
 
 
+@dataclass(frozen=True)
+class IncrementalView:
+    """An aggregate over all rows ever loaded into a table, kept as one partial per load.
+
+    Given to ``load_batch``, ``drain`` or ``replicate`` as one of ``views``, every load adds its
+    partial before it commits; only partials of committed loads count.  ``build`` starts the view
+    from the loads there are, while the table is held.
+    """
+
+    table: str
+    keys: tuple[str, ...]
+    measures: dict[str, tuple[str, str | Column]]
+    path: str
+    replica_dir: str
+
+    def add(self, rows: DataFrame, load: str) -> None:
+        _partial(rows, self.keys, self.measures).write.mode("overwrite").parquet(f"{self.path}/load={load}")
+
+    def build(self, spark: SparkSession, schema: T.StructType, gate: HoldGate) -> None:
+        gate.hold(self.table)
+        try:
+            full = T.StructType(list(schema.fields))
+            for entry in loads.manifest(spark, self.replica_dir, self.table).live():
+                if entry["name"] not in folders.partitions(spark, self.path, "load"):
+                    self.add(spark.read.schema(full).parquet(
+                        loads.load_path(self.replica_dir, self.table, entry["name"])), entry["name"])
+        finally:
+            gate.release(self.table)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """Partials of all committed loads combined.  A compaction adds none: its rows are counted."""
+        known = {e["name"] for e in loads.manifest(spark, self.replica_dir, self.table).entries}
+        paths = [f"{self.path}/load={n}" for n in folders.partitions(spark, self.path, "load") if n in known]
+        return spark.read.parquet(*paths).groupBy(*self.keys).agg(
+            *[COMBINE[fn](name).alias(name) for name, (fn, _) in self.measures.items()])
+
+
 # Aggregates whose partial results combine with an aggregate of the same rows.
 COMBINE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 _PARTIAL = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
 
 
+def _partial(rows: DataFrame, keys: Sequence[str], measures: dict[str, tuple[str, str | Column]]) -> DataFrame:
+    return rows.groupBy(*keys).agg(*[_PARTIAL[fn](col).alias(name) for name, (fn, col) in measures.items()])
+
+
 def append_partials(rows: DataFrame, keys: Sequence[str], measures: dict[str, tuple[str, str | Column]],
                     path: str, batch_id: int) -> None:
-    """Incremental view: aggregate one batch and store it as that batch's partial result.
+    """Aggregate one batch and store it as that batch's partial result.
 
     ``measures`` maps a column to (count | sum | min | max, input).
     """
-    partial = rows.groupBy(*keys).agg(*[_PARTIAL[fn](col).alias(name)
-                                        for name, (fn, col) in measures.items()])
-    (partial.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    (_partial(rows, keys, measures).withColumn("batch_id", F.lit(batch_id).cast("long"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(path))
 

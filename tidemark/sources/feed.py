@@ -12,6 +12,12 @@ from pyspark.sql import types as T
 # payload may be flattened into columns of its own, which scans prune better.
 CHANGE_COLUMNS = ("xid", "seq", "commit_ts", "op", "source_table", "key")
 
+# Files a micro-batch takes, unless told otherwise: a backlog is worked off in bounded steps.
+MAX_FILES = 1000
+
+# Column with the text of a change that could not be read.
+CORRUPT = "corrupt"
+
 # Operation codes of the public change-envelope convention.
 ENVELOPE_OPS = {"c": "insert", "r": "insert", "u": "update", "d": "delete"}
 
@@ -37,8 +43,8 @@ def read_changes(
     reader = (spark.readStream if streaming else spark.read).format(fmt).schema(schema)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
-    if streaming and max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    if streaming:
+        reader = reader.option("maxFilesPerTrigger", max_files or MAX_FILES)
     changes = reader.load(path)
     if start_after is not None:
         changes = changes.filter(F.col(seq) > F.lit(start_after))
@@ -77,12 +83,15 @@ def decode_envelope(df: DataFrame, row_schema: T.StructType | None = None, value
     """Envelopes in the text column ``value`` → change rows.
 
     A delete carries its old image in ``before``; everything else uses ``after``.
-    Codes other than c, r, u and d, and text that is not an envelope, get op ``other``.
+    Codes other than c, r, u and d get op ``other``.  Text that is no envelope, or whose row
+    does not have the declared types, is kept whole in ``corrupt``.
     Without ``row_schema``, as for a feed of many tables, ``record`` is JSON text, which
     ``table_changes`` parses per table.  ``key`` names the key field of the rows.
     """
-    parsed = F.from_json(F.col(value), envelope_schema(row_schema or T.StringType()))
-    env = df.select(parsed.alias("e"))
+    schema = envelope_schema(row_schema or T.StringType()).add(CORRUPT, T.StringType())
+    parsed = F.from_json(F.col(value), schema, {"columnNameOfCorruptRecord": CORRUPT})
+    env = df.select(parsed.alias("e"), F.col(value).alias("text"))
+    no_envelope = F.col("e.source.table").isNull() | F.col("e.op").isNull()
     record = F.coalesce("e.after", "e.before")
     columns = [
         F.col("e.source.txId").alias("xid"),
@@ -94,7 +103,8 @@ def decode_envelope(df: DataFrame, row_schema: T.StructType | None = None, value
     if key is not None:
         field = record[key] if row_schema is not None else F.get_json_object(record, f"$.{key}")
         columns.append(field.alias("key"))
-    return env.select(*columns, record.alias("record"))
+    corrupt = F.when(F.col(f"e.{CORRUPT}").isNotNull() | no_envelope, F.col("text"))
+    return env.select(*columns, record.alias("record"), corrupt.alias(CORRUPT))
 
 
 def table_changes(changes: DataFrame, table: str, record_schema: T.StructType | None = None,

@@ -11,8 +11,6 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-_ABSENT = object()
-
 ENTRY_SCHEMA = T.StructType([
     T.StructField("entry_no", T.IntegerType(), False),
     T.StructField("source_table", T.StringType(), False),

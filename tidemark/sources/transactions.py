@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.numbering import running_total
+
 # The operation kinds of the log.
 OPERATIONS = ("insert", "update", "delete")
 
@@ -51,29 +53,28 @@ def committed_changes(messages: DataFrame) -> DataFrame:
     )
 
 
-def assemble_transactions(messages: DataFrame, payload: Column | None = None,
-                          span_bits: int = 13) -> DataFrame:
-    """Committed transactions with their operations as ordered lists.
+def numbered_operations(messages: DataFrame) -> DataFrame:
+    """Committed operations with ``op_no``, their exact place in the transaction from 0, and
+    ``operations``, how many it has.  A transaction of any size stays spread over tasks."""
+    rows = running_total(committed_changes(messages), "seq", group=("xid",), name="op_no")
+    sizes = rows.groupBy("xid").agg(F.count(F.lit(1)).alias("operations"))
+    return rows.join(sizes, "xid")
+
+
+def assemble_transactions(messages: DataFrame, n: int, payload: Column | None = None) -> DataFrame:
+    """Committed transactions as ordered lists of at most ``n`` operations.
 
-    A list covers the operations of one transaction inside one stretch of
-    ``2**span_bits`` log positions, so no list can exceed that many elements however
-    large a transaction is.  ``part`` numbers the stretches in log order; the lists of
-    a transaction, read by ``part``, are its operations in original order.
+    ``part`` counts the lists of a transaction: it holds the operations ``part * n`` and on, so
+    one that has no more than ``n`` is one list.
     """
     payload = F.col("kind") if payload is None else payload
-    stretch = F.shiftright(F.col("seq"), span_bits)
-    rows = committed_changes(messages).select(
-        "xid", "lsn", "end_lsn", stretch.alias("part"),
-        F.struct(F.col("seq"), payload.alias("op")).alias("item"),
-    )
-    lists = rows.groupBy("xid", "part").agg(
-        F.first("lsn").alias("lsn"),
-        F.first("end_lsn").alias("end_lsn"),
-        F.count(F.lit(1)).alias("operations"),
+    rows = numbered_operations(messages).select(
+        "xid", "lsn", "end_lsn", "operations", F.call_function("div", F.col("op_no"), F.lit(n)).alias("part"),
+        F.struct(F.col("op_no"), payload.alias("op")).alias("item"))
+    return rows.groupBy("xid", "part").agg(
+        F.first("lsn").alias("lsn"), F.first("end_lsn").alias("end_lsn"), F.first("operations").alias("operations"),
         F.array_sort(F.collect_list("item")).alias("items"),
-    )
-    return lists.select("xid", "lsn", "end_lsn", "part", "operations",
-                        F.col("items.op").alias("ops"))
+    ).select("xid", "lsn", "end_lsn", "part", "operations", F.col("items.op").alias("ops"))
 
 
 def _cast_fields(data: Column, types: Dict[str, str | T.DataType]) -> tuple[list[Column], Column]:
