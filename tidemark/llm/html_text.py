@@ -305,7 +305,7 @@ def _host(url: str) -> Column:
 def wrappers(pages: DataFrame) -> DataFrame:
     """Per host of (page_id, host, html): the reference page and the numbers of its template texts."""
     size = F.length("html")
-    chosen = pages.filter("host IS NOT NULL AND html IS NOT NULL").groupBy("host") \
+    chosen = pages.filter("host IS NOT NULL AND html <> ''").groupBy("host") \
         .agg(F.min(F.struct((size < REFERENCE_CHARS).alias("short"), size.alias("size"), F.xxhash64("html").alias("at")))
              .alias("first")).select("host", "first.at", "first.size")
     chosen = stored(chosen, "references")

@@ -90,10 +90,13 @@ def op4_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files ``source/thousand/fifty/name``; the first of a folder is its licence file."""
+    """Documents as files ``thousand/fifty/source/name``; the first of each fifty is the licence file
+    of its folder, the first of each thousand that of the folder above."""
     number = F.col("doc_id")
-    name = F.when(F.pmod(number, F.lit(50)) == 0, "LICENSE").otherwise(F.concat(number.cast("string"), F.lit(".txt")))
-    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.floor(number / 1000), F.floor(number / 50), name)
+    thousand, fifty = F.floor(number / 1000), F.floor(number / 50)
+    path = F.when(F.pmod(number, F.lit(1000)) == 0, F.concat_ws("/", thousand, F.lit("LICENSE"))) \
+        .when(F.pmod(number, F.lit(50)) == 0, F.concat_ws("/", thousand, fifty, F.lit("LICENSE"))) \
+        .otherwise(F.concat_ws("/", thousand, fifty, F.coalesce("source", F.lit("-")), F.concat(number.cast("string"), F.lit(".txt"))))
     files = table(spark, sf_dir, "documents").select(number.alias("file"), path.alias("path"), "text")
     return licences.scan(spark, files).withColumnRenamed("file", "doc_id")
 
@@ -159,8 +162,10 @@ _NOTICE_ROWS = ",\n    ".join(f"({k}, '{name}', '{text}')" for k, (name, text) i
 OP5_SQL = rf"""
 WITH notices(notice, licence, line) AS (VALUES {_NOTICE_ROWS}),
 files AS (
-    SELECT doc_id, text, concat_ws('/', coalesce(source, '-'), doc_id // 1000, doc_id // 50) AS folder,
-           CASE WHEN doc_id % 50 = 0 THEN 'LICENSE' ELSE doc_id || '.txt' END AS name FROM documents),
+    SELECT doc_id, text, CASE WHEN doc_id % 50 = 0 THEN 'LICENSE' ELSE doc_id || '.txt' END AS name,
+           CASE WHEN doc_id % 1000 = 0 THEN CAST(doc_id // 1000 AS VARCHAR)
+                WHEN doc_id % 50 = 0 THEN concat_ws('/', doc_id // 1000, doc_id // 50)
+                ELSE concat_ws('/', doc_id // 1000, doc_id // 50, coalesce(source, '-')) END AS folder FROM documents),
 split AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
 lines AS (SELECT doc_id, pos, regexp_extract_all(lower(line), '{licences.TERM}') AS terms FROM split
           WHERE regexp_matches(line, '{licences.CUE}')),
