@@ -56,6 +56,11 @@ def test_numbering_shuffles_by_slot(spark, sf):
     assert "SinglePartition" not in text
 
 
+def test_times_are_laid_out_without_a_scratch_copy(spark, sf):
+    text = plan(QUERIES["f5_pages_time"](spark, sf))
+    assert "rangepartitioning" not in text and "ranged-" not in text and "_slot" in text
+
+
 def test_key_profiles_multiply_no_rows(spark, sf):
     assert "Expand" not in plan(QUERIES["f3_key_profile"](spark, sf))
 
@@ -82,5 +87,4 @@ def test_no_local_checkpoint_or_collect_in_the_library():
                 text = open(os.path.join(folder, file), encoding="utf-8").read()
                 for word in (".localCheckpoint(", ".collect()", ".toPandas(", ".rdd", "crossJoin"):
                     assert word not in text, f"{file}: {word}"
-                # The one broadcast is of hot groups, whose number is bounded.
-                assert text.count("broadcast(") == (1 if file == "numbering.py" else 0), file
+                assert "broadcast(" not in text, file

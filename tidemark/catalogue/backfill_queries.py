@@ -113,6 +113,13 @@ def f5_pages_time(spark: SparkSession, sf: str) -> DataFrame:
     return plan_pages(table(spark, sf, "orders"), "o_orderdate", 700, key="o_orderkey")
 
 
+@query("f5_pages_decimal", _pages_sql("lineitem", "CAST(l_extendedprice AS DECIMAL(12, 2))", 5000))
+def f5_pages_decimal(spark: SparkSession, sf: str) -> DataFrame:
+    """By a decimal: its unscaled value lays it out."""
+    lines = table(spark, sf, "lineitem").select(F.col("l_extendedprice").cast("decimal(12,2)").alias("price"))
+    return plan_pages(lines, "price", 5000)
+
+
 @query("f5_pages_text", _pages_sql("customer", "c_name", 100))
 def f5_pages_text(spark: SparkSession, sf: str) -> DataFrame:
     return plan_pages(table(spark, sf, "customer"), "c_name", 100)

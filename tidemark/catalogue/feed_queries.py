@@ -19,6 +19,7 @@ from tidemark.sources.mapping import Entry, Mapping
 from tidemark.sources.snapshot import scan_source
 from tidemark.sources.transactions import (assemble_transactions, committed_changes, numbered_operations,
                                            project_operation)
+from tidemark.streaming.replicate import wire_changes
 
 
 @query("s1_rules", f"""
@@ -284,17 +285,34 @@ def t9_reject_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query("t9_route_rejects", f"""
     SELECT source_table, 'text: note is null' AS reject_reason, CAST(id AS VARCHAR) AS id,
            CAST(value AS VARCHAR) AS value
-    FROM ({FEED_SQL}) WHERE source_table IN ('click', 'view') AND (value IS NULL OR value <= 100)""")
+    FROM ({FEED_SQL}) WHERE source_table <> 'error' AND op <> 'delete' AND (value IS NULL OR value <= 100)""")
 def t9_route_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    """Rejected rows of two tables that share a destination."""
-    rules = Mapping([Entry(t, "notes", remap=NOTE_RULE.remap) for t in ("click", "view")])
+    """Rejected rows of all mapped tables, which share a destination."""
     rows = feed_tables(_noted(spark, sf))
-    rejected = route_rejects({t: rows[t] for t in ("click", "view")}, rules)
+    rules = Mapping([Entry(t, "notes", remap=NOTE_RULE.remap) for t in rows])
+    rejected = route_rejects(rows, rules)
     back = F.from_json("value", "id STRING, value STRING")
     return rejected.select("source_table", "reject_reason", back.alias("r")) \
         .select("source_table", "reject_reason", "r.*")
 
 
+@query("t6_one_pass", f"""
+    SELECT dest_table, count(*) AS rows FROM (
+        SELECT 'accounts' AS dest_table FROM ({FEED_SQL}) WHERE source_table = 'signup' AND op <> 'delete'
+        UNION ALL SELECT 'activity' FROM ({FEED_SQL}) WHERE source_table IN ('click', 'view', 'purchase') AND op <> 'delete'
+        UNION ALL SELECT 'purchases' FROM ({FEED_SQL}) WHERE source_table = 'purchase' AND op <> 'delete') GROUP BY 1""")
+def t6_one_pass(spark: SparkSession, sf: str) -> DataFrame:
+    """All rules in one scan of the feed: what each destination is sent."""
+    changes = feed(spark, sf).select("seq", "op", "source_table", F.struct("id", "event_type", "value", "props").alias("record"))
+    return wire_changes(changes, RULES).groupBy("dest_table").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("t3_versions_by_time", f"""
+    SELECT seq, id, epoch_us(ts) * 1000 AS ver FROM ({FEED_SQL}) WHERE op <> 'delete'""")
+def t3_versions_by_time(spark: SparkSession, sf: str) -> DataFrame:
+    return stamp_version(live_changes(feed(spark, sf)), by="commit_ts", commit_ts="ts").select("seq", "id", "ver")
+
+
 LATEST = "row_number() OVER (PARTITION BY id ORDER BY ver DESC, seq DESC) = 1"
 
 

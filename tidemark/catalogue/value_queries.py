@@ -40,6 +40,14 @@ def v_convert_lineitem(spark: SparkSession, sf: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_shipdate"))
 
 
+@query("v12_catch_all", """
+    SELECT CAST(event_id AS VARCHAR) AS event_id, hex(encode(event_type)) AS kind FROM events""")
+def v12_catch_all(spark: SparkSession, sf: str) -> DataFrame:
+    """A type no rule names, binary here, passes unchanged."""
+    rows = table(spark, sf, "events").select("event_id", F.encode("event_type", "UTF-8").alias("kind"))
+    return convert_record(rows).withColumn("kind", F.hex("kind"))
+
+
 @query("v8_decimal_bool", """
     SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
            l_quantity AS quantity, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS returned

@@ -162,15 +162,15 @@ def previous_value(df: DataFrame, value: str, order: str, group: Sequence[str],
     into slots; the first row of a slot takes the last value of the slot before it.
     ``order`` is an integer, unique within the group; neither it nor the group is null.
 
-    The list of hot groups is broadcast: it has at most one row per ``hot_rows`` rows of
-    input (a quarter million per 10**12), and only the group columns.
+    The list of hot groups has at most one row per ``hot_rows`` rows of input; how it is joined
+    is left to adaptive execution.
     """
     hot = (
         df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > hot_rows)
         .select(*group, F.lit(True).alias("_hot"))
     )
-    rows = df.join(F.broadcast(hot), list(group), "left") \
+    rows = df.join(hot, list(group), "left") \
         .withColumn("_slot", F.when(F.col("_hot"), _slot(order, bits)))
     last = F.max_by(F.struct(F.col(value).alias("v")), F.col(order))
     by_slot = Window.partitionBy(*group).orderBy("_slot")

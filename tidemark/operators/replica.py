@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Longest id list put into the scan filter itself; longer lists become a join.
-INLINE_IDS = 1000
-
 
 def _order(ver: str, tie: str | None) -> list[str]:
     return [ver] if tie is None else [ver, tie]
@@ -79,18 +76,12 @@ def refresh_keys(source: DataFrame, ids: Sequence | DataFrame, key: str,
                  changes: DataFrame | None = None, change_key: str | None = None) -> DataFrame:
     """Rows with the given ids, minus keys the feed has touched.
 
-    A short list becomes a filter of the scan; a long one, or a one-column DataFrame, a
-    semi-join.
+    Ids are a list or a one-column DataFrame; either way a semi-join, whatever its length.
     """
     if isinstance(ids, DataFrame):
         wanted = ids.toDF(key).distinct()
-        rows = source.join(wanted, key, "left_semi")
-    elif len(ids) <= INLINE_IDS:
-        rows = source.filter(F.col(key).isin(list(ids)))
     else:
-        spark = source.sparkSession
-        field = source.schema[key]
-        wanted = spark.createDataFrame([(i,) for i in set(ids)],
-                                       f"`{key}` {field.dataType.simpleString()}")
-        rows = source.join(wanted, key, "left_semi")
+        kind = source.schema[key].dataType.simpleString()
+        wanted = source.sparkSession.createDataFrame([(i,) for i in set(ids)], f"`{key}` {kind}")
+    rows = source.join(wanted, key, "left_semi")
     return rows if changes is None else exclude_live(rows, changes, key, change_key)

@@ -69,6 +69,13 @@ def _as_integer(col: str, dtype: T.DataType) -> Column | None:
         return F.unix_date(col).cast("long")
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(col)
+    if isinstance(dtype, T.TimestampNTZType):  # of the clock itself, in no zone
+        seconds = F.extract(F.lit("SECOND"), F.col(col))
+        return (F.unix_date(F.col(col).cast("date")).cast("long") * 86_400_000_000
+                + F.hour(col).cast("long") * 3_600_000_000 + F.minute(col).cast("long") * 60_000_000
+                + (seconds * 1_000_000).cast("long"))
+    if isinstance(dtype, T.DecimalType) and dtype.precision <= 18:
+        return (F.col(col) * F.lit(10 ** dtype.scale).cast("decimal(19,0)")).cast("long")
     return None
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -55,9 +56,36 @@ def shared_folder(spark: SparkSession) -> str:
     return fallback
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tidemark/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove everything this application has put below the shared folder.
+
+    Results that have not been written elsewhere may still read it: call it after them.  It is
+    also called when the driver ends.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+
+
+def _clear_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.conf.get("spark.checkpoint.dir", None):
+        clear_scratch(spark)
+
+
+_cleared_at_exit = False
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, gone when the driver ends."""
+    global _cleared_at_exit
+    if not _cleared_at_exit:
+        _cleared_at_exit = True
+        atexit.register(_clear_at_exit)
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def use_checkpoints(spark: SparkSession) -> None:
