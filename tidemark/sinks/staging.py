@@ -183,8 +183,8 @@ def load_batch(spark: SparkSession, stage_dir: str, replica_dir: str, dest: str,
 
     Batches already loaded are not loaded again.  With ``reject_dir``, rows with values that do
     not parse or without a key go there with their reason, and the rest is loaded.  Without it
-    such a value fails the load: nothing is committed, the staged files stay, and the batches'
-    rows are reported under ``<replica>/_failed``.  Returns the number of batches loaded.
+    such a value fails the load: nothing is committed, the staged files stay, and the batches
+    and their ids are reported under ``<replica>/_failed``.  Returns the number of batches loaded.
     """
     wanted = {origin: set(ids) for origin, ids in batches.items()}
     known = loads.manifest(spark, replica_dir, dest)
@@ -223,11 +223,13 @@ def load_batch(spark: SparkSession, stage_dir: str, replica_dir: str, dest: str,
 
 
 def _report_failure(staged: DataFrame, replica_dir: str, dest: str, schema: T.StructType) -> None:
-    """Rows, first id and all ids of each batch of a failed load."""
+    """Rows and first id of each batch of a failed load, and all its ids, one to a row."""
     key = schema.names[0] if schema.names else None
     order = "ver" if "ver" in schema.names else key
-    report = load_report(staged.withColumn("dest_table", F.lit(dest)), key, order, with_ids=True, by=BY_BATCH)
-    report.write.mode("append").json(f"{replica_dir}/_failed")
+    rows = staged.withColumn("dest_table", F.lit(dest))
+    load_report(rows, key, order, by=BY_BATCH).write.mode("append").json(f"{replica_dir}/_failed/batches")
+    if key is not None:
+        rows.select(*BY_BATCH, F.col(f"`{key}`").alias("id")).write.mode("append").json(f"{replica_dir}/_failed/ids")
 
 
 def loaded_report(spark: SparkSession, replica_dir: str, dest: str, schema: T.StructType, key: str = "id",
