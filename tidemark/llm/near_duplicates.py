@@ -1,21 +1,25 @@
 """Near-duplicates: MinHash bands for candidates, odd sketches to screen them, full sets to confirm.
 
 1. One pass turns each text into its set of word shingles (64-bit hashes), a digest of the set,
-   MinHash samples, band values of the samples and an odd sketch: a bitmap in which every
-   sample flips one bit.  The XOR of two sketches has about as many bits as the samples differ,
-   which tells high similarities precisely from 64 bytes.
+   MinHash samples, band values of the samples and an odd sketch: a bitmap in which each of the
+   ``BOTTOM`` least hashes of the set (its bottom-k MinHash samples) flips one bit.  The XOR of
+   two sketches has about as many bits as the samples differ in, which tells high similarities
+   precisely from 128 bytes.
 2. Texts with equal sets are one class and one node from here on, so thousands of copies cost
    one row.  Nodes that share a band value are candidates.
 3. Each band value picks one member, against which all others are tested: as many pairs as
    rows, never all pairs.  Sketches screen the pairs in the JVM; survivors are confirmed on the
    full sets of both texts.  Confirmed links give components.
 4. Band values whose members are not yet in one component go on, with another member each
-   round; only members of another component are tested, and no pair twice.  When rounds stop
-   joining components, the members outside a band value's main component are tested against
-   all others there.  So every pair of a band value is either tested or already connected.
+   round; only members of another component are tested, and no pair twice.  After some rounds,
+   the members outside a band value's main component are tested against all others there.  So
+   every pair of a band value is either tested or already connected.
 
 A link at 0.8 shares no band value with a chance below one in a million (56 bands of 6 out of
-192 samples); the screen at 0.6 lies six standard deviations below the threshold.
+192 samples); the screen lets through what lies up to six standard deviations below it.
+
+Texts travel only if a pair needs them: a bitmap of fixed size, made from the pairs' keys, drops
+most others where they are read.  However full it gets, it only ever lets more through.
 
 Defined results: words are ASCII-lower-cased; a text with fewer words than a shingle has one
 shingle, its whole sequence; texts without words have none and are linked with nothing; rows
@@ -29,6 +33,7 @@ import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -41,10 +46,12 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 SAMPLES = 192
 BANDS, BAND_ROWS = 56, 6
-SKETCH_LONGS = 8
+BOTTOM = 1024  # least hashes folded into a sketch
+SKETCH_LONGS = 16
 SKETCH_BITS = 64 * SKETCH_LONGS
-SCREEN_MARGIN = 0.2
-SMALL = 24  # members of a band value that are tested pair by pair
+DEVIATIONS = 6.0  # of the screen below the threshold
+ROUNDS = 3  # in which band values test one member each
+WANTED_BITS = 1 << 25  # of the bitmap of wanted keys
 CHUNK = 2048  # shingles hashed at once
 NO_ID = 1 << 62  # keys of documents without id lie above
 
@@ -54,7 +61,6 @@ _SHIFTS = _rng.integers(0, 2**64, SAMPLES, dtype=np.uint64)
 _CHOSEN = np.array([_rng.choice(SAMPLES, BAND_ROWS, replace=False) for _ in range(BANDS)])
 _BAND_FACTORS = _rng.integers(0, 2**63, (BANDS, BAND_ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND_SHIFTS = _rng.integers(0, 2**64, BANDS, dtype=np.uint64)
-_BIT_FACTORS = _rng.integers(0, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -103,16 +109,29 @@ def bands(least: np.ndarray) -> np.ndarray:
     return _mixed((_mixed(least)[_CHOSEN] * _BAND_FACTORS).sum(axis=1, dtype=np.uint64) + _BAND_SHIFTS)
 
 
-def odd_sketch(least: np.ndarray) -> np.ndarray:
-    """Every (function, sample) flips one of the bits."""
-    bit = (_mixed(least * _BIT_FACTORS) >> np.uint64(64 - int(math.log2(SKETCH_BITS)))).astype(np.int64)
+def odd_sketch(hashes: np.ndarray) -> np.ndarray:
+    """Each of the least hashes of a set (sorted) flips one of the bits."""
+    bit = (_mixed(hashes[:BOTTOM]) >> np.uint64(64 - int(math.log2(SKETCH_BITS)))).astype(np.int64)
     odd = np.bincount(bit, minlength=SKETCH_BITS) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def most_odd_bits(similarity: float) -> int:
-    """Differing bits expected at a similarity: 2K(1-J) flips of SKETCH_BITS bits."""
-    return math.ceil(SKETCH_BITS / 2 * (1 - math.exp(-4 * SAMPLES * (1 - similarity) / SKETCH_BITS)))
+def _most_odd_bits(one: Column, two: Column, similarity: float) -> Column:
+    """Bits in which the sketches of sets of these sizes differ at the similarity, at the most.
+
+    Sets at similarity s share s/(1+s) of their elements.  Of the larger set only the share t
+    has come into the sketch, so the sampled sets differ in d; d flips leave about
+    N/2 (1 - exp(-2d/N)) odd bits.  Both steps are widened by ``DEVIATIONS``.
+    """
+    n = float(SKETCH_BITS)
+    common = (one + two) * (similarity / (1 + similarity))
+    t = F.least(F.lit(1.0), F.lit(float(BOTTOM)) / F.greatest(one, two))
+    taken = F.least(one, F.lit(BOTTOM)) + F.least(two, F.lit(BOTTOM))
+    flips = taken - 2 * t * common + 2 * DEVIATIONS * F.sqrt(common * t * (1 - t))
+    x = flips / n
+    odd = n / 2 * (1 - F.exp(-2 * x))
+    spread = F.sqrt(F.greatest(F.lit(0.0), n * ((1 - F.exp(-4 * x)) / 4 - x * F.exp(-4 * x))))
+    return odd + DEVIATIONS * spread + 1
 
 
 def _key(doc_id: str, text: str) -> Column:
@@ -131,7 +150,7 @@ def fingerprints(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFram
                 least = samples(own)
                 digest.append(xxhash.xxh3_128_digest(own.tobytes()))
                 band.append(bands(least).view(np.int64))
-                sketch.append(odd_sketch(least))
+                sketch.append(odd_sketch(own))
             else:
                 digest.append(None)
                 band.append(None)
@@ -146,18 +165,38 @@ def fingerprints(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFram
 
 
 def _screened(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (u, v) whose odd sketches allow the similarity."""
-    one = nodes.select(F.col("node").alias("u"), F.col("sketch").alias("a"))
-    two = nodes.select(F.col("node").alias("v"), F.col("sketch").alias("b"))
+    """Pairs (u, v) whose sizes and odd sketches allow the similarity."""
+    one = nodes.select(F.col("node").alias("u"), F.col("n_shingles").alias("m"), F.col("sketch").alias("a"))
+    two = nodes.select(F.col("node").alias("v"), F.col("n_shingles").alias("n"), F.col("sketch").alias("b"))
     odd = sum((F.bit_count(F.get("a", k).bitwiseXOR(F.get("b", k))) for k in range(1, SKETCH_LONGS)),
               F.bit_count(F.get("a", 0).bitwiseXOR(F.get("b", 0))))
-    return pairs.join(one, "u").join(two, "v").filter(odd <= most_odd_bits(similarity - SCREEN_MARGIN)) \
-        .select("u", "v")
+    sizes = F.least("m", "n") >= F.greatest("m", "n") * similarity - 1e-6
+    return pairs.join(one, "u").join(two, "v") \
+        .filter(sizes & (odd <= _most_odd_bits(F.col("m"), F.col("n"), similarity))).select("u", "v")
+
+
+def _wanted(keys: DataFrame) -> Column:
+    """Condition on a column ``key``: true for all of ``keys``, false for most others."""
+    place = F.pmod(F.xxhash64("key"), F.lit(WANTED_BITS))
+    bits = np.zeros(WANTED_BITS // 8, np.uint8)
+    parts = keys.select(place.alias("p")).groupBy(F.call_function("div", F.col("p"), F.lit(32768)).alias("part")) \
+        .agg(F.bitmap_construct_agg(F.col("p") % 32768).alias("bits"))
+    for row in parts.toLocalIterator():  # of fixed size, whatever the keys
+        own = np.frombuffer(row["bits"], np.uint8)
+        bits[row["part"] * 4096:row["part"] * 4096 + len(own)] |= own
+
+    @F.pandas_udf("boolean")
+    def has(p: pd.Series) -> pd.Series:
+        at = p.to_numpy()
+        return pd.Series((bits[at >> 3] >> (at & 7) & 1).astype(bool))
+
+    return has(place)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
     """Pairs (u, v) whose full shingle sets are similar enough."""
-    texts = docs.select(_key(doc_id, text).alias("key"), F.col(text).cast("string").alias("text"))
+    keys = pairs.select(F.col("u").alias("key")).unionAll(pairs.select("v"))
+    texts = docs.select(_key(doc_id, text).alias("key"), F.col(text).cast("string").alias("text")).filter(_wanted(keys))
     pivots = pairs.select("u").distinct().join(texts.withColumnsRenamed({"key": "u", "text": "a"}), "u")
     members = pairs.join(texts.withColumnsRenamed({"key": "v", "text": "b"}), "v")
 
@@ -207,13 +246,13 @@ def component_table(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     classes = stored(marks.filter("n_shingles > 0").groupBy("digest")
                      .agg(F.min("key").alias("node"), F.min("doc_id").alias("low")), "classes")
     nodes = stored(marks.join(classes.select("digest", F.col("node").alias("key")), ["digest", "key"])
-                   .select(F.col("key").alias("node"), "bands", "sketch"), "nodes")
+                   .select(F.col("key").alias("node"), "n_shingles", "bands", "sketch"), "nodes")
 
     rows = nodes.select("node", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("last")) \
         .filter("pivot < last").select("band", "pivot")
     members = stored(rows.join(shared, "band").select("band", "node", "pivot").distinct(), "members")
-    sketches = nodes.select("node", "sketch")
+    sketches = nodes.select("node", "n_shingles", "sketch")
 
     def links_of(pairs: DataFrame) -> DataFrame:
         """Confirmed links of candidate pairs; both the screened pairs and the links are stored."""
@@ -231,29 +270,20 @@ def component_table(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
                      .distinct())
     labels = components(links)
     members = members.select("band", "node")
-    before, turn = None, 0
-    while True:
+    for turn in range(ROUNDS + 1):
         members = stored(_labelled(members.select("band", "node"), labels), "members")
         open_bands = stored(_unsettled(members), "unsettled")
-        n_large, strays = open_bands.filter(F.col("size") > SMALL) \
-            .agg(F.count(F.lit(1)), F.sum(F.col("parts"))).first()
-        members = members.join(open_bands.select("band", "size", "main"), "band")
-        small, large = members.filter(F.col("size") <= SMALL), members.filter(F.col("size") > SMALL)
-        pairs = _member_pairs(small, small)
-        going_on = bool(n_large) and (before is None or 10 * strays < 9 * before)
-        if going_on:
-            # Another member of each large band value, as good as drawn by lot: the least after mixing.
+        members = members.join(open_bands.select("band", "main"), "band")
+        if turn < ROUNDS:
+            # Another member of each band value, as good as drawn by lot: the least after mixing.
             mixed = F.xxhash64("node", F.lit(turn))
-            picked = large.groupBy("band").agg(F.min(mixed).alias("first"))
-            chosen = large.join(picked, "band").filter(mixed == F.col("first"))
+            picked = members.groupBy("band").agg(F.min(mixed).alias("first"))
+            chosen = members.join(picked, "band").filter(mixed == F.col("first"))
         else:
-            chosen = large.filter("label != main")
-        more = links_of(untested(pairs.unionAll(_member_pairs(large, chosen)).distinct()))
+            chosen = members.filter("label != main")
+        more = links_of(untested(_member_pairs(members, chosen)))
         links = links.unionAll(more)
         labels = components(links)
-        if not going_on:
-            break
-        before, turn = strays, turn + 1
 
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     lows = named.groupBy("label").agg(F.min("low").alias("component_id"))
