@@ -11,12 +11,13 @@
    rows, never all pairs.  Sketches screen the pairs in the JVM; survivors are confirmed on the
    full sets of both texts.  Confirmed links give components.
 4. Band values whose members are not yet in one component go on, with another member each
-   round; only members of another component are tested, and no pair twice.  After some rounds,
+   round; only members of another component are tested, and no pair twice.  In the last round,
    the members outside a band value's main component are tested against all others there.  So
    every pair of a band value is either tested or already connected.
 
-A link at 0.8 shares no band value with a chance below one in a million (56 bands of 6 out of
-192 samples); the screen lets through what lies up to six standard deviations below it.
+A link at just 0.8 shares no band value with a chance of six in a million (56 bands of 6 out of
+192 samples, simulated), a closer one with less; the screen lets through what lies up to six
+standard deviations below it.
 
 Texts travel only if a pair needs them: a bitmap of fixed size, made from the pairs' keys, drops
 most others where they are read.  However full it gets, it only ever lets more through.
@@ -33,7 +34,6 @@ import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -50,8 +50,9 @@ BOTTOM = 1024  # least hashes folded into a sketch
 SKETCH_LONGS = 16
 SKETCH_BITS = 64 * SKETCH_LONGS
 DEVIATIONS = 6.0  # of the screen below the threshold
-ROUNDS = 3  # in which band values test one member each
-WANTED_BITS = 1 << 25  # of the bitmap of wanted keys
+ROUNDS = 1  # in which band values test another member, before the last one
+WANTED_BITS = 1 << 24  # of the bitmap of wanted keys, 2 MB
+PART_BITS = 1 << 15  # of its rows
 CHUNK = 2048  # shingles hashed at once
 NO_ID = 1 << 62  # keys of documents without id lie above
 
@@ -164,39 +165,40 @@ def fingerprints(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFram
                                   "sketch array<long>")
 
 
-def _screened(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (u, v) whose sizes and odd sketches allow the similarity."""
-    one = nodes.select(F.col("node").alias("u"), F.col("n_shingles").alias("m"), F.col("sketch").alias("a"))
-    two = nodes.select(F.col("node").alias("v"), F.col("n_shingles").alias("n"), F.col("sketch").alias("b"))
+def _alike(similarity: float) -> Column:
+    """Whether sets of sizes m and n with the sketches a and b may be that similar."""
     odd = sum((F.bit_count(F.get("a", k).bitwiseXOR(F.get("b", k))) for k in range(1, SKETCH_LONGS)),
               F.bit_count(F.get("a", 0).bitwiseXOR(F.get("b", 0))))
     sizes = F.least("m", "n") >= F.greatest("m", "n") * similarity - 1e-6
-    return pairs.join(one, "u").join(two, "v") \
-        .filter(sizes & (odd <= _most_odd_bits(F.col("m"), F.col("n"), similarity))).select("u", "v")
+    return sizes & (odd <= _most_odd_bits(F.col("m"), F.col("n"), similarity))
 
 
-def _wanted(keys: DataFrame) -> Column:
-    """Condition on a column ``key``: true for all of ``keys``, false for most others."""
-    place = F.pmod(F.xxhash64("key"), F.lit(WANTED_BITS))
-    bits = np.zeros(WANTED_BITS // 8, np.uint8)
-    parts = keys.select(place.alias("p")).groupBy(F.call_function("div", F.col("p"), F.lit(32768)).alias("part")) \
-        .agg(F.bitmap_construct_agg(F.col("p") % 32768).alias("bits"))
-    for row in parts.toLocalIterator():  # of fixed size, whatever the keys
-        own = np.frombuffer(row["bits"], np.uint8)
-        bits[row["part"] * 4096:row["part"] * 4096 + len(own)] |= own
+def _screened(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (u, v) whose sizes and odd sketches allow the similarity."""
+    one = nodes.select(F.col("node").alias("u"), F.col("n_shingles").alias("m"), F.col("sketch").alias("a"))
+    two = nodes.select(F.col("node").alias("v"), F.col("n_shingles").alias("n"), F.col("sketch").alias("b"))
+    return pairs.join(one, "u").join(two, "v").filter(_alike(similarity)).select("u", "v")
 
-    @F.pandas_udf("boolean")
-    def has(p: pd.Series) -> pd.Series:
-        at = p.to_numpy()
-        return pd.Series((bits[at >> 3] >> (at & 7) & 1).astype(bool))
 
-    return has(place)
+def _wanted(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose ``key`` is among ``keys``, and few others.
+
+    The keys are marked in a bitmap of fixed size, ``WANTED_BITS`` in all, which is broadcast.
+    """
+    place = F.pmod(F.xxhash64("key"), F.lit(WANTED_BITS))
+    part = F.call_function("div", F.col("place"), F.lit(PART_BITS))
+    bitmap = keys.select(place.alias("place")).groupBy(part.alias("part")) \
+        .agg(F.bitmap_construct_agg(F.col("place") % PART_BITS).alias("bits"))
+    marked = rows.withColumn("place", place).withColumn("part", part).join(F.broadcast(bitmap), "part")
+    at = F.col("place") % PART_BITS
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return marked.filter(F.getbit(byte, (at % 8).cast("int")) == 1).select(*rows.columns)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
     """Pairs (u, v) whose full shingle sets are similar enough."""
     keys = pairs.select(F.col("u").alias("key")).unionAll(pairs.select("v"))
-    texts = docs.select(_key(doc_id, text).alias("key"), F.col(text).cast("string").alias("text")).filter(_wanted(keys))
+    texts = _wanted(docs.select(_key(doc_id, text).alias("key"), F.col(text).cast("string").alias("text")), keys)
     pivots = pairs.select("u").distinct().join(texts.withColumnsRenamed({"key": "u", "text": "a"}), "u")
     members = pairs.join(texts.withColumnsRenamed({"key": "v", "text": "b"}), "v")
 
@@ -223,6 +225,24 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after further links: only the components these join are looked at again."""
+    one = labels.withColumnsRenamed({"node": "u", "label": "p"})
+    two = labels.withColumnsRenamed({"node": "v", "label": "q"})
+    between = stored(links.join(one, "u", "left").join(two, "v", "left")
+                     .select(F.coalesce("p", "u").alias("u"), F.coalesce("q", "v").alias("v"))
+                     .filter("u != v").distinct(), "between")
+    if between.isEmpty():
+        return labels
+    moved = components(between).withColumnsRenamed({"node": "old", "label": "new"})
+    kept = labels.join(moved, labels["label"] == moved["old"], "left") \
+        .select("node", F.coalesce("new", "label").alias("label"))
+    # Nodes that had no link so far, and labels that gave way to a smaller one.
+    fresh = moved.join(labels, moved["old"] == labels["node"], "left_anti") \
+        .select(F.col("old").alias("node"), F.col("new").alias("label"))
+    return stored(kept.unionByName(fresh), "labels")
+
+
 def _unsettled(members: DataFrame) -> DataFrame:
     """Band values whose members are in several components, with their size and main component."""
     by_label = members.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -231,11 +251,15 @@ def _unsettled(members: DataFrame) -> DataFrame:
         .filter("parts > 1 AND size > 2")
 
 
-def _member_pairs(members: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Pairs of the chosen members with those of the other components of their band value."""
-    return chosen.select("band", F.col("node").alias("u"), F.col("label").alias("p")) \
-        .join(members.select("band", F.col("node").alias("v"), F.col("label").alias("q")), "band") \
-        .filter("p != q").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+def _member_pairs(members: DataFrame, chosen: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of the chosen members with those of other components of their band value, screened
+    where they meet: only pairs that may be links come out of the join."""
+    one = chosen.select("band", F.col("node").alias("u"), F.col("label").alias("p"), F.col("n_shingles").alias("m"),
+                        F.col("sketch").alias("a"))
+    two = members.select("band", F.col("node").alias("v"), F.col("label").alias("q"), F.col("n_shingles").alias("n"),
+                         F.col("sketch").alias("b"))
+    return one.join(two, "band").filter((F.col("p") != F.col("q")) & _alike(similarity)) \
+        .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
 def component_table(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS,
@@ -255,25 +279,19 @@ def component_table(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     sketches = nodes.select("node", "n_shingles", "sketch")
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        """Confirmed links of candidate pairs; both the screened pairs and the links are stored."""
-        screened = stored(_screened(pairs, sketches, similarity), "screened")
-        tested.append(screened)
-        return stored(_confirmed(screened, docs, doc_id, text, size, percent), "confirmed")
-
-    def untested(pairs: DataFrame) -> DataFrame:
-        for old in tested:
-            pairs = pairs.join(old, ["u", "v"], "left_anti")
-        return pairs
+        """Confirmed links of screened pairs; both are stored."""
+        pairs = stored(pairs, "screened")
+        tested.append(pairs)
+        return stored(_confirmed(pairs, docs, doc_id, text, size, percent), "confirmed")
 
     tested: list[DataFrame] = []
-    links = links_of(members.filter("node != pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v"))
-                     .distinct())
-    labels = components(links)
+    first = members.filter("node != pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
+    labels = components(links_of(_screened(first, sketches, similarity)))
     members = members.select("band", "node")
     for turn in range(ROUNDS + 1):
         members = stored(_labelled(members.select("band", "node"), labels), "members")
         open_bands = stored(_unsettled(members), "unsettled")
-        members = members.join(open_bands.select("band", "main"), "band")
+        members = stored(members.join(open_bands.select("band", "main"), "band").join(sketches, "node"), "open-members")
         if turn < ROUNDS:
             # Another member of each band value, as good as drawn by lot: the least after mixing.
             mixed = F.xxhash64("node", F.lit(turn))
@@ -281,9 +299,10 @@ def component_table(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
             chosen = members.join(picked, "band").filter(mixed == F.col("first"))
         else:
             chosen = members.filter("label != main")
-        more = links_of(untested(_member_pairs(members, chosen)))
-        links = links.unionAll(more)
-        labels = components(links)
+        pairs = _member_pairs(members, chosen, similarity)
+        for old in tested:
+            pairs = pairs.join(old, ["u", "v"], "left_anti")
+        labels = _joined(labels, links_of(pairs))
 
     named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     lows = named.groupBy("label").agg(F.min("low").alias("component_id"))
