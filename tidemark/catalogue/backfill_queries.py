@@ -270,19 +270,19 @@ def f11_copy_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("f11_job_log", """
     WITH p AS (SELECT page, count(*) AS n, min(v) AS last_id FROM (
-                   SELECT o_orderkey AS v, (row_number() OVER (ORDER BY o_orderkey DESC) - 1) // 1000 AS page FROM orders)
+                   SELECT o_orderkey AS v, (row_number() OVER (ORDER BY o_orderkey DESC) - 1) // 700 AS page FROM orders)
                GROUP BY page),
-    s AS (SELECT page // 5 AS step, min(last_id) AS last_processed_id, sum(n) AS n FROM p GROUP BY 1)
+    s AS (SELECT page // 2 AS step, min(last_id) AS last_processed_id, sum(n) AS n FROM p GROUP BY 1)
     SELECT step, last_processed_id, CAST(sum(n) OVER (ORDER BY step) AS BIGINT) AS processed_rows,
            CASE WHEN step = (SELECT max(step) FROM s) THEN 'completed' ELSE 'running' END AS status FROM s""")
 def f11_job_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Cursor and count after each step of five pages, with a failure in between that is resumed."""
+    """Cursor and count after each step of two pages, with a failure in between that is resumed."""
     folder = scratch_path(spark, "copy")
     jobs = BackfillJobs(spark, f"{folder}/log", ORDER_RULES)
     orders = table(spark, sf, "orders")
-    job = jobs.start("orders", orders, "o_orderkey", batch_size=1000)
-    run = {"replica_dir": f"{folder}/replica", "schemas": {"order_facts": ORDER_FACTS}, "pages_per_step": 5}
-    jobs.copy_pages(job["job_id"], orders, max_pages=5, **run)
+    job = jobs.start("orders", orders, "o_orderkey", batch_size=700)
+    run = {"replica_dir": f"{folder}/replica", "schemas": {"order_facts": ORDER_FACTS}, "pages_per_step": 2}
+    jobs.copy_pages(job["job_id"], orders, max_pages=2, **run)
     broken = orders.withColumn("o_totalprice", F.raise_error(F.lit("lost the source")).cast("double"))
     try:
         jobs.copy_pages(job["job_id"], broken, **run)
