@@ -4,7 +4,7 @@
    MinHash samples, band values of the samples and an odd sketch: a bitmap in which each of the
    ``BOTTOM`` least hashes of the set (its bottom-k MinHash samples) flips one bit.  The XOR of
    two sketches has about as many bits as the samples differ in, which tells high similarities
-   precisely from 128 bytes.
+   precisely from 256 bytes.
 2. Texts with equal sets are one class and one node from here on, so thousands of copies cost
    one row.  Nodes that share a band value are candidates.
 3. Each band value picks one member, against which all others are tested: as many pairs as
@@ -16,7 +16,7 @@
    every pair of a band value is either tested or already connected.
 
 A link at just 0.8 shares no band value with a chance of six in a million (56 bands of 6 out of
-192 samples, simulated), a closer one with less; the screen lets through what lies up to six
+192 samples, simulated), a closer one with less; the screen lets through what lies up to 4.5
 standard deviations below it.
 
 Texts travel only if a pair needs them: a bitmap of fixed size, made from the pairs' keys, drops
@@ -47,9 +47,9 @@ PERCENT = 80
 SAMPLES = 192
 BANDS, BAND_ROWS = 56, 6
 BOTTOM = 1024  # least hashes folded into a sketch
-SKETCH_LONGS = 16
+SKETCH_LONGS = 32
 SKETCH_BITS = 64 * SKETCH_LONGS
-DEVIATIONS = 6.0  # of the screen below the threshold
+DEVIATIONS = 4.5  # of the screen below the threshold
 ROUNDS = 1  # in which band values test another member, before the last one
 WANTED_BITS = 1 << 24  # of the bitmap of wanted keys, 2 MB
 PART_BITS = 1 << 15  # of its rows
