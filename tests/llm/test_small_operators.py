@@ -191,6 +191,28 @@ def test_licences_are_read_and_inherited(spark):
     assert licences.scan(spark, files.select("file", "path", "text").limit(0)).count() == 0
 
 
+def _licence_text(name):
+    return (licences.TEXTS / f"{name}.txt").read_text()
+
+
+def test_whole_licence_files_and_headers_tell_families_apart(spark):
+    def comment(text, mark="# "):
+        return "\n".join(mark + line for line in text.splitlines())
+
+    names = ["BSD-2-Clause", "BSD-3-Clause", "ISC", "Unlicense", "Zlib", "AGPL-3.0", "GPL-3.0", "GPL-2.0", "LGPL-2.1", "CC0-1.0", "EPL-2.0", "MIT"]
+    rows = [(k, f"p{k}/LICENSE", "Copyright (c) 2020 Jane Doe\n\n" + _licence_text(n)) for k, n in enumerate(names)]
+    rows += [(100 + k, f"q/{k}.py", "#!/usr/bin/python\n" + comment(_licence_text(n)) + "\nimport os\n" * 50)
+             for k, n in enumerate(names[:5])]
+    agpl = _licence_text("AGPL-3.0.header0").replace(" ", "\n * ", 9)
+    rows += [(200, "q/a.c", f"/*\n * A program.\n * {agpl} */\nint main;\n"),
+             (201, "q/readme", "Some words.\n\nThis project is licensed under the\nApache License,\nVersion 2.0\n\nMore words."),
+             (202, "q/x.py", "# nothing to see here\nimport os"), (203, "p2/LICENSE-2", prose(300)), (204, None, None)]
+    files = spark.createDataFrame(rows, "file LONG, path STRING, text STRING")
+    got = {r["file"]: r["licence"] for r in licences.scan(spark, files).collect()}
+    assert got == {**dict(enumerate(names)), **{100 + k: n for k, n in enumerate(names[:5])},
+                   200: "AGPL-3.0", 201: "Apache-2.0", 202: None, 203: "ISC", 204: None}
+
+
 def test_the_licence_scan_runs_no_python(spark, sf):
     from tidemark.llm.queries import QUERIES
     plan = QUERIES["op5_licence_scan"](spark, sf)._jdf.queryExecution().executedPlan().toString()
