@@ -44,6 +44,23 @@ def test_text_of_a_page(page, text):
     assert html_text.main_text(page) == text
 
 
+BODY = "<p>The body of the page, long enough to be most of it.</p>"
+
+
+@pytest.mark.parametrize("page, text", [
+    *((f"<div class=menu>Home</div>{start}{BODY}</{end}><div class='sidebar'>side</div>", BODY[3:-4]) for start, end in (
+        ("<article class='post has-sidebar'>", "article"), ("<main class='no-sidebar'>", "main"),
+        ("<article class='comments-open'>", "article"), ("<div class='elementor-widget'>", "div"),
+        ("<div id='search-results'>", "div"), ("<article class='promo'>", "article"), ("<main id='comments'>", "main"))),
+    (f"<div class='widget'><p>x<article>{BODY}</article></div>", BODY[3:-4]),
+    (f"<div class='x'>{BODY}</div><div class='related'><article>card</article></div>", BODY[3:-4]),
+    (f"<article>short</article><div class='comments'><article>{BODY}</article></div>", "short"),
+    (f"<main><p>short<div class='comments'>{BODY * 3}</div></main>", "short"),
+    ("<div class='sidebar'><p>one</p></div><p class='ad'>two", "one\ntwo"), ("<b class='ad'>all there is</b>", "all there is")])
+def test_marks_by_class_do_not_lose_the_body(page, text):
+    assert html_text.main_text(page) == text
+
+
 def _tree(rnd, depth=0):
     label = rnd.choice("abc")
     kids = [_tree(rnd, depth + 1) for _ in range(rnd.randrange(0, 4 - depth))]

@@ -9,7 +9,9 @@ its template texts are joined back.
 
 Of the content, the parts that pages mark as something else are left out by element, role,
 class and id: menus, headers, footers, sidebars, notices, adverts, forms, comments.  Where a
-page marks an article (or else a main part), only that is read.
+page marks an article (or else a main part), only that is read.  Words of a class that tell the
+page's state ("has-sidebar") are no marks, an element with most of the text stays, and marks by
+class and id do not count if nothing would be left.
 
 Defined results: null and empty pages have an empty text; pages without a host are extracted
 without a wrapper; references are decoded once; white space, no-break spaces too, becomes one
@@ -54,6 +56,10 @@ MARKS = frozenset(
     "notices alert popup modal overlay newsletter subscribe signup share sharing social related recommended comment "
     "comments commentlist respond reply replies disqus pagination pager login search toolbar skip".split())
 HEADS = frozenset("header masthead banner".split())  # inside an article these hold its title
+APART = frozenset(  # marks that even most of a page's text may bear
+    "nav navbar navigation menu breadcrumb breadcrumbs footer pagination pager toolbar skip cookie cookies consent gdpr "
+    "comment comments commentlist respond reply replies disqus".split())
+STATES = frozenset("no has with without is open closed enabled disabled".split())  # of the page: "has-sidebar"
 TITLED = frozenset("post entry article story content".split())  # as these do: "post-header"
 CLOSES = {  # an opening tag ends the open elements named here, up to the one that limits it
     "li": ("li", "ul ol menu dir"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"),
@@ -63,11 +69,12 @@ CLOSES = {  # an opening tag ends the open elements named here, up to the one th
 }
 CLOSES = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSES.items()}
 TEXT = "#"
+LEFT_OUT = ("head", "marked", "apart", "drop")
 
 
 class Node:
     """An element, or a text between two blocks (label ``#``)."""
-    __slots__ = ("label", "drop", "children", "text", "shape", "mark", "size", "leaf")
+    __slots__ = ("label", "drop", "children", "text", "shape", "mark", "size", "leaf", "chars")
 
     def __init__(self, label: str, drop: str = "", text: str = ""):
         self.label, self.drop, self.text = label, drop, text
@@ -77,7 +84,8 @@ class Node:
 
 @lru_cache(65_536)
 def _role(tag: str, attributes: str) -> str:
-    """Why an element is no content: "" (it is), "head" (unless in an article) or "drop"."""
+    """Why an element is no content: "" (it is), "head" (unless in an article), "marked" or "apart" (by
+    class or id; see `_kept`) or "drop"."""
     why = "head" if tag == "header" else "drop" if tag in DROPPED or tag in INLINE_DROPPED else ""
     if not attributes or tag in ("html", "body"):
         return why
@@ -90,17 +98,21 @@ def _role(tag: str, attributes: str) -> str:
         if name == "role" and value in ROLES:
             return "head" if value == "banner" else "drop"
         if name in ("class", "id"):
-            tokens.update(TOKEN.findall(value))
+            for part in value.split():
+                words = TOKEN.findall(part)
+                if not (STATES & set(words)):
+                    tokens.update(words)
     marks = tokens & MARKS
     if tokens & TITLED:
         marks -= HEADS
-    if marks:
-        return why if why == "drop" else "head" if marks <= HEADS else "drop"
+    if marks and why != "drop":
+        return "head" if marks <= HEADS else "apart" if marks & APART else "marked"
     return why
 
 
-def parse(page: str) -> Node:
-    """The block structure of a page; inline markup is folded into the texts."""
+def parse(page: str, marks: bool = True) -> Node:
+    """The block structure of a page; inline markup is folded into the texts, of marked inline
+    elements only without ``marks``."""
     root = Node("html")
     stack, run, skipped, depth = [root], [], "", 0
     at, size = 0, len(page)
@@ -139,7 +151,7 @@ def parse(page: str) -> Node:
         if tag not in BLOCKS:
             if tag in ("br", "wbr", "hr", "img"):
                 run.append("" if tag == "wbr" else " ")
-            elif not closing and _role(tag, found[3] or found[4] or "") and not (found[3] or "").endswith("/") \
+            elif not closing and _role(tag, found[3] or found[4] or "") in (LEFT_OUT if marks else ("drop",)) and not (found[3] or "").endswith("/") \
                     and tag not in ("input", "link", "meta", "source", "embed", "area", "base", "col", "param", "track"):
                 skipped, depth = tag, 1
             continue
@@ -188,10 +200,12 @@ def _measure(root: Node) -> list[Node]:
     for node in reversed(order):
         if node.label == TEXT:
             node.shape, node.mark, node.size = 1, xxhash.xxh3_64_intdigest(node.text), 1
+            node.chars = len(node.text)
         else:
             node.shape = hash((node.label, *[c.shape for c in node.children]))
             node.mark = hash((node.label, *[c.mark for c in node.children]))
             node.size = 1 + sum(c.size for c in node.children)
+            node.chars = 0 if node.drop == "drop" else sum(c.chars for c in node.children)
     return leaves
 
 
@@ -260,9 +274,44 @@ def aligned(a: Node, b: Node) -> Iterator[tuple[Node, Node]]:
                 todo.append((left[i], right[j]))
 
 
+def _kept(root: Node) -> set[int]:
+    """Elements that stay in spite of their class and id.
+
+    One that holds most of the page's text, unless its marks set it apart; and the largest article
+    or main part, with all that holds it, if its text exceeds all unmarked text outside of it.
+    """
+    kept: set[int] = set()
+    best: tuple[Node | None, tuple] = (None, ())
+    plain = 0  # characters without a mark
+    todo: list[tuple[Node, tuple, bool, bool]] = [(root, (), False, False)]
+    while todo:
+        node, path, marked, apart = todo.pop()
+        if node.label == TEXT:
+            plain += 0 if marked else node.chars
+            continue
+        if node.drop == "drop":
+            continue
+        if node.drop in ("marked", "apart"):
+            path, marked = (node, path), True
+            if node.drop == "marked" and 2 * node.chars > root.chars:
+                kept.add(id(node))
+            apart = apart or (node.drop == "apart" and node.label not in ("article", "main"))
+        if node.label in ("article", "main") and not apart and (best[0] is None or node.chars > best[0].chars):
+            best = node, path
+        todo.extend((c, path, marked, apart) for c in node.children)
+    largest, path = best
+    if largest is not None and path and largest.chars > plain:
+        while path:
+            kept.add(id(path[0]))
+            path = path[1]
+    return kept
+
+
 def content(root: Node) -> list[Node]:
-    """Texts of the article, or else the main part, or else the page, without what is marked otherwise."""
-    for wanted in ("article", "main", ""):
+    """Texts of the article, or else the main part, or else the page, without what is marked otherwise;
+    if that leaves nothing, marks by class and id do not count."""
+    kept = _kept(root)
+    for wanted, marks in (("article", True), ("main", True), ("", True), ("article", False), ("main", False), ("", False)):
         found: list[Node] = []
         todo = [(root, not wanted)]
         while todo:
@@ -271,7 +320,8 @@ def content(root: Node) -> list[Node]:
                 if inside:
                     found.append(node)
                 continue
-            if node.drop == "drop" or (node.drop == "head" and not (inside and wanted)):
+            if node.drop == "drop" or (node.drop == "head" and not (inside and wanted)) \
+                    or (marks and node.drop in ("marked", "apart") and id(node) not in kept):
                 continue
             inside = inside or node.label == wanted
             todo.extend((c, inside) for c in reversed(node.children))
@@ -286,6 +336,9 @@ def main_text(page: str | None, reference: Node | None = None, template: frozens
         return ""
     root = parse(page)
     texts = content(root)
+    if not texts:
+        root = parse(page, marks=False)
+        texts = content(root)
     if reference is not None and template and texts:
         constant = {x.leaf for x, y in aligned(root, reference) if y.leaf in template and x.text == y.text}
         texts = [t for t in texts if t.leaf not in constant] or texts
