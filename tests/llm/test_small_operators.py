@@ -304,6 +304,22 @@ def test_cross_parsing_counts_longest_match_phrases():
         assert model.phrases(row)[0].tolist() == [_phrases(text, known) for _, known in texts]
 
 
+def _script(first, letters, n, seed):
+    rnd = random.Random(seed)
+    return " ".join("".join(chr(first + rnd.randrange(letters)) for _ in range(rnd.randrange(2, 6))) for _ in range(n))
+
+
+def test_all_letters_of_all_scripts_are_told_apart():
+    scripts = {"ar": (0x627, 10), "el": (0x3B1, 17), "en": (0x61, 26), "ja": (0x3042, 60), "ko": (0xAC00, 400), "ru": (0x430, 32), "zh": (0x4E00, 900)}
+    texts = tuple((name, language.folded(_script(*at, 2000 if name in ("en", "ru") else 400, 1))) for name, at in scripts.items())
+    model = language.Model(texts)
+    assert [p for p, _ in model.predict([_script(*at, 60, 2).encode() for at in scripts.values()])] == list(scripts)
+    mixed = language.folded(" ".join(_script(*at, 6, 3) for at in scripts.values()) + " \u0905")[:language.STRETCH]
+    row = np.full((1, language.STRETCH), language.PAD, model.code.dtype)
+    row[0, :len(mixed)] = model.code[np.frombuffer(mixed.encode("utf-32-le"), np.uint32)]
+    assert model.phrases(row)[0].tolist() == [_phrases(mixed, known) for _, known in texts]
+
+
 def test_the_automaton_knows_all_substrings_and_no_others():
     text = "abcabxabcd"
     moves = language.automaton(text)

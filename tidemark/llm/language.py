@@ -31,7 +31,7 @@ TRAIN_CHARS = 160_000
 DOC_CHARS = 1_000
 DOCS = 200  # documents a language, at most
 FOLDS = 5
-LETTERS = 60  # letters told apart
+LETTERS = 60  # letters with a column of the dense table; the transitions of all others are sorted keys
 STRETCH = 256
 SLICE = 2 << 20
 OTHER, BLANK, PAD = 0, 1, 2  # an unknown letter, anything between words, the end of a stretch
@@ -74,37 +74,56 @@ def folded(text: str) -> str:
 
 
 class Model:
-    """The automata of all languages in one table of next places."""
+    """The automata of all languages in one table of next places, and sorted keys for rarer letters."""
 
     def __init__(self, texts: tuple[tuple[str, str], ...]):
         self.languages = [name for name, _ in texts]
         seen = Counter(c for _, text in texts for c in text if c != " ")
-        code = {c: 3 + k for k, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LETTERS])}
+        code = {c: 3 + k for k, (c, _) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0])))}
         code[" "] = BLANK
-        self.width = 3 + LETTERS
-        tables, start, at = [np.zeros((1, self.width), np.int32)], [], 1  # state 0 matches nothing
-        for _, text in texts:
+        self.width = 3 + min(LETTERS, len(seen))
+        self.alphabet = 3 + len(seen)
+        tables, at = [np.zeros((1, self.width), np.int32)], 1  # state 0 matches nothing
+        keys, values = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        self.afresh = np.zeros((len(texts), self.alphabet), np.int32)
+        for k, (_, text) in enumerate(texts):
             moves = automaton(text)
             table = np.zeros((len(moves), self.width), np.int32)
-            rows = [(s, code[c], t) for s, own in enumerate(moves) for c, t in own.items() if c in code]
+            rows = [(s, code[c], t) for s, own in enumerate(moves) for c, t in own.items()]
             s, c, t = np.array(rows, np.int64).reshape(-1, 3).T
-            table[s, c] = (t + at) * self.width
+            t = (t + at) * self.width
+            self.afresh[k, c[s == 0]] = t[s == 0]
+            dense = c < self.width
+            table[s[dense], c[dense]] = t[dense]
+            keys.append((s[~dense] + at) * self.width * self.alphabet + c[~dense])
+            values.append(t[~dense])
             tables.append(table)
-            start.append(at * self.width)
             at += len(moves)
         self.next = np.concatenate(tables).reshape(-1)  # 0: no such match
         self.bits = np.log2([len(text) + 2 for _, text in texts])
-        self.afresh = self.next[np.array(start, np.int64)[:, None] + np.arange(self.width)]
-        self.code = np.where(_letters(), OTHER, BLANK).astype(np.uint8)
+        keys, values = np.concatenate(keys), np.concatenate(values)
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+        self.code = np.where(_letters(), OTHER, BLANK).astype(np.min_scalar_type(self.alphabet))
         for c, k in code.items():
             self.code[ord(c)] = k
 
+    def _after(self, state: np.ndarray, column: np.ndarray) -> np.ndarray:
+        rare = np.flatnonzero(column >= self.width)
+        if not len(rare):
+            return self.next[state + column]
+        after = self.next[state + np.where(column < self.width, column, OTHER)]
+        wanted = state[:, rare].astype(np.int64) * self.alphabet + column[rare]
+        place = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        after[:, rare] = np.where(self.keys[place] == wanted, self.values[place], 0)
+        return after
+
     def phrases(self, stretches: np.ndarray) -> np.ndarray:
         """Phrases of each stretch (rows) in each language (columns)."""
         state = np.zeros((len(self.languages), len(stretches)), np.int32)
         count = np.zeros(state.shape, np.int32)
         for column in np.ascontiguousarray(stretches.T):
-            after = self.next[state + column]
+            after = self._after(state, column)
             missed = after == 0
             count += missed
             state = np.where(missed, self.afresh[:, column], after)
@@ -119,7 +138,7 @@ class Model:
     def _predict(self, texts: list[bytes | None]) -> list[tuple[str, float]]:
         parts = [np.frombuffer((raw or b"").decode().lower().encode("utf-32-le"), np.uint32) for raw in texts]
         owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        code = self.code[np.concatenate(parts)] if len(owner) else np.empty(0, np.uint8)
+        code = self.code[np.concatenate(parts)] if len(owner) else np.empty(0, self.code.dtype)
         has_letter = np.bincount(owner[code != BLANK], minlength=len(parts)) > 0
         keep = np.ones(len(code), bool)  # one blank between words
         keep[1:] = (code[1:] != BLANK) | (code[:-1] != BLANK) | (owner[1:] != owner[:-1])
@@ -131,7 +150,7 @@ class Model:
         first = (np.cumsum(size) - size)[of] + turn * STRETCH
         place = first[:, None] + np.arange(STRETCH)
         inside = place < np.minimum(first + STRETCH, np.cumsum(size)[of])[:, None]
-        stretches = np.full(place.shape, PAD, np.uint8)
+        stretches = np.full(place.shape, PAD, self.code.dtype)
         stretches[inside] = code[place[inside]]
         total = np.zeros((len(parts), len(self.languages)))
         np.add.at(total, of, self.phrases(stretches))
