@@ -191,6 +191,26 @@ def test_mix_meets_its_targets(spark):
     assert mixing.mix(docs.limit(0)).collect() == []
 
 
+def test_copies_of_a_document_are_taken_one_by_one(spark):
+    """The second source may give 40 % of its thousand equal rows: alike but for another column."""
+    rows = [(1, prose(2, 1), "a", 0), *((i, prose(10, 3), "b", i) for i in [None] * 1000)]
+    rows = [(i, t, s, k) for k, (i, t, s, _) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING, `a b` LONG").repartition(7)
+    plan = mixing.mix(docs, weights=(1, 1)).collect()
+    target = next(r["target"] for r in plan if r["source"] == "b")
+    assert sum(r["copies"] for r in plan) == 1001
+    assert abs(sum(r["size"] * r["copies"] * r["passes"] for r in plan if r["source"] == "b") - target) <= 10
+    # Weights that leave a part of the rows: the first source, of 1,000 words, is given more than it has.
+    rows = [(k, prose(1000, k), "a", k) for k in range(4)] + [(None, prose(10, 3), "b", k) for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING, `a b` LONG").repartition(7)
+    plan = mixing.mix(docs, weights=(2, 1)).collect()
+    target = next(r["target"] for r in plan if r["source"] == "b")
+    taken = sum(r["size"] * r["copies"] * r["passes"] for r in plan if r["source"] == "b")
+    assert 0 < taken and abs(taken - target) <= 10 and target < 5000
+    got = mixing.mixed_documents(docs, weights=(2, 1)).filter("source = 'b'").collect()
+    assert 10 * len(got) == taken and len({r["a b"] for r in got}) == len(got)
+
+
 def test_pipeline_keeps_what_each_stage_decides(spark, sf):
     """Every stage on all that the one before kept, against brute force on its own input."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")

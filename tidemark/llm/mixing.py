@@ -11,8 +11,11 @@ What one task holds is a source's table of lengths, never its documents.  Docume
 length are dealt into salts by their hash: salts before the last one are taken as they are,
 and only inside that one are documents ranked.
 
-Defined results: a null text has no words; rows alike in source, id and text are taken
-together; a null source comes last; documents without words are never taken; an empty table
+Rows alike in source, id and text are copies of one document and count as documents of their
+own: a source may take some copies once more than others.
+
+Defined results: a null text has no words; which of a document's copies are taken more often is
+left open; a null source comes last; documents without words are never taken; an empty table
 gives no rows; other columns stay as they are.
 """
 
@@ -107,50 +110,80 @@ def _units(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
     ).groupBy("source", "doc_id", "hash", "size").agg(F.count(F.lit(1)).alias("copies"))
 
 
-def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source",
-        weights: Sequence[int] = WEIGHTS, most: int = MOST_PASSES, seed: int = 5) -> DataFrame:
-    """Per distinct document: source, doc_id, hash, size, copies, source_size, target and passes,
-    the times that each of its copies is taken."""
+def _planned(docs: DataFrame, doc_id: str, text: str, source: str, weights: Sequence[int], most: int, seed: int) -> DataFrame:
+    """Per distinct document: source, doc_id, hash, size, copies, source_size, target, ``passes`` of
+    each copy and how many copies are taken once ``more``."""
     units = stored(_units(docs, doc_id, text, source), "units")
     by_source = units.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
     plan = stored(targets(stored(by_source, "by-source"), weights, most), "targets")
     lot = F.xxhash64(F.lit(seed), "doc_id", "hash")
     units = stored(
         units.join(plan.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
-        .withColumns({"length": F.col("size") * F.col("copies"), "lot": lot,
-                      "salt": F.pmod(lot, F.lit(SALTS)).cast("int")}), "dealt")
-    salted = stored(units.filter("length > 0").groupBy("number", "length", "salt")
-                    .agg(F.count(F.lit(1)).alias("n")), "salted")
-    lengths = salted.groupBy("number", "length").agg(F.sum("n").alias("n")) \
+        .withColumns({"lot": lot, "salt": F.pmod(lot, F.lit(SALTS)).cast("int")}), "dealt")
+    salted = stored(units.filter("size > 0").groupBy("number", "size", "salt")
+                    .agg(F.sum("copies").alias("n")), "salted")
+    lengths = salted.groupBy("number", "size").agg(F.sum("n").alias("n")) \
         .join(plan.select("number", "source_size", "target"), "number")
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
         size, target = int(rows["source_size"].iloc[0]), float(rows["target"].iloc[0])
         budget = max(0, round(target - size * int(target // size)))
-        taken = fit(dict(zip(rows["length"].tolist(), rows["n"].tolist())), budget)
-        return pd.DataFrame({"number": rows["number"], "length": rows["length"],
-                             "take": [taken.get(k, 0) for k in rows["length"].tolist()]})
+        taken = fit(dict(zip(rows["size"].tolist(), rows["n"].tolist())), budget)
+        return pd.DataFrame({"number": rows["number"], "size": rows["size"],
+                             "take": [taken.get(k, 0) for k in rows["size"].tolist()]})
 
-    chosen = lengths.groupBy("number").applyInPandas(choose, "number long, length long, take long")
-    ahead = Window.partitionBy("number", "length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    chosen = lengths.groupBy("number").applyInPandas(choose, "number long, size long, take long")
+    ahead = Window.partitionBy("number", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     quota = salted.withColumn("ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0).cast("long"))) \
-        .join(chosen, ["number", "length"]) \
-        .select("number", "length", "salt", F.greatest(F.lit(0).cast("long"), F.col("take") - F.col("ahead")).alias("quota"))
-    rank = F.row_number().over(Window.partitionBy("number", "length", "salt").orderBy("lot", "doc_id", "hash"))
-    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    return units.withColumn("rank", rank).join(quota, ["number", "length", "salt"], "left").select(
-        "source", "doc_id", "hash", "size", "copies", "source_size", "target",
-        F.when(F.col("size") > 0, passes + F.when(F.col("rank") <= F.col("quota"), 1).otherwise(0))
-        .otherwise(0).cast("long").alias("passes"))
+        .join(chosen, ["number", "size"]) \
+        .select("number", "size", "salt", F.greatest(F.lit(0).cast("long"), F.col("take") - F.col("ahead")).alias("quota"))
+    before = F.sum("copies").over(Window.partitionBy("number", "size", "salt").orderBy("lot", "doc_id", "hash")
+                                  .rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("copies")
+    passes = F.when((F.col("source_size") > 0) & (F.col("size") > 0), F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    more = F.least(F.col("copies"), F.greatest(F.lit(0).cast("long"), F.coalesce("quota", F.lit(0)) - F.col("before")))
+    return units.withColumn("before", before).join(quota, ["number", "size", "salt"], "left").select(
+        "source", "doc_id", "hash", "size", "copies", "source_size", "target", passes.cast("long").alias("passes"), more.alias("more"))
+
+
+def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+        weights: Sequence[int] = WEIGHTS, most: int = MOST_PASSES, seed: int = 5) -> DataFrame:
+    """Per distinct document: source, doc_id, hash, size, copies, source_size, target and passes,
+    the times that each of these copies is taken; two rows where its copies differ in that."""
+    parts = F.array(F.struct(F.col("more").alias("copies"), (F.col("passes") + 1).alias("passes")),
+                    F.struct((F.col("copies") - F.col("more")).alias("copies"), F.col("passes").alias("passes")))
+    return _planned(docs, doc_id, text, source, weights, most, seed) \
+        .withColumn("part", F.explode(F.filter(parts, lambda x: x["copies"] > 0))) \
+        .select("source", "doc_id", "hash", "size", "part.copies", "source_size", "target", "part.passes")
 
 
 def mixed_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source",
-                    **options) -> DataFrame:
+                    weights: Sequence[int] = WEIGHTS, most: int = MOST_PASSES, seed: int = 5) -> DataFrame:
     """Each row as often as the mix takes it, with all its columns."""
-    plan = mix(docs, doc_id=doc_id, text=text, source=source, **options).filter("passes > 0") \
-        .select(F.col("source").alias("_op8_source"), F.col("doc_id").alias("_op8_id"),
-                F.col("hash").alias("_op8_hash"), F.col("passes").alias("_op8_passes"))
+    plan = stored(_planned(docs, doc_id, text, source, weights, most, seed).filter("passes > 0 OR more > 0").select(
+        F.col("source").alias("_op8_source"), F.col("doc_id").alias("_op8_id"), F.col("hash").alias("_op8_hash"),
+        F.col("passes").alias("_op8_passes"), F.col("more").alias("_op8_more"), F.col("copies").alias("_op8_copies")), "mix-plan")
     same = F.col(source).cast("string").eqNullSafe(F.col("_op8_source")) \
         & F.col(doc_id).cast("long").eqNullSafe(F.col("_op8_id")) & (F.col("_op8_hash") == F.col("_op8_own"))
-    return docs.withColumn("_op8_own", F.xxhash64(F.col(text))).join(plan, same) \
-        .withColumn("_op8_turn", F.explode(F.sequence(F.lit(1), F.col("_op8_passes")))).select(*docs.columns)
+    names = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    own = docs.withColumn("_op8_own", F.xxhash64(F.col(text)))
+    split = (F.col("_op8_more") > 0) & (F.col("_op8_more") < F.col("_op8_copies"))
+    once_more = F.when(F.col("_op8_more") > 0, 1).otherwise(0)
+    taken = own.join(plan.filter(~split), same).withColumn("_op8_turns", F.col("_op8_passes") + once_more)
+    if not plan.filter(split).isEmpty():
+        # Copies that differ in their passes are numbered by written part, so no task holds all of one document.
+        rows = stored(own.join(plan.filter(split), same).withColumn("_op8_at", F.monotonically_increasing_id()), "mix-copies") \
+            .withColumn("_op8_part", F.shiftright("_op8_at", 33))
+        unit = ["_op8_source", "_op8_id", "_op8_hash"]
+        sizes = rows.groupBy(*unit, "_op8_part").agg(F.count(F.lit(1)).alias("_op8_n"))
+        ahead = Window.partitionBy(*unit).orderBy("_op8_part").rowsBetween(Window.unboundedPreceding, -1)
+        sizes = sizes.withColumn("_op8_ahead", F.coalesce(F.sum("_op8_n").over(ahead), F.lit(0).cast("long"))) \
+            .select(*(F.col(c).alias(c + "_") for c in unit), F.col("_op8_part").alias("_op8_part_"), "_op8_ahead")
+        place = F.row_number().over(Window.partitionBy(*unit, "_op8_part").orderBy("_op8_at"))
+        alike = F.col("_op8_part") == F.col("_op8_part_")
+        for c in unit:
+            alike = alike & F.col(c).eqNullSafe(F.col(c + "_"))
+        turn = F.when(F.col("_op8_place") + F.col("_op8_ahead") <= F.col("_op8_more"), 1).otherwise(0)
+        numbered = rows.withColumn("_op8_place", place).join(sizes, alike).withColumn("_op8_turns", F.col("_op8_passes") + turn)
+        taken = taken.select(*names, "_op8_turns").unionByName(numbered.select(*names, "_op8_turns"))
+    return taken.filter("_op8_turns > 0").withColumn("_op8_turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_op8_turns").cast("long")))) \
+        .select(*names)
