@@ -185,6 +185,19 @@ def test_spans_beside_the_base(text, found):
     assert more == ([] if found is None else [found])
 
 
+@pytest.mark.parametrize("text, found", [
+    ('{"password": "24be64439e3e49cf46b2"}', "24be64439e3e49cf46b2"), ("'token': '24be64439e3e49cf46b2',", "24be64439e3e49cf46b2"),
+    ('"{\\"secret\\": \\"24be64439e3e49cf46b2\\"}"', "24be64439e3e49cf46b2"), ("os['api_key'] = '24be64439e3e49cf46b2'", "24be64439e3e49cf46b2"),
+    ("the password is 24be64439e3e49cf46b2", "24be64439e3e49cf46b2"), ("my account number is 12345678", "12345678"),
+    ("Konto-Nr.: 12345678", "12345678"), ("IBAN (DE): DE89 3704 0044 0532 0130 00", "DE89 3704 0044 0532 0130 00"),
+    ('"account_number": "12345678"', "12345678"), ("SSN is 078-05-1120", "078-05-1120"), ("pay to DE89370400440532013000 now", "DE89370400440532013000"),
+    ("IBAN NO93 8601 1117 947", "NO93 8601 1117 947"), ("(NL91 ABNA 0417 1643 00)", "NL91 ABNA 0417 1643 00"),
+    ("pay to DE88370400440532013000 now", None), ("XDE89370400440532013000", None), ("DE893704004405320130001", None), ("in our account is nothing", None)])
+def test_spans_after_looser_cues(text, found):
+    more = [text[s:e] for s, e, k in personal_data.spans(text.encode()) if k not in personal_data.BASE_KINDS]
+    assert more == ([] if found is None else [found])
+
+
 def test_personal_data_of_rows(spark):
     texts = [None, "", "é a@b.co a@b.co", "1.2.3.4"]
     got = personal_data.find_personal_data(docs_of(spark, texts)).orderBy("doc_id").collect()

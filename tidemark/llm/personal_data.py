@@ -1,7 +1,7 @@
 """Personal data by anchor expansion.
 
 One Aho-Corasick pass over a text finds anchors: at-signs, scheme separators, digits and cue
-words.  From each anchor a small deterministic parser widens to the boundaries of an email
+words; two capitals before a digit may begin an IBAN.  From each anchor a small deterministic parser widens to the boundaries of an email
 address, network address, card, telephone or account number, login or secret, and validates it.
 No parser looks beyond the characters its kind may consist of, so the work is linear and the
 spans are those of the kinds' patterns, leftmost and non-overlapping per kind.
@@ -34,11 +34,18 @@ CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 AUTHORITY = re.compile(r"[^\s/?#\"'<>]*")
-LINK = re.compile(r"[\s:=#.]{0,4}(?:(?:no|nr|number|num)\b[\s:=#.]{0,4})?", re.I)
+BETWEEN = r"[\s:=#._\\\"'()\[\]-]{0,8}"
+LINK = re.compile(rf"{BETWEEN}(?:(?:no|nr|num|number|nummer|n[uú]mero|num[eé]ro|is|ist|es|est|[A-Z]{{2}}(?=\)))(?![A-Za-z0-9]){BETWEEN}){{0,3}}", re.I)
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 NUMBER = re.compile(r"[0-9](?:[ -]?[0-9]){5,19}(?![0-9A-Za-z])")
 SOCIAL = re.compile(r"[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![0-9])")
-ASSIGNED = re.compile(r"\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9_./+~-]{16,})")
+ASSIGNED = re.compile(r"(?:(?:\\?[\"'\])]){0,2}\s{0,3}(?:=>|:=|[=:])|\s{1,3}is\b:?)\s{0,3}(?:\\?[\"'])?([A-Za-z0-9_./+~-]{16,})")
+IBAN_SIZES = {country: size for size, countries in (
+    (15, "NO"), (16, "BE"), (18, "DK FO FI GL NL SD FK"), (19, "MK SI"), (20, "AT BA EE KZ LT LU XK MN"),
+    (21, "HR LV LI CH"), (22, "BH BG CR GE DE IE ME RS GB VA"), (23, "GI IL IQ TL AE OM SO"),
+    (24, "AD CZ MD PK RO SA SK ES SE TN VG"), (25, "LY PT ST"), (26, "IS TR"), (27, "BI DJ FR GR IT MR MC SM"),
+    (28, "AL AZ BY CY DO SV GT HU LB NI PL"), (29, "BR EG PS QA UA"), (30, "JO KW MU YE"), (31, "MT SC"), (32, "LC"),
+    (33, "RU")) for country in countries.split()}
 ACCOUNT_CUES = ("iban", "account", "acct", "konto", "cuenta", "compte")
 SOCIAL_CUES = ("ssn", "social security")
 SECRET_CUES = ("token", "password", "passwd", "secret", "api_key", "apikey", "access_key")
@@ -109,10 +116,25 @@ def _login(text: str, end: int) -> Span | None:
     return (end, end + cut, "login") if cut > 0 and ":" in authority[0][:cut] else None
 
 
+def _iban(text: str, at: int) -> Span | None:
+    """An account number of its country's size, proven by its checksum."""
+    found = IBAN.match(text, at)
+    size = IBAN_SIZES.get(text[at:at + 2])
+    if not found or not size or (at and text[at - 1].isalnum()):
+        return None
+    ends = [m for m in range(at + 1, found.end() + 1) if text[m - 1] != " "]
+    if len(ends) < size:
+        return None
+    stop = ends[size - 1]
+    return (at, stop, "account") if not text[stop:stop + 1].isalnum() and passes_iban(text[at:stop]) else None
+
+
 def _account(text: str, end: int) -> Span | None:
     at = LINK.match(text, end).end()
     found = IBAN.match(text, at)
     if found:
+        if whole := _iban(text, at):
+            return whole
         # The longest prefix that is an account number; more capitals may follow it.
         cuts = [m for m in range(found.end(), at + 14, -1) if text[m - 1] != " "]
         stop = next((m for m in cuts if passes_iban(text[at:m])), None)
@@ -152,6 +174,8 @@ def spans(raw: bytes | None) -> list[Span]:
                 start = last - (last > 0 and text[last - 1] == "+")
                 number_end = NUMERIC.match(text, start).end()
                 out.update(_numbers(text, start, number_end))
+                if last > 1 and "A" <= text[last - 1] <= "Z" and (account := _iban(text, last - 2)):
+                    out.add(account)
             continue
         found = _email(text, last, mail_end) if kind == "at" else CUED[kind](text, last + 1)
         if found:
