@@ -357,6 +357,13 @@ def test_held_out_languages_are_told_apart(spark, sf):
     assert sum(r["lang"] == r["lang_pred"] for r in held) >= 0.9 * len(held) and all(0 <= r["score"] <= 1 for r in found)
 
 
+def test_training_reads_beyond_equal_openings(spark):
+    notice = "notice " * 200
+    rows = [(k, notice + _script(*at, 1500, k), lang) for k in range(40) for lang, at in (("en", (0x61, 26)), ("ru", (0x430, 32)))]
+    texts = language.training_texts(spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING"))
+    assert [name for name, _ in texts] == ["en", "ru"] and sum("\u0430" <= c <= "\u044f" for c in texts[1][1]) > len(texts[1][1]) / 2
+
+
 def test_texts_without_letters_and_without_training(spark):
     docs = spark.createDataFrame([(1, None, "en"), (2, "12 $$", "en"), (3, "", None), (None, "abc", None), (4, "abc abd", "en"), (6, "abd", "en")],
                                  "doc_id LONG, text STRING, lang STRING")

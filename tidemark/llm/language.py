@@ -6,7 +6,8 @@ phrases mean a similar language.  Phrases times the bits that point into the lan
 per character, estimate the cross entropy; the least one wins.
 
 The automata are fitted on a bounded sample: ``TRAIN_CHARS`` characters over all languages, at
-most ``DOC_CHARS`` of one document, drawn by hash from the labelled rows that are not held out.
+most ``DOC_CHARS`` of one document, at a place drawn by hash, of at most ``DOCS`` documents a
+language, drawn by hash from the labelled rows that are not held out.
 Predictions read whole texts.  Texts are parsed in stretches of ``STRETCH`` characters, all of a
 batch side by side, so the walk through the automata is array work.
 
@@ -190,8 +191,10 @@ def training_texts(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         .filter((_remainder("doc_id") != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     drawn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id"))
     chosen = stored(rows.select("lang", "doc_id").withColumn("n", drawn).filter(F.col("n") <= DOCS).distinct(), "drawn")
+    places = F.greatest(F.lit(1), F.length("text") - DOC_CHARS + 1)
+    place = (F.pmod(F.xxhash64("text", F.lit(seed)), places) + 1).cast("int")
     picked = rows.join(chosen, ["lang", "doc_id"]) \
-        .select("lang", "n", F.substring("text", 1, DOC_CHARS).alias("text")).orderBy("lang", "n", "text").collect()
+        .select("lang", "n", F.substr("text", place, F.lit(DOC_CHARS)).alias("text")).orderBy("lang", "n", "text").collect()
     names = sorted({r["lang"] for r in picked})
     texts = []
     for name in names:
