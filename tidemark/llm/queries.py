@@ -17,6 +17,7 @@ from tidemark.llm import (
     personal_data,
     quality,
     sharding,
+    token_counts,
     toxicity,
 )
 from tidemark.llm.common import table
@@ -158,6 +159,11 @@ SELECT doc_id, len(w) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.
        sha256(coalesce(ids, '')) AS items_sha256, words.n IS NOT NULL AS contaminated, coalesce(longest.n, 0) AS longest_match
 FROM doc LEFT JOIN words USING (rid) LEFT JOIN items USING (rid) LEFT JOIN longest USING (rid)"""
 
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 _NOTICE_ROWS = ",\n    ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(licences.NOTICES))
 OP5_SQL = rf"""
 WITH notices(notice, licence, line) AS (VALUES {_NOTICE_ROWS}),
@@ -206,6 +212,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op13_token_counts": op13_token_counts,
 }
 SQL = {
     "op2_quality_rules": OP2_SQL,
