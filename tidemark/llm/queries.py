@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    alignment,
+    collocations,
     decontaminate,
     html_text,
     language,
@@ -160,6 +162,43 @@ SELECT doc_id, len(w) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.
 FROM doc LEFT JOIN words USING (rid) LEFT JOIN items USING (rid) LEFT JOIN longest USING (rid)"""
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH piece AS (
+    SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS s
+        FROM documents)),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang),
+f AS (
+    SELECT lang, k, p, count(*) AS n FROM (
+        SELECT lang, k, w[i:i + k - 1] AS p FROM (
+            SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM piece, (VALUES (1), (2), (3)) t(k) WHERE len(w) >= k))
+    GROUP BY lang, k, p),
+cand AS (SELECT * FROM f WHERE k > 1 AND n >= 10),
+inside AS (
+    SELECT lang, p, max(n) AS n FROM (
+        SELECT lang, p[1:2] AS p, n FROM cand WHERE k = 3 UNION ALL SELECT lang, p[2:3], n FROM cand WHERE k = 3)
+    GROUP BY lang, p),
+cut AS (
+    SELECT c.lang, c.p, c.n AS a, x.n AS l, y.n AS r, j, (1000000::HUGEINT * c.n * c.n) // (x.n::HUGEINT * y.n) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM cand) c
+    JOIN f x ON x.lang = c.lang AND x.p = c.p[1:j] JOIN f y ON y.lang = c.lang AND y.p = c.p[j + 1:k]),
+scored AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+kept AS (
+    SELECT s.lang, array_to_string(s.p, ' ') AS phrase, s.a, s.l, s.r, CAST(s.score AS BIGINT) AS score
+    FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.p = s.p WHERE i.n IS NULL OR 100 * i.n < 50 * s.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, total.n AS n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -212,10 +251,13 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_collocations": op12_collocations,
     "op13_token_counts": op13_token_counts,
 }
 SQL = {
     "op2_quality_rules": OP2_SQL,
     "op5_licence_scan": OP5_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
+    "op12_collocations": OP12_SQL,
 }
