@@ -171,30 +171,42 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP12_SQL = r"""
-WITH piece AS (
-    SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS w FROM (
-        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
-            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS s
-        FROM documents)),
-total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang),
+WITH doc AS (
+    SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+piece AS (
+    SELECT rid, lang, row_number() OVER () AS pid, s FROM (
+        SELECT rid, lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS s FROM doc)),
+word AS (
+    SELECT lang, pid, unnest(w) AS w, unnest(range(len(w))) AS i FROM (
+        SELECT lang, pid, regexp_extract_all(s, '[^\x20\x09]+') AS w FROM piece)),
+total AS (SELECT lang, count(*) AS n FROM word GROUP BY lang),
+place AS (
+    SELECT lang, w AS w1, lead(w, 1) OVER (PARTITION BY pid ORDER BY i) AS w2, lead(w, 2) OVER (PARTITION BY pid ORDER BY i) AS w3
+    FROM word),
 f AS (
     SELECT lang, k, p, count(*) AS n FROM (
-        SELECT lang, k, w[i:i + k - 1] AS p FROM (
-            SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM piece, (VALUES (1), (2), (3)) t(k) WHERE len(w) >= k))
+        SELECT lang, 1 AS k, w1 AS p FROM place
+        UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM place WHERE w2 IS NOT NULL
+        UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM place WHERE w3 IS NOT NULL)
     GROUP BY lang, k, p),
-cand AS (SELECT * FROM f WHERE k > 1 AND n >= 10),
+cand AS (
+    SELECT *, split_part(p, ' ', 1) AS w1, split_part(p, ' ', 2) AS w2, split_part(p, ' ', 3) AS w3 FROM f WHERE k > 1 AND n >= 10),
 inside AS (
     SELECT lang, p, max(n) AS n FROM (
-        SELECT lang, p[1:2] AS p, n FROM cand WHERE k = 3 UNION ALL SELECT lang, p[2:3], n FROM cand WHERE k = 3)
+        SELECT lang, w1 || ' ' || w2 AS p, n FROM cand WHERE k = 3 UNION ALL SELECT lang, w2 || ' ' || w3, n FROM cand WHERE k = 3)
     GROUP BY lang, p),
+halves AS (
+    SELECT lang, p, k, n, 1 AS j, w1 AS x, CASE k WHEN 2 THEN w2 ELSE w2 || ' ' || w3 END AS y FROM cand
+    UNION ALL SELECT lang, p, k, n, 2, w1 || ' ' || w2, w3 FROM cand WHERE k = 3),
 cut AS (
-    SELECT c.lang, c.p, c.n AS a, x.n AS l, y.n AS r, j, (1000000::HUGEINT * c.n * c.n) // (x.n::HUGEINT * y.n) AS score
-    FROM (SELECT *, unnest(range(1, k)) AS j FROM cand) c
-    JOIN f x ON x.lang = c.lang AND x.p = c.p[1:j] JOIN f y ON y.lang = c.lang AND y.p = c.p[j + 1:k]),
-scored AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+    SELECT h.lang, h.p, h.j, h.n AS a, fx.n AS l, fy.n AS r, (1000000::HUGEINT * h.n * h.n) // (fx.n::HUGEINT * fy.n) AS score
+    FROM halves h JOIN f fx ON fx.lang = h.lang AND fx.p = h.x JOIN f fy ON fy.lang = h.lang AND fy.p = h.y),
+scored AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, j) AS nr FROM cut),
 kept AS (
-    SELECT s.lang, array_to_string(s.p, ' ') AS phrase, s.a, s.l, s.r, CAST(s.score AS BIGINT) AS score
-    FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.p = s.p WHERE i.n IS NULL OR 100 * i.n < 50 * s.a),
+    SELECT s.lang, s.p AS phrase, s.a, s.l, s.r, CAST(s.score AS BIGINT) AS score
+    FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.p = s.p WHERE s.nr = 1 AND (i.n IS NULL OR 100 * i.n < 50 * s.a)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
 SELECT lang, rank, phrase, a, l, r, total.n AS n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
 
