@@ -20,9 +20,9 @@ from tidemark.plans.copy import BackfillJobs
 from tidemark.session import scratch_path
 from tidemark.sinks import loads
 from tidemark.sinks.staging import (HoldGate, compact, current_rows, drain, load_batch, loaded_report, read_replica,
-                                    read_staged, read_staged_files, split_held, stage_batch, stage_wire,
-                                    staged_batches)
-from tidemark.sinks.views import IncrementalView, append_partials, build_view, materialize, read_partials
+                                    read_staged, read_staged_files, stage_batch, stage_wire, staged_batches,
+                                    write_replica)
+from tidemark.sinks.views import IncrementalView, build_view, materialize
 from tidemark.sources.feed import decode_envelope, read_changes
 from tidemark.sources.mapping import Mapping
 from tidemark.streaming.rate import store_commit_times, stored_event_rate
@@ -250,20 +250,48 @@ def m1_view(spark: SparkSession, sf: str) -> DataFrame:
     SELECT event_type, count(*) AS events, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents,
            min(seq) AS first_seq, max(seq) AS last_seq FROM ({FEED_SQL}) GROUP BY 1""")
 def m1_incremental_view(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "partials")
-    changes = feed(spark, sf).withColumn("cents", F.round(F.col("value") * 100).cast("long"))
-    measures = {"events": ("count", F.lit(1)), "cents": ("sum", "cents"),
-                "first_seq": ("min", "seq"), "last_seq": ("max", "seq")}
-    for batch, part in enumerate((F.col("op") == "update", F.col("op") != "update")):
-        append_partials(changes.filter(part), ["event_type"], measures, path, batch)
-    return read_partials(spark, ["event_type"], measures, path)
+    """A view fed by the loads of a table, merged once between them."""
+    folder = scratch_path(spark, "partials")
+    changes = feed(spark, sf).select("event_type", "seq", F.round(F.col("value") * 100).cast("long").alias("cents"), "op")
+    view = IncrementalView("changes", ("event_type",), {
+        "events": ("count", F.lit(1)), "cents": ("sum", "cents"), "first_seq": ("min", "seq"), "last_seq": ("max", "seq")},
+        f"{folder}/view", f"{folder}/replica")
+    for batch, part in enumerate((F.col("op") == "update", F.col("op") == "insert", F.col("op") == "delete")):
+        write_replica(changes.filter(part), f"{folder}/replica", "changes", "feed", batch, [view])
+        if batch == 1:
+            view.merge(spark)
+    return view.read(spark)
 
 
 @query("m2_held", f"""
-    SELECT seq, source_table, source_table IN ('click', 'purchase') AS held FROM ({FEED_SQL})""")
+    SELECT 'loaded' AS state, 'accounts' AS dest_table, count(*) AS rows FROM ({FEED_SQL})
+    WHERE source_table = 'signup' AND op <> 'delete'
+    UNION ALL SELECT 'staged', 'activity', count(*) FROM ({ACTIVITY_SQL})
+    UNION ALL SELECT 'loaded later', 'activity', count(*) FROM ({ACTIVITY_SQL})
+    UNION ALL SELECT 'loaded', 'purchases', count(*) FROM ({FEED_SQL}) WHERE source_table = 'purchase' AND op <> 'delete'""")
 def m2_held(spark: SparkSession, sf: str) -> DataFrame:
-    free, held = split_held(feed(spark, sf).select("seq", "source_table"), {"click", "purchase"}, "source_table")
-    return free.withColumn("held", F.lit(False)).unionByName(held.withColumn("held", F.lit(True)))
+    """Three destinations staged, one of them held by two: it waits until both have let go."""
+    folder = scratch_path(spark, "held")
+    stage, replica = f"{folder}/stage", f"{folder}/replica"
+    gate = HoldGate(spark, f"{folder}/holds")
+    stage_batch({d: _batched(rows) for d, rows in _routed(spark, sf).items()}, stage, "feed")
+    for holder in ("one", "two"):
+        gate.hold("activity", holder)
+    gate.release("activity", "one")
+    drain(spark, stage, replica, SCHEMAS, DEFAULTS, held=gate.held())
+
+    def counted(rows: DataFrame, state: str, dest: str) -> DataFrame:
+        return rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(state).alias("state"), F.lit(dest).alias("dest_table"), "rows")
+
+    kept = read_staged(spark, stage, "activity", SCHEMAS["activity"]).select("id").persist()
+    waiting = kept.count()
+    kept.unpersist()
+    found = [counted(read_replica(spark, replica, d, SCHEMAS[d]), "loaded", d) for d in ("accounts", "purchases")]
+    gate.release("activity", "two")
+    drain(spark, stage, replica, SCHEMAS, DEFAULTS, held=gate.held())
+    found.append(counted(read_replica(spark, replica, "activity", SCHEMAS["activity"]), "loaded later", "activity"))
+    found.append(spark.createDataFrame([("staged", "activity", waiting)], "state STRING, dest_table STRING, rows LONG"))
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
 
 
 @query("m3_drain", f"""
@@ -281,24 +309,32 @@ def m3_drain(spark: SparkSession, sf: str) -> DataFrame:
     return current_rows(spark, replica, "activity", SCHEMAS["activity"], ["id"])
 
 
-@query("m1_view_after_drain", f"""
+_FOLLOWING_SQL = f"""
     SELECT action, count(*) AS n, max(ver) AS last_ver, CAST(sum(CAST(round(amount * 100) AS BIGINT)) AS BIGINT) AS cents
-    FROM ({LOADED_SQL}) GROUP BY 1""")
+    FROM ({LOADED_SQL}) GROUP BY 1"""
+
+
+def _action_view(folder: str) -> IncrementalView:
+    return IncrementalView("activity", ("action",), {
+        "n": ("count", F.lit(1)), "last_ver": ("max", "ver"),
+        "cents": ("sum", F.round(F.col("amount") * 100).cast("long"))}, f"{folder}/view", f"{folder}/replica")
+
+
+@query("m1_view_after_drain", _FOLLOWING_SQL)
 def m1_view_after_drain(spark: SparkSession, sf: str) -> DataFrame:
     """A view over the loads: built from what was loaded, fed by what waited and by a later stream."""
     folder = scratch_path(spark, "following")
     stage, replica = f"{folder}/stage", f"{folder}/replica"
     rows = _batched(_routed(spark, sf)["activity"])
     gate = HoldGate(spark, f"{folder}/holds")
-    view = IncrementalView("activity", ("action",), {
-        "n": ("count", F.lit(1)), "last_ver": ("max", "ver"),
-        "cents": ("sum", F.round(F.col("amount") * 100).cast("long"))}, f"{folder}/view", replica)
+    view = _action_view(folder)
     stage_batch({"activity": rows.filter("batch_id % 3 = 0")}, stage, "feed")
     drain(spark, stage, replica, SCHEMAS, DEFAULTS)
-    gate.hold("activity")
+    gate.hold("activity", "query")
     stage_batch({"activity": rows.filter("batch_id % 3 = 1")}, stage, "feed")
     drain(spark, stage, replica, SCHEMAS, DEFAULTS, held=gate.held(), views=[view])
     view.build(spark, SCHEMAS["activity"], gate)
+    gate.release("activity", "query")
     drain(spark, stage, replica, SCHEMAS, DEFAULTS, held=gate.held(), views=[view])
     compact(spark, replica, "activity", SCHEMAS["activity"], ["id"])
     stage_batch({"activity": rows.filter("batch_id % 3 = 2")}, stage, "feed")
@@ -306,6 +342,59 @@ def m1_view_after_drain(spark: SparkSession, sf: str) -> DataFrame:
     return view.read(spark)
 
 
+@query("m1_view_compacted", _FOLLOWING_SQL)
+def m1_view_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """A view that follows loads through three compactions, two merges and replayed batches."""
+    folder = scratch_path(spark, "following")
+    stage, replica, view = f"{folder}/stage", f"{folder}/replica", _action_view(folder)
+    rows = _batched(_routed(spark, sf)["activity"])
+    for part in range(4):
+        # Each time an earlier part comes again with the next one.
+        stage_batch({"activity": rows.filter(F.col("batch_id") % 4 <= part)}, stage, "feed")
+        drain(spark, stage, replica, SCHEMAS, DEFAULTS, views=[view])
+        if part < 3:
+            compact(spark, replica, "activity", SCHEMAS["activity"], ["id"])
+        if part > 0:
+            view.merge(spark)
+    return view.read(spark)
+
+
+@query("m3_two_drains", f"""
+    SELECT 'replica' AS place, action, count(*) AS n, max(ver) AS last_ver FROM ({LOADED_SQL}) GROUP BY action
+    UNION ALL SELECT 'view', action, count(*), max(ver) FROM ({LOADED_SQL}) GROUP BY action""")
+def m3_two_drains(spark: SparkSession, sf: str) -> DataFrame:
+    """A stage drained while another drain of it has read the entries but not yet committed."""
+    folder = scratch_path(spark, "drains")
+    stage, replica, view = f"{folder}/stage", f"{folder}/replica", _action_view(folder)
+    rows = _batched(_routed(spark, sf)["activity"])
+
+    class Meanwhile:
+        """Stands for the other drain: it runs between this one's rows and its commit."""
+        table = "activity"
+
+        def add(self, loaded: DataFrame, load: str) -> None:
+            if not done:
+                done.append(load)
+                drain(spark, stage, replica, SCHEMAS, DEFAULTS, views=[view])
+
+        def drop(self, session: SparkSession, load: str) -> None:
+            pass
+
+    done: list[str] = []
+    stage_batch({"activity": rows.filter("batch_id % 3 = 0")}, stage, "feed")
+    stage_batch({"activity": rows.filter("batch_id % 3 = 1")}, stage, "other")
+    staged = staged_batches(spark, stage)["activity"]
+    drain(spark, stage, replica, SCHEMAS, DEFAULTS, views=[view, Meanwhile()])
+    # And one that holds a batch more than the other: that one is loaded, the rest is not loaded twice.
+    done.clear()
+    stage_batch({"activity": rows.filter("batch_id % 3 <> 1")}, stage, "feed")
+    drain(spark, stage, replica, SCHEMAS, DEFAULTS, views=[view, Meanwhile()])
+    assert staged and not staged_batches(spark, stage)
+    seen = read_replica(spark, replica, "activity", SCHEMAS["activity"]).groupBy("action") \
+        .agg(F.count(F.lit(1)).alias("n"), F.max("ver").alias("last_ver")).select(F.lit("replica").alias("place"), "*")
+    return seen.unionByName(view.read(spark).drop("cents").select(F.lit("view").alias("place"), "*"))
+
+
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The events table as a stream of change rows with the payload as a struct."""
     events = read_changes(spark, sf, EVENTS_SCHEMA, streaming=True, glob="events.parquet")

@@ -37,18 +37,12 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
-def move_partitions(spark: SparkSession, source: str, target: str, columns: tuple[str, ...]) -> None:
-    """Move every leaf of a partitioned folder into place, each in one rename, replacing what is there."""
-    if not columns:
-        fs, new = _open(spark, target)
-        fs.mkdirs(new.getParent())
-        fs.delete(new, True)
-        if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(source), new):
-            raise OSError(f"cannot move {source} to {target}")
-        return
-    for value in partitions(spark, source, columns[0]):
-        name = f"{columns[0]}={value}"
-        move_partitions(spark, f"{source}/{name}", f"{target}/{name}", columns[1:])
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder into place in one rename; what stands there already is an error."""
+    fs, new = _open(spark, target)
+    fs.mkdirs(new.getParent())
+    if fs.exists(new) or not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(source), new):
+        raise OSError(f"cannot move {source} to {target}")
 
 
 def rename(spark: SparkSession, source: str, target: str) -> bool:

@@ -13,7 +13,14 @@ rows of equal version was inserted last.
 A batch is known by its origin, the stream or job it comes from, and its id there.  Entries
 name the batches of their load; a batch that some entry names is not loaded again.
 
+Commits are optimistic: a load is prepared against the entries it has read, and its number is
+the one after them.  If another load has taken that number meanwhile, the entries are read
+again; a load whose batches are now held by another one, or that replaces loads which are gone,
+is in conflict and commits nothing.
+
 A compaction is a load whose entry also names the loads it replaces and all their batches.
+Views that follow a table are registered beside its entries, so that they are told before the
+entry of a load is forgotten.
 """
 
 from __future__ import annotations
@@ -72,6 +79,41 @@ def joined(parts: Iterable[Ranges]) -> Ranges:
     return out
 
 
+def without(one: Ranges, two: Ranges) -> Ranges:
+    """The batches of ``one`` that ``two`` does not name."""
+    out: Ranges = {}
+    for origin, spans in joined([one]).items():
+        left: list[list[int]] = []
+        gaps = joined([two]).get(origin, [])
+        for low, high in spans:
+            for start, end in gaps:
+                if end < low or start > high:
+                    continue
+                if start > low:
+                    left.append([low, start - 1])
+                low = end + 1
+            if low <= high:
+                left.append([low, high])
+        if left:
+            out[origin] = left
+    return out
+
+
+def batch_count(batches: Ranges) -> int:
+    return sum(high - low + 1 for spans in batches.values() for low, high in spans)
+
+
+class Conflict(Exception):
+    """Another load holds some of the batches, or has replaced what this one replaces.
+
+    ``known`` is the manifest read last, ``left`` the batches no other load holds.
+    """
+
+    def __init__(self, known: Manifest, left: Ranges):
+        super().__init__("another load was faster")
+        self.known, self.left = known, left
+
+
 @dataclass
 class Manifest:
     """The committed loads of one table."""
@@ -120,17 +162,43 @@ def load_path(replica_dir: str, dest: str, name: str) -> str:
 
 
 def commit(spark: SparkSession, replica_dir: str, dest: str, name: str, *, rows: int, rejected: int = 0,
-           batches: Ranges, replaces: Iterable[str] = (), at_least: int = 0) -> int:
-    """Add the load's entry under the next free number; two writers never get the same one."""
-    number = max(at_least, manifest(spark, replica_dir, dest).next_number())
+           batches: Ranges, replaces: Iterable[str] = (), known: Manifest) -> int:
+    """Add the load's entry under the number after ``known``, the manifest it was prepared with.
+
+    Two writers never get the same number, and a load that another one has made superfluous
+    raises ``Conflict``.
+    """
+    replaces = list(replaces)
     while True:
+        number = known.next_number()
         text = json.dumps({"load_no": number, "name": name, "rows": rows, "rejected": rejected,
-                           "batches": batches, "replaces": list(replaces)})
+                           "batches": batches, "replaces": replaces})
         try:
             folders.write_new(spark, _folder(replica_dir, dest), f"{number:012d}.json", text)
             return number
         except FileExistsError:
-            number += 1
+            known = manifest(spark, replica_dir, dest)
+            if replaces:
+                if not set(replaces) <= {e["name"] for e in known.live()}:
+                    raise Conflict(known, {}) from None
+            elif (left := without(batches, known.batches())) != joined([batches]):
+                raise Conflict(known, left) from None
+
+
+def register_view(spark: SparkSession, replica_dir: str, dest: str, path: str) -> None:
+    """Note that partials at ``path`` follow the table."""
+    folder = f"{_folder(replica_dir, dest)}/_views"
+    name = uuid.uuid5(uuid.NAMESPACE_URL, path).hex + ".json"
+    if name not in folders.names(spark, folder):
+        try:
+            folders.write_new(spark, folder, name, json.dumps({"path": path}))
+        except FileExistsError:
+            pass
+
+
+def count_partial(spark: SparkSession, path: str, load: str) -> None:
+    """Mark a load's partial of a view as that of a committed load."""
+    folders.touch(spark, f"{path}/_counted/{load}")
 
 
 def read_loads(spark: SparkSession, replica_dir: str, dest: str, schema: T.StructType) -> DataFrame:
@@ -148,10 +216,21 @@ def read_loads(spark: SparkSession, replica_dir: str, dest: str, schema: T.Struc
 
 
 def sweep(spark: SparkSession, replica_dir: str, dest: str, keep: Iterable[str]) -> None:
-    """Remove folders and entries of loads that earlier compactions replaced, but those in ``keep``."""
+    """Remove folders and entries of loads that earlier compactions replaced, but those in ``keep``.
+
+    Views are told first which of these loads count.
+    """
     known = manifest(spark, replica_dir, dest)
-    gone = {name for e in known.entries for name in e["replaces"] or ()} - set(keep)
-    for entry in known.entries:
-        if entry["name"] in gone:
-            folders.remove(spark, load_path(replica_dir, dest, entry["name"]))
-            folders.remove(spark, f"{_folder(replica_dir, dest)}/{entry['load_no']:012d}.json")
+    replaced = {name for e in known.entries for name in e["replaces"] or ()} - set(keep)
+    gone = [e for e in known.entries if e["name"] in replaced]
+    views = f"{_folder(replica_dir, dest)}/_views"
+    paths = [r["path"] for r in spark.read.schema("path STRING").json(f"{views}/*.json").collect()] \
+        if gone and folders.names(spark, views) else []
+    for path in paths:
+        partials = set(folders.partitions(spark, path, "load"))
+        for entry in gone:
+            if entry["name"] in partials:
+                count_partial(spark, path, entry["name"])
+    for entry in gone:
+        folders.remove(spark, load_path(replica_dir, dest, entry["name"]))
+        folders.remove(spark, f"{_folder(replica_dir, dest)}/{entry['load_no']:012d}.json")

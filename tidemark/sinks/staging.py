@@ -2,23 +2,27 @@
 
 Layout::
 
-    <stage>/dest_table=<t>/load_origin=<o>/load_batch=<n>/part-*   one JSON object per line
-    <rejects>/kind=<k>/load_origin=<o>/load_batch=<n>/part-*       rows left out, with the reason
-
-``origin`` names the stream or job a batch comes from; batch ids count within it, so several
-streams and jobs may feed one table.  A staged or rejected batch is replaced as a whole, so
-repeating it leaves the same rows.  The replica's own layout and commits are described in
+    <stage>/dest_table=<t>/segment=<n>-<name>/part-*            load_origin, load_batch, value: a JSON object
+    <rejects>/kind=<k>/load_origin=<o>/load_batch=<n>/part-*    rows left out, with the reason
+
+A segment is what one call stages for one destination, any number of batches in few files.  The
+rows are sorted by batch, so that the files' own statistics say which batches they hold: they
+are the index.  ``origin`` names the stream or job a batch comes from; batch ids count within
+it, so several streams and jobs may feed one table.  A batch staged again replaces the earlier
+one, a segment later in number counts, so repeating a batch leaves the same rows.  A segment
+goes when all its batches are loaded.  Which batches there are is known as ranges of ids; no
+step of the driver goes batch by batch.  The replica's own layout and commits are described in
 ``loads``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from collections.abc import Mapping as Dict
 from functools import reduce
 from typing import Any, Protocol
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +39,8 @@ Keys = Dict[str, Sequence[str]]
 # Reserved names: which batch a row came with.
 ORIGIN, BATCH = loads.ORIGIN, loads.BATCH
 BY_BATCH = ("dest_table", ORIGIN, BATCH)
+RANGE_BITS = 16  # ids whose ranges one task joins
+MANY_RANGES = 200  # that a filter names
 
 
 class LoadedRows(Protocol):
@@ -44,6 +50,8 @@ class LoadedRows(Protocol):
 
     def add(self, rows: DataFrame, load: str) -> None: ...
 
+    def drop(self, spark: SparkSession, load: str) -> None: ...
+
 
 def _replace(df: DataFrame, path: str, fmt: str, *by: str) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -53,16 +61,25 @@ def _replace(df: DataFrame, path: str, fmt: str, *by: str) -> None:
 def stage_wire(wire: DataFrame, stage_dir: str, origin: str, batch_id: int | None = None) -> None:
     """Write ``dest_table, value`` rows of all destinations to the stage, in one job.
 
-    The rows bring their own ``batch_id`` column unless one number is given for all.
+    The rows bring their own ``batch_id`` column unless one number is given for all.  An origin
+    stages one thing at a time; what an earlier attempt has left unfinished is removed.
     """
-    if batch_id is not None:
+    spark = wire.sparkSession
+    single = batch_id is not None
+    if single:
         wire = wire.withColumn("batch_id", F.lit(batch_id).cast("long"))
-    # Written aside and then moved: whoever drains the stage meanwhile sees whole batches only.
-    aside = f"{stage_dir}/_incoming-{loads.new_name()}"
-    wire.select("dest_table", F.lit(origin).alias(ORIGIN), F.col("batch_id").alias(BATCH), "value") \
-        .write.partitionBy(*BY_BATCH).text(aside)
-    folders.move_partitions(wire.sparkSession, aside, stage_dir, BY_BATCH)
-    folders.remove(wire.sparkSession, aside)
+    rows = wire.select("dest_table", F.lit(origin).alias(ORIGIN), F.col("batch_id").alias(BATCH), "value")
+    if not single:
+        rows = rows.sortWithinPartitions("dest_table", BATCH)
+    # Written aside and then moved: whoever drains the stage meanwhile sees whole segments only.
+    aside = f"{stage_dir}/_incoming/{ORIGIN}={origin}"
+    folders.remove(spark, aside)
+    rows.write.partitionBy("dest_table").parquet(aside)
+    for dest in folders.partitions(spark, aside, "dest_table"):
+        last = max((int(n.split("-")[0]) for n in segments(spark, stage_dir, dest)), default=-1)
+        folders.move(spark, f"{aside}/dest_table={dest}",
+                     f"{stage_dir}/dest_table={dest}/segment={last + 1:012d}-{loads.new_name()}")
+    folders.remove(spark, aside)
 
 
 def stage_rows(routed: Dict[str, DataFrame], batch_id: int | None = None) -> DataFrame:
@@ -85,14 +102,39 @@ def stage_batch(routed: Dict[str, DataFrame], stage_dir: str, origin: str, batch
     stage_wire(stage_rows(routed, batch_id), stage_dir, origin)
 
 
-def staged_batches(spark: SparkSession, stage_dir: str) -> dict[str, dict[str, list[int]]]:
-    """Destination → origin → staged batch ids in batch order."""
-    return {
-        dest: {origin: sorted(int(b) for b in folders.partitions(
-                   spark, f"{stage_dir}/dest_table={dest}/{ORIGIN}={origin}", BATCH))
-               for origin in folders.partitions(spark, f"{stage_dir}/dest_table={dest}", ORIGIN)}
-        for dest in folders.partitions(spark, stage_dir, "dest_table")
-    }
+def segments(spark: SparkSession, stage_dir: str, dest: str) -> list[str]:
+    """The staged segments of a destination, in order."""
+    return folders.partitions(spark, f"{stage_dir}/dest_table={dest}", "segment")
+
+
+def _segment_rows(spark: SparkSession, stage_dir: str, dest: str, names: Iterable[str]) -> DataFrame:
+    """Rows of the named segments; files removed meanwhile are passed over."""
+    schema = T.StructType([T.StructField(ORIGIN, T.StringType()), T.StructField(BATCH, T.LongType()),
+                           T.StructField("value", T.StringType()), T.StructField("segment", T.StringType())])
+    base = f"{stage_dir}/dest_table={dest}"
+    paths = [p for p in (f"{base}/segment={n}" for n in names) if folders.exists(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    # A segment goes only after a load with its batches has committed; whoever still reads it finds
+    # these batches taken when it commits.
+    return spark.read.schema(schema).option("basePath", base).option("ignoreMissingFiles", True).parquet(*paths)
+
+
+def _held_ranges(rows: DataFrame) -> loads.Ranges:
+    """The batches of the rows as ranges: neighbours are joined where they are counted."""
+    ids = rows.select(ORIGIN, BATCH).distinct()
+    part = F.shiftright(BATCH, RANGE_BITS)
+    order = Window.partitionBy(ORIGIN, part).orderBy(BATCH)
+    spans = ids.withColumn("island", F.col(BATCH) - F.row_number().over(order)) \
+        .groupBy(ORIGIN, part.alias("part"), "island").agg(F.min(BATCH).alias("low"), F.max(BATCH).alias("high"))
+    return loads.joined({r[ORIGIN]: [[r["low"], r["high"]]]} for r in spans.toLocalIterator())
+
+
+def staged_batches(spark: SparkSession, stage_dir: str) -> dict[str, loads.Ranges]:
+    """Destination → origin → inclusive ranges of the batches that are staged."""
+    found = {dest: _held_ranges(_segment_rows(spark, stage_dir, dest, segments(spark, stage_dir, dest)))
+             for dest in folders.partitions(spark, stage_dir, "dest_table")}
+    return {dest: batches for dest, batches in found.items() if batches}
 
 
 def loaded_batches(spark: SparkSession, replica_dir: str, dest: str) -> loads.Ranges:
@@ -111,21 +153,44 @@ def wire_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, _wire_type(f.dataType)) for f in schema.fields])
 
 
-def _among(batches: Dict[str, Iterable[int]]) -> Column:
-    """Rows of the named batches, as ranges: short however many batches there are."""
+def only_batches(rows: DataFrame, batches: loads.Ranges) -> DataFrame:
+    """Rows of the named batches: by ranges, which reach the files' statistics, while these are
+    few, else by a join with the ids."""
+    spans = [(origin, low, high) for origin, own in batches.items() for low, high in own]
+    if len(spans) > MANY_RANGES:
+        named = rows.sparkSession.createDataFrame(spans, f"{ORIGIN} STRING, low LONG, high LONG")
+        ids = named.select(ORIGIN, F.explode(F.sequence("low", "high")).alias(BATCH))
+        return rows.join(ids, [ORIGIN, BATCH], "left_semi").select(*rows.columns)
     named = F.lit(False)
-    for origin, ids in batches.items():
-        for low, high in loads.ranges(ids):
-            named = named | ((F.col(ORIGIN) == origin) & F.col(BATCH).between(low, high))
-    return named
+    for origin, low, high in spans:
+        named = named | ((F.col(ORIGIN) == origin) & F.col(BATCH).between(low, high))
+    return rows.filter(named)
 
 
 def read_staged(spark: SparkSession, stage_dir: str, dest: str, schema: T.StructType,
-                batches: Dict[str, Iterable[int]] | None = None) -> DataFrame:
+                batches: loads.Ranges | None = None, names: Sequence[str] | None = None) -> DataFrame:
     """Staged rows of one destination with their origin and batch; only the named batches are read."""
-    full = wire_schema(schema).add(ORIGIN, T.StringType()).add(BATCH, T.LongType())
-    rows = spark.read.schema(full).json(f"{stage_dir}/dest_table={dest}")
-    return rows if batches is None else rows.filter(_among(batches))
+    names = segments(spark, stage_dir, dest) if names is None else names
+    rows = _segment_rows(spark, stage_dir, dest, names)
+    if batches is not None:
+        rows = only_batches(rows, batches)
+    if len(names) > 1:
+        # A batch staged again counts as it was staged last.
+        seen = rows.select(ORIGIN, BATCH, "segment").distinct()
+        last = seen.groupBy(ORIGIN, BATCH).agg(F.max("segment").alias("last"))
+        stale = seen.join(last, [ORIGIN, BATCH]).filter("segment < last").drop("last")
+        rows = rows.join(stale, [ORIGIN, BATCH, "segment"], "left_anti")
+    columns = [F.col("_row").getField(f.name).alias(f.name) for f in schema.fields]
+    return rows.select(F.from_json("value", wire_schema(schema)).alias("_row"), ORIGIN, BATCH) \
+        .select(*columns, ORIGIN, BATCH)
+
+
+def drop_segments(spark: SparkSession, stage_dir: str, dest: str, names: Iterable[str], done: loads.Ranges) -> None:
+    """Remove those of the segments whose batches are all among ``done``."""
+    for name in names:
+        own = _held_ranges(_segment_rows(spark, stage_dir, dest, [name]))
+        if not loads.without(own, done):
+            folders.remove(spark, f"{stage_dir}/dest_table={dest}/segment={name}")
 
 
 def staged_name_parts(file_name: Column) -> tuple[Column, Column]:
@@ -155,71 +220,105 @@ def write_replica(df: DataFrame, replica_dir: str, dest: str, origin: str, batch
 
     A batch that has been loaded is not loaded again (none is returned).
     """
-    spark = df.sparkSession
-    if loads.manifest(spark, replica_dir, dest).has(origin, batch_id):
+    known = loads.manifest(df.sparkSession, replica_dir, dest)
+    if known.has(origin, batch_id):
         return None
     rows = df.withColumns({ORIGIN: F.lit(origin), BATCH: F.lit(batch_id).cast("long")})
-    return _append(rows, replica_dir, dest, {origin: [[batch_id, batch_id]]}, F.lit(0), views)
+    done = _append(rows, replica_dir, dest, {origin: [[batch_id, batch_id]]}, known, views)
+    return done[0] if done else None
 
 
-def _append(rows: DataFrame, replica_dir: str, dest: str, batches: loads.Ranges, rejected: Column | Any,
-            views: Iterable[LoadedRows]) -> int:
-    spark, name = rows.sparkSession, loads.new_name()
-    path = loads.load_path(replica_dir, dest, name)
-    seen = Observation(f"load-{name}")
-    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    for view in views:
-        if view.table == dest:
+def _append(rows: DataFrame, replica_dir: str, dest: str, batches: loads.Ranges, known: loads.Manifest,
+            views: Iterable[LoadedRows], rejected: Callable[[loads.Ranges], int] | None = None
+            ) -> tuple[int, loads.Ranges] | None:
+    """Write the rows and commit them as one load: its number and batches.
+
+    Batches that another load has committed meanwhile are left out; none is returned if that
+    leaves nothing.
+    """
+    spark, earlier = rows.sparkSession, None
+    views = [v for v in views if v.table == dest]
+    while True:
+        name = loads.new_name()
+        path = loads.load_path(replica_dir, dest, name)
+        seen = Observation(f"load-{name}")
+        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        if earlier is not None:
+            _withdraw(spark, replica_dir, dest, earlier, views)
+        for view in views:
             view.add(spark.read.schema(rows.schema).parquet(path), name)
-    count = rejected() if callable(rejected) else 0
-    return loads.commit(spark, replica_dir, dest, name, rows=seen.get.get("rows", 0), rejected=count, batches=batches)
+        try:
+            number = loads.commit(spark, replica_dir, dest, name, rows=seen.get.get("rows", 0), batches=batches,
+                                  rejected=rejected(batches) if rejected else 0, known=known)
+            return number, batches
+        except loads.Conflict as conflict:
+            batches, known, earlier = conflict.left, conflict.known, name
+            if not batches:
+                _withdraw(spark, replica_dir, dest, name, views)
+                return None
+            rows = only_batches(spark.read.schema(rows.schema).parquet(path), batches)
+
+
+def _withdraw(spark: SparkSession, replica_dir: str, dest: str, name: str, views: Iterable[LoadedRows]) -> None:
+    """Remove what a load that did not commit has written."""
+    for view in views:
+        view.drop(spark, name)
+    folders.remove(spark, loads.load_path(replica_dir, dest, name))
 
 
 def load_batch(spark: SparkSession, stage_dir: str, replica_dir: str, dest: str, schema: T.StructType,
-               batches: Dict[str, Iterable[int]], defaults: Dict[str, Any] | None = None, *,
+               batches: loads.Ranges | None = None, defaults: Dict[str, Any] | None = None, *,
                keys: Sequence[str] = (), reject_dir: str | None = None,
                views: Iterable[LoadedRows] = ()) -> int:
-    """Load staged batches of one destination as one load, then drop their staged files.
+    """Load staged batches of one destination, all by default, as one load; then drop their segments.
 
-    Batches already loaded are not loaded again.  With ``reject_dir``, rows with values that do
-    not parse or without a key go there with their reason, and the rest is loaded.  Without it
-    such a value fails the load: nothing is committed, the staged files stay, and the batches
-    and their ids are reported under ``<replica>/_failed``.  Returns the number of batches loaded.
+    Batches already loaded are not loaded again, nor are those that another load commits before
+    this one does.  With ``reject_dir``, rows with values that do not parse or without a key go
+    there with their reason, and the rest is loaded.  Without it such a value fails the load:
+    nothing is committed, the segments stay, and the batches and their ids are reported under
+    ``<replica>/_failed``.  Returns the number of batches loaded.
     """
-    wanted = {origin: set(ids) for origin, ids in batches.items()}
+    names = segments(spark, stage_dir, dest)
+    wanted = _held_ranges(_segment_rows(spark, stage_dir, dest, names)) if batches is None else batches
     known = loads.manifest(spark, replica_dir, dest)
-    fresh = {o: {b for b in ids if not known.has(o, b)} for o, ids in wanted.items()}
-    fresh = {o: ids for o, ids in fresh.items() if ids}
+    fresh, done = loads.without(wanted, known.batches()), None
     if fresh:
-        staged = read_staged(spark, stage_dir, dest, schema, fresh)
+        staged = read_staged(spark, stage_dir, dest, schema, fresh, names)
         keep = (ORIGIN, BATCH)
-        covered = {o: loads.ranges(ids) for o, ids in fresh.items()}
         try:
             if reject_dir is None:
-                _append(conform(staged, schema, defaults, keep), replica_dir, dest, covered, None, views)
+                done = _append(conform(staged, schema, defaults, keep), replica_dir, dest, fresh, known, views)
             else:
                 marked = staged.withColumn("bad_columns", misfit_columns(staged, schema, tuple(keys)))
                 misfits = Observation(f"misfits-{loads.new_name()}")
                 is_bad = F.size("bad_columns") > 0
                 good = marked.observe(misfits, F.count_if(is_bad).alias("rows")).filter(~is_bad)
-
-                def keep_rejects() -> int:
-                    if misfits.get.get("rows", 0):
-                        reason = F.concat(F.lit("does not fit: "), F.array_join("bad_columns", ", "))
-                        value = F.to_json(F.struct(*[f"`{c}`" for c in wire_schema(schema).names]))
-                        write_rejects(marked.filter(is_bad).select(
-                            F.lit(dest).alias("dest_table"), reason.alias("reject_reason"), value.alias("value"), *keep),
-                            reject_dir, f"load-{dest}")
-                    return misfits.get.get("rows", 0)
-
-                _append(fitted(good, schema, defaults, keep), replica_dir, dest, covered, keep_rejects, views)
+                kind = f"load-{dest}"
+
+                def keep_rejects(own: loads.Ranges) -> int:
+                    found = misfits.get.get("rows", 0)
+                    if not found:
+                        return 0
+                    if own != fresh:  # the rest of them was another load's
+                        kept = spark.read.option("basePath", reject_dir).json(f"{reject_dir}/kind={kind}")
+                        return only_batches(kept, own).count()
+                    reason = F.concat(F.lit("does not fit: "), F.array_join("bad_columns", ", "))
+                    value = F.to_json(F.struct(*[f"`{c}`" for c in wire_schema(schema).names]))
+                    write_rejects(marked.filter(is_bad).select(
+                        F.lit(dest).alias("dest_table"), reason.alias("reject_reason"), value.alias("value"), *keep),
+                        reject_dir, kind)
+                    return found
+
+                done = _append(fitted(good, schema, defaults, keep), replica_dir, dest, fresh, known, views, keep_rejects)
         except Exception:
             _report_failure(staged, replica_dir, dest, schema)
             raise
-    for origin, ids in wanted.items():
-        for batch in ids:
-            folders.remove(spark, f"{stage_dir}/dest_table={dest}/{ORIGIN}={origin}/{BATCH}={batch}")
-    return sum(map(len, fresh.values()))
+    if batches is None:
+        for name in names:
+            folders.remove(spark, f"{stage_dir}/dest_table={dest}/segment={name}")
+    else:
+        drop_segments(spark, stage_dir, dest, names, loads.joined([wanted, known.batches()]))
+    return loads.batch_count(done[1]) if done else 0
 
 
 def _report_failure(staged: DataFrame, replica_dir: str, dest: str, schema: T.StructType) -> None:
@@ -247,15 +346,14 @@ def drain(spark: SparkSession, stage_dir: str, replica_dir: str, schemas: Schema
     What the rules refused moves from the stage to ``reject_dir``.
     """
     done, waiting = {}, set(held)
-    for dest, batches in staged_batches(spark, stage_dir).items():
-        batches = {o: ids for o, ids in batches.items() if ids}
-        if not batches or dest in waiting:
+    for dest in folders.partitions(spark, stage_dir, "dest_table"):
+        if dest in waiting or not segments(spark, stage_dir, dest):
             continue
         if dest == REJECTED:
             if reject_dir is not None:
-                _move_rejects(spark, stage_dir, reject_dir, batches)
+                _move_rejects(spark, stage_dir, reject_dir)
             continue
-        done[dest] = load_batch(spark, stage_dir, replica_dir, dest, schemas[dest], batches,
+        done[dest] = load_batch(spark, stage_dir, replica_dir, dest, schemas[dest], None,
                                 (defaults or {}).get(dest), keys=(keys or {}).get(dest, ()),
                                 reject_dir=reject_dir, views=views)
     return done
@@ -264,11 +362,11 @@ def drain(spark: SparkSession, stage_dir: str, replica_dir: str, schemas: Schema
 REJECT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("source_table", "reject_reason", "value")])
 
 
-def _move_rejects(spark: SparkSession, stage_dir: str, reject_dir: str, batches: Dict[str, Iterable[int]]) -> None:
-    write_rejects(read_staged(spark, stage_dir, REJECTED, REJECT_SCHEMA, batches), reject_dir, "route")
-    for origin, ids in batches.items():
-        for batch in ids:
-            folders.remove(spark, f"{stage_dir}/dest_table={REJECTED}/{ORIGIN}={origin}/{BATCH}={batch}")
+def _move_rejects(spark: SparkSession, stage_dir: str, reject_dir: str) -> None:
+    names = segments(spark, stage_dir, REJECTED)
+    write_rejects(read_staged(spark, stage_dir, REJECTED, REJECT_SCHEMA, names=names), reject_dir, "route")
+    for name in names:
+        folders.remove(spark, f"{stage_dir}/dest_table={REJECTED}/segment={name}")
 
 
 def read_replica(spark: SparkSession, replica_dir: str, dest: str, schema: T.StructType) -> DataFrame:
@@ -304,7 +402,12 @@ def compact(spark: SparkSession, replica_dir: str, dest: str, schema: T.StructTy
     seen = Observation(f"compact-{name}")
     latest.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(loads.load_path(replica_dir, dest, name))
     names = [e["name"] for e in live]
-    loads.commit(spark, replica_dir, dest, name, rows=seen.get.get("rows", 0), batches=before.batches(), replaces=names)
+    try:
+        loads.commit(spark, replica_dir, dest, name, rows=seen.get.get("rows", 0), batches=before.batches(),
+                     replaces=names, known=before)
+    except loads.Conflict:  # another compaction was faster: its rows stand for these
+        folders.remove(spark, loads.load_path(replica_dir, dest, name))
+        return
     loads.sweep(spark, replica_dir, dest, keep=names)
 
 
@@ -318,16 +421,20 @@ def split_held(rows: DataFrame, held: Iterable[str], dest: str = "dest_table") -
 
 
 class HoldGate:
-    """Held destinations, as marker files in a shared folder: a restart keeps them."""
+    """Held destinations, as marker files in a shared folder: a restart keeps them.
+
+    A destination stays held until every holder has released it.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
-    def hold(self, dest: str) -> None:
-        folders.touch(self.spark, f"{self.folder}/{dest}")
+    def hold(self, dest: str, holder: str = "anyone") -> None:
+        folders.touch(self.spark, f"{self.folder}/dest_table={dest}/holder={holder}")
 
-    def release(self, dest: str) -> None:
-        folders.remove(self.spark, f"{self.folder}/{dest}")
+    def release(self, dest: str, holder: str = "anyone") -> None:
+        folders.remove(self.spark, f"{self.folder}/dest_table={dest}/holder={holder}")
 
     def held(self) -> set[str]:
-        return set(folders.names(self.spark, self.folder))
+        return {dest for dest in folders.partitions(self.spark, self.folder, "dest_table")
+                if folders.partitions(self.spark, f"{self.folder}/dest_table={dest}", "holder")}

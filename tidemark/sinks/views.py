@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -59,22 +60,35 @@ def build_view(spark: SparkSession, name: str, sql: str, targets: Sequence[str],
     The view is a snapshot; ``IncrementalView`` follows the loads.  A failure releases the hold
     as well, and is raised; staged batches then wait for the next drain.
     """
-    gate.hold(table)
+    holder = loads.new_name()
+    gate.hold(table, holder)
     try:
         view = materialize(spark, name, sql, targets, **frames)
     finally:
-        gate.release(table)
+        gate.release(table, holder)
     drain(spark, stage_dir, replica_dir, schemas, defaults, keys=keys, reject_dir=reject_dir, held=gate.held())
     return view
 
 
 @dataclass(frozen=True)
 class IncrementalView:
-    """An aggregate over all rows ever loaded into a table, kept as one partial per load.
+    """An aggregate over all rows that loads have brought to a table since the view was built.
 
     Given to ``load_batch``, ``drain`` or ``replicate`` as one of ``views``, every load adds its
-    partial before it commits; only partials of committed loads count.  ``build`` starts the view
-    from the loads there are, while the table is held.
+    partial before it commits.  ``build`` starts the view from the loads there are, while the
+    table is held; of rows that were compacted before, those the replica still has.
+
+    The view keeps account of its partials itself, since entries of loads do not last::
+
+        <path>/load=<name>/part-*          the partial of a load
+        <path>/_counted/<name>             the load has committed, and its entry may be gone
+        <path>/merged=<name>/part-*        partials combined
+        <path>/_merged/<g>.json            their generation: the folder, and the loads it covers newly
+
+    A partial counts if its load has an entry or is marked as counted; ``loads.sweep`` marks it
+    before it forgets the entry.  A partial whose load never committed does not count.  ``merge``
+    turns generation and partials into the next generation; the partials that covers go with
+    the merge after it, so that readers may finish.
     """
 
     table: str
@@ -84,26 +98,78 @@ class IncrementalView:
     replica_dir: str
 
     def add(self, rows: DataFrame, load: str) -> None:
+        loads.register_view(rows.sparkSession, self.replica_dir, self.table, self.path)
         _partial(rows, self.keys, self.measures).write.mode("overwrite").parquet(f"{self.path}/load={load}")
 
+    def drop(self, spark: SparkSession, load: str) -> None:
+        folders.remove(spark, f"{self.path}/load={load}")
+
     def build(self, spark: SparkSession, schema: T.StructType, gate: HoldGate) -> None:
-        gate.hold(self.table)
+        holder = loads.new_name()
+        gate.hold(self.table, holder)
         try:
             full = T.StructType(list(schema.fields))
-            for entry in loads.manifest(spark, self.replica_dir, self.table).live():
-                if entry["name"] not in folders.partitions(spark, self.path, "load"):
+            live = loads.manifest(spark, self.replica_dir, self.table).live()
+            number, _, covered = self._generation(spark)
+            known = {*folders.partitions(spark, self.path, "load"), *covered}
+            if number >= 0:
+                return  # it has been built and merged since
+            for entry in live:
+                if entry["name"] not in known and not set(entry["replaces"] or ()) & known:
                     self.add(spark.read.schema(full).parquet(
                         loads.load_path(self.replica_dir, self.table, entry["name"])), entry["name"])
         finally:
-            gate.release(self.table)
+            gate.release(self.table, holder)
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """Partials of all committed loads combined.  A compaction adds none: its rows are counted."""
+    def _generation(self, spark: SparkSession) -> tuple[int, str | None, set[str]]:
+        """The newest generation: its number (-1 if there is none), folder and newly covered loads."""
+        found = [int(n.removesuffix(".json")) for n in folders.names(spark, f"{self.path}/_merged") if n.endswith(".json")]
+        return self._announced(spark, max(found)) if found else (-1, None, set())
+
+    def _announced(self, spark: SparkSession, number: int) -> tuple[int, str | None, set[str]]:
+        row = spark.read.schema("folder STRING, covers ARRAY<STRING>").json(f"{self.path}/_merged/{number:012d}.json").first()
+        return number, row["folder"], set(row["covers"])
+
+    def _counting(self, spark: SparkSession, covered: set[str]) -> list[str]:
+        """Loads whose partials count beside the newest generation."""
+        counted = set(folders.names(spark, f"{self.path}/_counted"))
         known = {e["name"] for e in loads.manifest(spark, self.replica_dir, self.table).entries}
-        paths = [f"{self.path}/load={n}" for n in folders.partitions(spark, self.path, "load") if n in known]
-        return spark.read.parquet(*paths).groupBy(*self.keys).agg(
+        return [n for n in folders.partitions(spark, self.path, "load") if n in known | counted and n not in covered]
+
+    def _combined(self, spark: SparkSession, folder: str | None, names: Sequence[str]) -> DataFrame:
+        paths = [f"{self.path}/load={n}" for n in names] + ([] if folder is None else [f"{self.path}/{folder}"])
+        return spark.read.parquet(*paths).select(*self.keys, *self.measures).groupBy(*self.keys).agg(
             *[COMBINE[fn](name).alias(name) for name, (fn, _) in self.measures.items()])
 
+    def read(self, spark: SparkSession) -> DataFrame:
+        """All that counts, combined.  A compaction of the replica adds nothing: its rows are counted."""
+        _, folder, covered = self._generation(spark)
+        return self._combined(spark, folder, self._counting(spark, covered))
+
+    def merge(self, spark: SparkSession) -> None:
+        """Combine the partials into a new generation: thousands of them become one.
+
+        Of two merges at a time one is announced; the other's work is dropped.
+        """
+        number, folder, covered = self._generation(spark)
+        names = self._counting(spark, covered)
+        if not names:
+            return
+        merged = f"merged={loads.new_name()}"
+        self._combined(spark, folder, names).write.parquet(f"{self.path}/{merged}")
+        # What the present generation covers is read no more, and must be gone before the next one,
+        # which does not name it.
+        for name in covered:
+            folders.remove(spark, f"{self.path}/load={name}")
+            folders.remove(spark, f"{self.path}/_counted/{name}")
+        if number > 0:
+            folders.remove(spark, f"{self.path}/{self._announced(spark, number - 1)[1]}")
+        try:
+            folders.write_new(spark, f"{self.path}/_merged", f"{number + 1:012d}.json",
+                              json.dumps({"folder": merged, "covers": names}))
+        except FileExistsError:
+            folders.remove(spark, f"{self.path}/{merged}")
+
 
 # Aggregates whose partial results combine with an aggregate of the same rows.
 COMBINE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
@@ -114,24 +180,6 @@ def _partial(rows: DataFrame, keys: Sequence[str], measures: dict[str, tuple[str
     return rows.groupBy(*keys).agg(*[_PARTIAL[fn](col).alias(name) for name, (fn, col) in measures.items()])
 
 
-def append_partials(rows: DataFrame, keys: Sequence[str], measures: dict[str, tuple[str, str | Column]],
-                    path: str, batch_id: int) -> None:
-    """Aggregate one batch and store it as that batch's partial result.
-
-    ``measures`` maps a column to (count | sum | min | max, input).
-    """
-    (_partial(rows, keys, measures).withColumn("batch_id", F.lit(batch_id).cast("long"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
-
-
-def read_partials(spark: SparkSession, keys: Sequence[str],
-                  measures: dict[str, tuple[str, str | Column]], path: str) -> DataFrame:
-    """The incremental view: partial results of all batches combined."""
-    return spark.read.parquet(path).groupBy(*keys).agg(
-        *[COMBINE[fn](name).alias(name) for name, (fn, _) in measures.items()])
-
-
 def drop_view(spark: SparkSession, name: str, targets: Sequence[str]) -> None:
     spark.catalog.dropTempView(name)
     for target in targets:
