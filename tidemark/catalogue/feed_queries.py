@@ -14,12 +14,14 @@ from tidemark.operators.rate import event_rate, with_commit_time
 from tidemark.operators.replica import exclude_live, latest_state, merge_snapshot, refresh_keys
 from tidemark.operators.route import (register_script, reject_counts, rejects, remap, route,
                                       route_rejects, split_rejects)
+from tidemark.session import scratch_path
 from tidemark.sources.feed import decode_envelope, read_changes
 from tidemark.sources.mapping import Entry, Mapping
 from tidemark.sources.snapshot import scan_source
 from tidemark.sources.transactions import (assemble_transactions, committed_changes, numbered_operations,
                                            project_operation)
 from tidemark.streaming.replicate import wire_changes
+from tidemark.streaming.transactions import assemble_stream, emitted_operations, open_messages
 
 
 @query("s1_rules", f"""
@@ -116,6 +118,38 @@ def s5_transaction_lists(spark: SparkSession, sf: str) -> DataFrame:
     return assemble_transactions(messages(spark, sf), 2).withColumn("ops", F.array_join("ops", ","))
 
 
+# The numbered operations of all committed transactions, as s5_transactions has them.
+_NUMBERED_SQL = f"""
+    SELECT m.xid, h.lsn, h.end_lsn, m.kind, row_number() OVER (PARTITION BY m.xid ORDER BY m.seq) - 1 AS op_no,
+           count(*) OVER (PARTITION BY m.xid) AS operations
+    FROM ({MESSAGES_SQL}) m JOIN ({_HEADS_SQL}) h ON m.xid = h.xid
+    WHERE m.kind IN ('insert', 'update', 'delete') AND m.seq > h.b AND m.seq < h.c"""
+
+
+@query("stream_transactions", _NUMBERED_SQL + f"""
+    UNION ALL SELECT -1, NULL, NULL, 'open', NULL, count(*) FROM ({MESSAGES_SQL}) m
+    WHERE NOT EXISTS (SELECT 1 FROM ({_HEADS_SQL}) h WHERE h.xid = m.xid)""")
+def stream_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    """The log landed in files that cut transactions, each file a micro-batch, with a restart between;
+    one row more tells how many messages are still open."""
+    folder = scratch_path(spark, "log")
+    log = messages(spark, sf)
+    parts, last = 6, log.agg(F.max("seq")).first()[0] or 0
+    schema = log.schema
+    for k in range(parts):
+        here = F.col("seq").between(k * last // parts + (k > 0), (k + 1) * last // parts)
+        log.filter(here).coalesce(1).write.mode("append").parquet(f"{folder}/log")
+        if k in (2, parts - 1):
+            stream = read_changes(spark, f"{folder}/log", schema, streaming=True, max_files=1)
+            assemble_stream(stream, f"{folder}/out", f"{folder}/store", f"{folder}/checkpoint", compact_every=2,
+                            available_now=True).awaitTermination()
+    waiting = open_messages(spark, f"{folder}/store", schema).agg(F.count(F.lit(1)).alias("operations")).select(
+        F.lit(-1).cast("long").alias("xid"), F.lit(None).cast("long").alias("lsn"), F.lit(None).cast("long").alias("end_lsn"),
+        F.lit("open").alias("kind"), F.lit(None).cast("long").alias("op_no"), "operations")
+    return emitted_operations(spark, f"{folder}/out").select(
+        "xid", "lsn", "end_lsn", "kind", "op_no", "operations").unionByName(waiting)
+
+
 @query("s6_casts", f"""
     WITH f AS (SELECT seq, op, CAST(id AS VARCHAR) AS id,
                       CASE WHEN seq % 7 = 0 THEN event_type ELSE CAST(value AS VARCHAR) END AS v, value

@@ -56,19 +56,21 @@ def committed_changes(messages: DataFrame) -> DataFrame:
 def numbered_operations(messages: DataFrame) -> DataFrame:
     """Committed operations with ``op_no``, their exact place in the transaction from 0, and
     ``operations``, how many it has.  A transaction of any size stays spread over tasks."""
-    rows = running_total(committed_changes(messages), "seq", group=("xid",), name="op_no")
-    sizes = rows.groupBy("xid").agg(F.count(F.lit(1)).alias("operations"))
+    changes = committed_changes(messages)
+    rows = running_total(changes, "seq", group=("xid",), name="op_no")
+    # Counted before the numbering, which would else be planned twice.
+    sizes = changes.groupBy("xid").agg(F.count(F.lit(1)).alias("operations"))
     return rows.join(sizes, "xid")
 
 
-def assemble_transactions(messages: DataFrame, n: int, payload: Column | None = None) -> DataFrame:
-    """Committed transactions as ordered lists of at most ``n`` operations.
+def operation_lists(numbered: DataFrame, n: int, payload: Column | None = None) -> DataFrame:
+    """Numbered operations as ordered lists of at most ``n``.
 
     ``part`` counts the lists of a transaction: it holds the operations ``part * n`` and on, so
     one that has no more than ``n`` is one list.
     """
     payload = F.col("kind") if payload is None else payload
-    rows = numbered_operations(messages).select(
+    rows = numbered.select(
         "xid", "lsn", "end_lsn", "operations", F.call_function("div", F.col("op_no"), F.lit(n)).alias("part"),
         F.struct(F.col("op_no"), payload.alias("op")).alias("item"))
     return rows.groupBy("xid", "part").agg(
@@ -77,6 +79,11 @@ def assemble_transactions(messages: DataFrame, n: int, payload: Column | None =
     ).select("xid", "lsn", "end_lsn", "part", "operations", F.col("items.op").alias("ops"))
 
 
+def assemble_transactions(messages: DataFrame, n: int, payload: Column | None = None) -> DataFrame:
+    """Committed transactions as ordered lists of at most ``n`` operations."""
+    return operation_lists(numbered_operations(messages), n, payload)
+
+
 def _cast_fields(data: Column, types: Dict[str, str | T.DataType]) -> tuple[list[Column], Column]:
     """Typed fields of a text array, and a map of the texts that did not fit."""
     fields, misfits = [], []
