@@ -42,8 +42,8 @@ from tidemark.llm.common import map_batches
 
 LIMIT = 2048
 WINDOW = 1 << 20  # characters worked through at once
-KEPT = 200_000  # spellings whose counts are kept, at most
-PREFIXES_KEPT = 400_000  # and beginnings of words
+KEPT = 250_000  # spellings whose counts are kept, twice at most
+PREFIXES_KEPT = 500_000  # and beginnings of words
 NEVER = 1 << 40  # rank of a merge that does not exist
 KEPT_LENGTH = 64  # longer ones are computed anew
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -82,16 +82,23 @@ def byte_letters() -> list[str]:
 
 
 class _Kept(dict):
-    """Bytes by spelling, each computed once; forgets all when it has grown large."""
+    """Bytes by spelling, each computed once.
+
+    When it has grown large it becomes the older half, from which what is asked for comes back;
+    the half that was older is forgotten.
+    """
 
     def __init__(self, compute) -> None:
         super().__init__()
-        self.compute = compute
+        self.compute, self.older = compute, {}
 
     def __missing__(self, key: str):
-        value = self.compute(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
         if len(key) <= KEPT_LENGTH:
             if len(self) >= KEPT:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value
@@ -120,6 +127,7 @@ class PrefixCounts:
         self.spaced = _Kept(self._spaced_steps)
         self.steps = _Kept(self._steps)
         self.prefixes: dict[str, tuple[str, int, int]] = {}
+        self.older_prefixes: dict[str, tuple[str, int, int]] = {}
         self.letters: dict[str, str] = {}
 
     # One word ----------------------------------------------------------------------------------
@@ -196,11 +204,11 @@ class PrefixCounts:
             text = "".join(letters[b] for b in piece.encode())
             ends = list(accumulate(len(c.encode()) for c in piece))
         vocabulary, fits, fit, mark = self.vocabulary, self.fits, self._fit, self.mark
-        kept = self.prefixes if len(text) <= KEPT_LENGTH else {}
+        kept, older = (self.prefixes, self.older_prefixes) if len(text) <= KEPT_LENGTH else ({}, {})
         last, count, closed = [""], [0], []
         for i in range(1, len(text) + 1):
             first = i - self.longest if i > self.longest else 0
-            state = kept.get(text[:i]) if i <= KEPT_LENGTH else None
+            state = kept.get(text[:i]) or older.get(text[:i]) if i <= KEPT_LENGTH else None
             if state is None:
                 ends_here, goes_on = 0, None
                 for j in range(first, i):
@@ -220,6 +228,7 @@ class PrefixCounts:
                 state = *goes_on, ends_here
                 if i <= KEPT_LENGTH:
                     if len(kept) >= PREFIXES_KEPT:
+                        older = self.older_prefixes = dict(kept)
                         kept.clear()
                     kept[text[:i]] = state
             last.append(state[0])
