@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +42,11 @@ LEAST = 10
 PERCENT = 50
 FIRST = 2000
 NO_LANGUAGE = "und"
-BLOCK_WORDS = 1 << 22  # positions of a block
+BLOCK_WORDS = 1 << 20  # positions of a block
 SLICE_WORDS = 1 << 17  # of one text at a time
 WORD_BITS, LANGUAGE_BITS = 19, 6  # codes of a block: three words and a language make 63 bits
 BUCKET_BYTES = 8 << 20  # text per bucket, about
+ROWS_TOGETHER = 64  # of packed entries
 WIDE = 1 << 12  # entries of a stripe from which on its block splits it
 END = 0  # the code of a piece's end; its spelling is empty
 # What a row of a bucket is: an entry of a prefix of two words, of the empty prefix, of a wide
@@ -69,24 +71,24 @@ def _dealt(parts: list[np.ndarray], buckets: int) -> np.ndarray:
     for seed, part in zip(_SEEDS, parts):
         x = (x ^ part) * seed
         x ^= x >> np.uint64(31)
-    return (x % np.uint64(buckets)).astype(np.int64)
+    return (x % np.uint64(buckets)).astype(np.int32)
 
 
 def _packed(kind: np.ndarray, codes: list[np.ndarray], counts: np.ndarray, spelling: np.ndarray) -> bytes:
-    """Entries as one compressed value: the spellings they use, and five columns of numbers."""
+    """Entries as one compressed value: the spellings they use, and six columns of 32-bit numbers."""
     used, own = np.unique(np.concatenate(codes), return_inverse=True)
     words = b"\n".join(spelling[used].tolist())
-    numbers = np.stack([kind.astype(np.int64), *own.reshape(len(codes), -1), counts])
+    numbers = np.concatenate([kind, own, counts], dtype=np.int32, casting="unsafe")
     head = np.array([len(words), len(counts)], np.int64).tobytes()
-    columns = np.ascontiguousarray(numbers, np.int64).view(np.uint8).reshape(-1, 8).T  # equal bytes together
+    columns = numbers.view(np.uint8).reshape(-1, 4).T  # equal bytes together
     return zstandard.ZstdCompressor(level=1).compress(head + words + columns.tobytes())
 
 
 def _unpacked(packed: bytes) -> tuple[list[bytes], np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(packed)
     size, rows = np.frombuffer(raw, np.int64, 2).tolist()
-    numbers = np.frombuffer(raw, np.uint8, offset=16 + size).reshape(8, -1).T
-    return raw[16:16 + size].split(b"\n"), np.ascontiguousarray(numbers).view(np.int64).reshape(6, rows)
+    numbers = np.frombuffer(raw, np.uint8, offset=16 + size).reshape(4, -1).T
+    return raw[16:16 + size].split(b"\n"), np.ascontiguousarray(numbers).view(np.int32).reshape(6, rows)
 
 
 class _Block:
@@ -120,21 +122,23 @@ class _Block:
         self.triples = []
         if not len(keys):
             return
-        language, prefix = keys >> 3 * WORD_BITS, keys >> WORD_BITS
-        one, two, three = keys >> 2 * WORD_BITS & mask, keys >> WORD_BITS & mask, keys & mask
+        prefix, counts = keys >> WORD_BITS, counts.astype(np.int32)
+        language, one, two, three = (x.astype(np.int32) for x in (
+            keys >> 3 * WORD_BITS, keys >> 2 * WORD_BITS & mask, prefix & mask, keys & mask))
         # Stripes: runs of one prefix.  Wide ones are split, their home gets a note.
         starts = np.flatnonzero(np.append(True, prefix[1:] != prefix[:-1]))
         width = np.diff(np.append(starts, len(keys)))
-        kind = np.repeat(np.where(width > self.wide, PART, PAIR), width)
+        kind = np.repeat(np.where(width > self.wide, PART, PAIR).astype(np.int8), width)
         wide = starts[width > self.wide]
-        nothing = np.full(len(wide), END)
+        nothing = np.full(len(wide), END, np.int32)
         # The empty prefix: one entry per word.
         first = np.flatnonzero(np.append(True, (keys[1:] >> 2 * WORD_BITS) != (keys[:-1] >> 2 * WORD_BITS)))
-        ends = np.full(len(first), END)
+        ends = np.full(len(first), END, np.int32)
+        del keys, prefix
         language = np.concatenate([language, language[wide], language[first]])
         one, two, three = (np.concatenate(x) for x in ((one, one[wide], one[first]), (two, two[wide], ends), (three, nothing, ends)))
         counts = np.concatenate([counts, nothing, np.add.reduceat(counts, first)])
-        kind = np.concatenate([kind, np.full(len(wide), NOTE), np.full(len(first), WORD)])
+        kind = np.concatenate([kind, np.full(len(wide), NOTE, np.int8), np.full(len(first), WORD, np.int8)])
 
         languages = np.fromiter(map(xxhash.xxh3_64_intdigest, self.languages), np.uint64, len(self.languages))
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, len(self.words))
@@ -143,7 +147,8 @@ class _Block:
         bucket = _dealt([languages[language], hashes[one], second, last], self.buckets)
         spelling = np.empty(len(self.words) + len(self.languages), object)
         spelling[:] = [*self.words, *self.languages]
-        language = language + len(self.words)
+        language += len(self.words)
+        del hashes, last, second
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.append(True, bucket[order][1:] != bucket[order][:-1]))
         for rows in np.split(order, cuts[1:]):
@@ -154,10 +159,11 @@ def stripes(docs: DataFrame, buckets: int, *, text: str = "text", lang: str = "l
             block_words: int = BLOCK_WORDS, slice_words: int = SLICE_WORDS) -> DataFrame:
     """The stripes of all blocks: (bucket, entries)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def written(block: _Block) -> pa.RecordBatch:
-            rows = list(block.rows())
-            return pa.RecordBatch.from_pydict({"bucket": pa.array([b for b, _ in rows], pa.int64()),
-                                               "entries": pa.array([e for _, e in rows], pa.binary())})
+        def written(block: _Block) -> Iterator[pa.RecordBatch]:
+            rows = block.rows()
+            while part := list(islice(rows, ROWS_TOGETHER)):
+                yield pa.RecordBatch.from_pydict({"bucket": pa.array([b for b, _ in part], pa.int64()),
+                                                  "entries": pa.array([e for _, e in part], pa.binary())})
 
         block = _Block(buckets, wide, block_words, slice_words)
         for batch in batches:
@@ -178,10 +184,10 @@ def stripes(docs: DataFrame, buckets: int, *, text: str = "text", lang: str = "l
                     codes = np.fromiter((END if w == b"\n" else code[w] for w in (*part, *ahead) if w), np.int64)
                     block.add(language, codes, new)
                     if block.full():
-                        yield written(block)
+                        yield from written(block)
                         block = _Block(buckets, wide, block_words, slice_words)
         if block.held:
-            yield written(block)
+            yield from written(block)
 
     # Languages as hexadecimal digits: whatever they hold, they separate like words.
     rows = docs.select(F.hex(F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANGUAGE))).alias("lang"),
@@ -212,12 +218,12 @@ def _merge(least: int):
         code, parts = _Codes({b"": END}), []
         for packed in table.column("entries").to_pylist():
             words, numbers = _unpacked(packed)
-            own = np.fromiter(map(code.__getitem__, words), np.int64, len(words))
-            parts.append(np.stack([numbers[0], *own[numbers[1:5]], numbers[5]]))
+            own = np.fromiter(map(code.__getitem__, words), np.int32, len(words))
+            parts.append(np.concatenate([numbers[:1], own[numbers[1:5]], numbers[5:]]))
         kind, language, one, two, three, counts = np.concatenate(parts, axis=1)
         del parts
-        order, starts = _grouped([kind << 32 | language, one, two, three])
-        counts = np.add.reduceat(counts[order], starts)
+        order, starts = _grouped([kind.astype(np.int64) << 32 | language, one, two, three])
+        counts = np.add.reduceat(counts[order], starts, dtype=np.int64)
         kind, language, one, two, three = (x[order][starts] for x in (kind, language, one, two, three))
         found: list[tuple] = []
 
