@@ -11,6 +11,7 @@ from tidemark.catalogue.tables import FEED_SQL, feed, table
 from tidemark.functions.convert import convert_record, snapshot_record, to_json_rows
 from tidemark.operators.batches import assign_batches, load_report, partition_by_table
 from tidemark.operators.conform import conform, split_conform
+from tidemark.operators.timed import assign_timed_batches
 
 
 @query("v_convert_events", """
@@ -175,6 +176,23 @@ def b1_batches(spark: SparkSession, sf: str) -> DataFrame:
     return _batches(spark, sf)
 
 
+@query("b1_timed_batches", f"""
+    WITH RECURSIVE r AS (
+        SELECT source_table, seq, row_number() OVER (PARTITION BY source_table ORDER BY seq) - 1 AS p,
+               max(epoch_ms(ts)) OVER (PARTITION BY source_table ORDER BY seq) AS t FROM ({FEED_SQL})),
+    link AS (
+        SELECT source_table, p, least(p + 25, count(*) OVER (
+                   PARTITION BY source_table ORDER BY t RANGE BETWEEN UNBOUNDED PRECEDING AND 599999 FOLLOWING)) AS q FROM r),
+    chain AS (
+        SELECT DISTINCT source_table, CAST(0 AS BIGINT) AS p, CAST(0 AS BIGINT) AS batch_id FROM r
+        UNION ALL SELECT c.source_table, l.q, c.batch_id + 1 FROM chain c JOIN link l ON l.source_table = c.source_table AND l.p = c.p),
+    begun AS (SELECT r.source_table, r.seq, r.p, c.batch_id FROM r LEFT JOIN chain c ON c.source_table = r.source_table AND c.p = r.p)
+    SELECT source_table, seq, max(batch_id) OVER (PARTITION BY source_table ORDER BY p) AS batch_id FROM begun""")
+def b1_timed_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches of at most 25 rows and less than ten minutes."""
+    return assign_timed_batches(feed(spark, sf), 25, 600_000, group=("source_table",)).select("source_table", "seq", "batch_id")
+
+
 @query("b2_partitions", f"""
     SELECT source_table, id, count(*) AS rows, 1 AS partitions, max(seq) AS last_seq
     FROM ({FEED_SQL}) GROUP BY ALL""")
