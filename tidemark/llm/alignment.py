@@ -12,7 +12,7 @@
 3. Counts of a pair over the corpus are popcounts: documents from the bitmaps, links from bitmaps
    plus planes times powers of two.  Both run in the JVM and are summed before rows are shuffled.
    The best count of each id of the second tokenizer follows; that table has one row per id.
-4. The postings take their pair's scores and go back to their block, where documents gather them.
+4. Postings and the scores of their pairs go to their block, where documents gather them.
 
 A pair in every document costs a posting per block, never a row per document; blocks are bounded
 in documents and in links, and no step holds more than a block.  Only postings and numbers are
@@ -28,12 +28,14 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,8 +44,8 @@ from tidemark.llm.common import byte_column, slices, stored
 from tidemark.llm.token_counts import byte_letters
 
 BLOCK_DOCS = 1 << 16  # local numbers have 16 bits
-BLOCK_POSTINGS = 1 << 21  # pairs of documents of a block, at least one document
-KEPT = 200_000  # words whose alignment is kept
+BLOCK_POSTINGS = 1 << 20  # pairs of documents of a block, at least one document
+KEPT = 150_000  # words whose alignment is kept, about twice at most
 KEPT_LENGTH = 64
 TOGETHER = 4096  # words encoded in one call
 SLICE_BYTES = 2 << 20
@@ -78,6 +80,7 @@ class Aligner:
         self.cut = not any(re.search("[^▁]▁|\n", p) for p in pieces)
         self.dummy = self.b.piece_to_id("▁")
         self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
 
     def _aligned(self, stretch: str, a: list[int], b: list[int]) -> tuple | None:
         """Numbers of A tokens, B tokens and groups; the links, A id above B id; the groups as text."""
@@ -86,27 +89,31 @@ class Aligner:
             if b[:1] != [self.dummy]:
                 return None
             b = b[1:]  # the space that B puts before any text
-        bytes_a, bytes_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
+        bytes_a, bytes_b = [*map(self.bytes_a.__getitem__, a)], [*map(self.bytes_b.__getitem__, b)]
         if b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
             return None
-        links, groups, i, j, from_i, from_j = [], [], 0, 0, 0, 0
-        end_a, end_b = len(bytes_a[0]), len(bytes_b[0])
+        links, groups, i, j = array("q"), [], 0, 0
+        one, two = str(a[0]), str(b[0])
+        ahead = len(bytes_a[0]) - len(bytes_b[0])  # by how much A's token ends later than B's
+        last = len(a) - 1
         while True:
             links.append(a[i] << 32 | b[j])
-            if end_a == end_b:
-                i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, a[from_i:i]))}|{','.join(map(str, b[from_j:j]))}")
-                if i == len(a):
+            if ahead == 0:
+                groups.append(f"{one}|{two}")
+                if i == last:
                     break
-                from_i, from_j = i, j
-                end_a, end_b = end_a + len(bytes_a[i]), end_b + len(bytes_b[j])
-            elif end_a < end_b:
+                i, j = i + 1, j + 1
+                one, two = str(a[i]), str(b[j])
+                ahead = len(bytes_a[i]) - len(bytes_b[j])
+            elif ahead < 0:
                 i += 1
-                end_a += len(bytes_a[i])
+                one = f"{one},{a[i]}"
+                ahead += len(bytes_a[i])
             else:
                 j += 1
-                end_b += len(bytes_b[j])
-        return len(a), len(b), len(groups), np.array(links, np.int64).tobytes(), ";".join(groups)
+                two = f"{two},{b[j]}"
+                ahead -= len(bytes_b[j])
+        return len(a), len(b), len(groups), links.tobytes(), ";".join(groups)
 
     def _both(self, stretches: list[str]) -> list[tuple | None]:
         a = self.a.encode_batch(stretches, add_special_tokens=False)
@@ -120,9 +127,11 @@ class Aligner:
     def align(self, texts: list[str | None]) -> list[tuple | None]:
         """Per text: n_a, n_b, n_groups, links, groups; None if it has no tokens."""
         cut = [([] if not t else _STRETCH.findall(" " + t) if self.cut else [" " + t]) for t in texts]
-        known, fresh = self.known, {}
-        for stretch in chain.from_iterable(cut):
-            if stretch not in known:
+        known, older, fresh = self.known, self.older, {}
+        for stretch in set(chain.from_iterable(cut)).difference(known):
+            if stretch in older:
+                known[stretch] = older[stretch]
+            else:
                 fresh[stretch] = None
         spellings = list(fresh)
         for start in range(0, len(spellings), TOGETHER):
@@ -140,9 +149,9 @@ class Aligner:
             else:
                 a, b, groups, links, names = zip(*parts)
                 found.append((sum(a), sum(b), sum(groups), b"".join(links), ";".join(names)))
-        if len(known) + len(fresh) > KEPT:
-            known.clear()
         known.update((s, x) for s, x in fresh.items() if len(s) <= KEPT_LENGTH)
+        if len(known) > KEPT:  # from then on the older half, from which what occurs again comes back
+            self.known, self.older = {}, known
         return found
 
 
@@ -288,16 +297,21 @@ def _gathered(docs: pa.Table, postings: pa.Table) -> pa.Table:
     rows = docs.num_rows
     best, total = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
     place = np.asarray(docs["number"])
-    for batch in postings.to_batches(1 << 14):
-        for packed, planes, links, is_best in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist()
-                                                    for c in ("docs", "planes", "links", "best"))):
+    is_score = postings["docs"].is_null()
+    scores, bitmaps = postings.filter(is_score), postings.filter(pc.invert(is_score))
+    pairs = np.asarray(scores["pair"])
+    order = np.argsort(pairs)
+    links, of_best = np.asarray(scores["links"])[order], np.asarray(scores["best"])[order]
+    for batch in bitmaps.to_batches(1 << 14):
+        at = np.searchsorted(pairs, np.asarray(batch["pair"]), sorter=order)
+        for packed, planes, n, is_best in zip(batch["docs"].to_pylist(), batch["planes"].to_pylist(), links[at].tolist(), of_best[at].tolist()):
             own = _unpacked(packed)
-            total[own] += links
+            total[own] += n
             if is_best:
                 best[own] += 1
             for k, plane in enumerate(planes):
                 own = _unpacked(plane)
-                total[own] += links << k
+                total[own] += n << k
                 if is_best:
                     best[own] += 1 << k
     return pa.table([docs[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")]
@@ -308,8 +322,12 @@ def align(docs: DataFrame, **options) -> DataFrame:
     """Per row: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256."""
     index = inverted(docs, **options)
     rows = index.filter("pair IS NULL").select("block", "number", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
-    scores = scored_pairs(index).select("pair", "links", "best")
-    postings = index.filter("pair IS NOT NULL").select(F.col("block").alias("own_block"), "pair", "docs", "planes") \
-        .join(scores, "pair").select("own_block", "docs", "planes", "links", "best")
-    return rows.groupBy("block").cogroup(postings.groupBy("own_block")).applyInArrow(
+    postings = index.filter("pair IS NOT NULL").select(F.col("block").alias("own_block"), "pair", "docs", "planes")
+    # Scores go to the blocks as numbers; the bitmaps move once, to their block's documents.
+    scores = postings.select("own_block", "pair").join(scored_pairs(index).select("pair", "links", "best"), "pair")
+    whole = postings.select("own_block", "pair", "docs", "planes", F.lit(None).cast("long").alias("links"),
+                            F.lit(None).cast("boolean").alias("best")) \
+        .unionByName(scores.select("own_block", "pair", F.lit(None).cast("binary").alias("docs"),
+                                   F.lit(None).cast("array<binary>").alias("planes"), "links", "best"))
+    return rows.groupBy("block").cogroup(whole.groupBy("own_block")).applyInArrow(
         _gathered, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
