@@ -14,6 +14,7 @@ from tidemark.plans.backfill import (catalogue_estimate, copy_windows, fetch_pag
                                      plan_windows, row_count, unordered_rows)
 from tidemark.plans.copy import BackfillJobs, copy_by_windows
 from tidemark.plans.joblog import active_jobs, audit_transitions, job_progress, job_states, list_jobs
+from tidemark.plans.differences import differences
 from tidemark.plans.keys import profile_keys, screen_keys
 from tidemark.plans.reports import progress, unmapped_report
 from tidemark.session import scratch_path
@@ -81,6 +82,23 @@ def f3_found_key(spark: SparkSession, sf: str) -> DataFrame:
     return job_states(jobs.log()).select("source_table", F.col("primary_key").alias("key"))
 
 
+@query("f3_composite_found", """
+    WITH sets(key, place, n) AS (
+        SELECT 'conv_id,turn', 1, count(DISTINCT (conv_id, turn)) FROM conversations
+        UNION ALL SELECT 'conv_id,role', 2, count(DISTINCT (conv_id, role)) FROM conversations
+        UNION ALL SELECT 'turn,role', 3, count(DISTINCT (turn, role)) FROM conversations)
+    SELECT 'conversations' AS source_table, arg_min(key, place) AS key, 'conv_id' AS ordering_column
+    FROM sets WHERE n = (SELECT count(*) FROM conversations)
+    UNION ALL SELECT 'customer', 'c_custkey', 'c_custkey'""")
+def f3_composite_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Jobs for tables with a key of one column and of several."""
+    rules = Mapping.from_dicts([{"source_table": t, "dest_table": t} for t in ("conversations", "customer")])
+    jobs = BackfillJobs(spark, scratch_path(spark, "composite"), rules)
+    jobs.start_all({"conversations": table(spark, sf, "conversations").select("conv_id", "turn", "role"),
+                    "customer": table(spark, sf, "customer")})
+    return job_states(jobs.log()).select("source_table", F.col("primary_key").alias("key"), "ordering_column")
+
+
 @query("f4_page", """
     SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey < 1000
     ORDER BY o_orderkey DESC LIMIT 50""")
@@ -240,6 +258,31 @@ def f10_progress(spark: SparkSession, sf: str) -> DataFrame:
     return progress(snapshots, replicas)
 
 
+@query("f10_differences", """
+    WITH replica AS (
+        SELECT o_orderkey, CASE WHEN o_orderkey % 1013 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+               CASE WHEN o_orderkey % 1777 = 9 THEN NULL ELSE o_orderstatus END AS o_orderstatus
+        FROM orders WHERE o_orderkey % 997 <> 3
+        UNION ALL SELECT o_orderkey + 100000000, o_totalprice, o_orderstatus FROM orders WHERE o_orderkey % 1501 = 1)
+    SELECT coalesce(s.o_orderkey, r.o_orderkey) AS key,
+           CASE WHEN r.o_orderkey IS NULL THEN 'missing' WHEN s.o_orderkey IS NULL THEN 'extra' ELSE 'unequal' END AS difference,
+           CASE WHEN r.o_orderkey IS NOT NULL AND s.o_orderkey IS NOT NULL THEN concat_ws(',',
+               CASE WHEN s.o_totalprice IS DISTINCT FROM r.o_totalprice THEN 'o_totalprice' END,
+               CASE WHEN s.o_orderstatus IS DISTINCT FROM r.o_orderstatus THEN 'o_orderstatus' END) END AS columns
+    FROM orders s FULL JOIN replica r ON s.o_orderkey = r.o_orderkey
+    WHERE r.o_orderkey IS NULL OR s.o_orderkey IS NULL
+       OR s.o_totalprice IS DISTINCT FROM r.o_totalprice OR s.o_orderstatus IS DISTINCT FROM r.o_orderstatus""")
+def f10_differences(spark: SparkSession, sf: str) -> DataFrame:
+    """A replica with rows missing, too many and changed."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    key = F.col("o_orderkey")
+    changed = orders.filter(key % 997 != 3).select(
+        key, F.when(key % 1013 == 5, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("o_totalprice"),
+        F.when(key % 1777 != 9, F.col("o_orderstatus")).alias("o_orderstatus"))
+    extra = orders.filter(key % 1501 == 1).withColumn("o_orderkey", key + 100_000_000)
+    return differences(orders, changed.unionByName(extra), "o_orderkey", ["o_totalprice", "o_orderstatus"], leaf_bits=5, fan_bits=3)
+
+
 ORDER_RULES = Mapping.from_dicts([
     {"source_table": "orders", "dest_table": "order_facts",
      "remap": {"id": "{o_orderkey}", "customer": "{o_custkey}", "price": "{o_totalprice}",

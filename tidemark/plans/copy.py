@@ -15,7 +15,7 @@ from tidemark.operators.route import wire_of, wire_table
 from tidemark.plans.backfill import WINDOW_IDS, copy_windows, plan_pages, row_count, start_cursor
 from tidemark.plans.joblog import (JOB_DEFAULTS, JOB_SCHEMA, active_jobs, append_job_event,
                                    job_progress, job_states, list_jobs, read_job_log)
-from tidemark.plans.keys import find_key
+from tidemark.plans.keys import find_key_columns
 from tidemark.sinks import folders
 from tidemark.sinks.staging import Defaults, Keys, LoadedRows, Schemas, drain, stage_wire
 from tidemark.sources.mapping import Mapping
@@ -62,9 +62,13 @@ class BackfillJobs:
         last = self.log().agg(F.max("job_id")).first()[0]
         return (last or 0) + 1
 
-    def start(self, table: str, source: DataFrame, key: str, *, ordering_column: str | None = None,
+    def start(self, table: str, source: DataFrame, key: str | Sequence[str], *, ordering_column: str | None = None,
               batch_size: int | None = None, estimate: int | None = None) -> Row:
-        """A pending job for the table: its paused one, its unfinished one, or a new one."""
+        """A pending job for the table: its paused one, its unfinished one, or a new one.
+
+        Of a key of several columns the first orders the copy; equal values stay together.
+        """
+        key = [key] if isinstance(key, str) else list(key)
         job = self._active(table)
         if job is not None:
             return self._update(job, status="pending") if job["status"] == "paused" else job
@@ -72,11 +76,11 @@ class BackfillJobs:
         if not entries:
             raise LookupError(
                 f"no rule for {table!r}; tables with rules: {self.mapping.distinct_tables()}")
-        order = ordering_column or key
+        order = ordering_column or key[0]
         job_id = self._next_id()
         event = {
             **JOB_DEFAULTS, "event_no": 0, "source_table": table,
-            "dest_table": entries[0].dest_table, "primary_key": key, "ordering_column": order,
+            "dest_table": entries[0].dest_table, "primary_key": ",".join(key), "ordering_column": order,
             "total_rows": row_count(source, estimate),
             **_position(start_cursor(source.agg(F.max(order)).first()[0])),
             "batch_size": batch_size or JOB_DEFAULTS["batch_size"],
@@ -87,7 +91,7 @@ class BackfillJobs:
             except FileExistsError:
                 job_id += 1
 
-    def start_tables(self, sources: Dict[str, tuple[DataFrame, str]], **options: Any) -> list[Row]:
+    def start_tables(self, sources: Dict[str, tuple[DataFrame, str | Sequence[str]]], **options: Any) -> list[Row]:
         """Jobs for several tables, table → (rows, key); none starts if any table has no rule."""
         known = self.mapping.distinct_tables()
         unknown = [t for t in sources if t not in known]
@@ -96,12 +100,13 @@ class BackfillJobs:
         return [self.start(table, rows, key, **options) for table, (rows, key) in sources.items()]
 
     def start_all(self, sources: Dict[str, DataFrame], **options: Any) -> list[Row]:
-        """Jobs for all mapped tables among the sources; each table's key is found in its data."""
+        """Jobs for all mapped tables among the sources; each table's key, of one or more columns, is
+        found in its data."""
         wanted = {t: sources[t] for t in self.mapping.distinct_tables() if t in sources}
-        found = {t: (rows, find_key(rows)) for t, rows in wanted.items()}
+        found = {t: (rows, find_key_columns(rows)) for t, rows in wanted.items()}
         missing = [t for t, (_, key) in found.items() if key is None]
         if missing:
-            raise LookupError(f"no single column is a key of {missing}")
+            raise LookupError(f"no columns are a key of {missing}")
         return self.start_tables(found, **options)
 
     def jobs(self, status: str | Sequence[str] | None = None) -> DataFrame:
@@ -191,7 +196,7 @@ class BackfillJobs:
         path = f"{self.log_dir}/_pages/{job['job_id']}"
         if not folders.exists(self.spark, f"{path}/_SUCCESS"):
             col, key = job["ordering_column"], job["primary_key"]
-            pages = plan_pages(rest, col, job["batch_size"], unique=col == key, key=key)
+            pages = plan_pages(rest, col, job["batch_size"], unique=col == key, key=key if key in rest.columns else None)
             pages.select("page", "last_id").write.mode("overwrite").parquet(path)
         pages = self.spark.read.parquet(path)
         ahead = pages
