@@ -72,7 +72,8 @@ def differing_ranges(one: DataFrame, two: DataFrame, *, fan_bits: int = FAN_BITS
     spark = one.sparkSession
     span = one.unionByName(two).agg(F.min("range"), F.max("range")).first()
     height = 0
-    while span[0] is not None and (span[0] >> height * fan_bits) != (span[1] >> height * fan_bits):
+    # Up to one range, or two where keys below zero and above meet.
+    while span[0] is not None and (span[1] >> height * fan_bits) - (span[0] >> height * fan_bits) > 1:
         height += 1
     found = None
     for level in range(height, -1, -1):
