@@ -79,6 +79,34 @@ def test_components_of_near_copies(spark, size):
         assert sum(r["doc_id"] is None for r in rest) == 1 and len(rest) == len(want) + 1  # one of the unnamed pair
 
 
+def passage_rows(n):
+    """Texts that share a passage and are no near-duplicates, and a few that are."""
+    passage = prose(60, 77)
+    rows = [(i, passage + " " + prose(28, 1000 + i)) for i in range(n)]
+    near = [(10_000 + i, edited(rows[i][1], 0.03, i)) for i in range(0, n, 10)]
+    return rows + near
+
+
+def test_texts_that_share_a_passage_meet_by_their_rare_shingles(spark, monkeypatch):
+    met, pairs_of = [], near_duplicates._member_pairs
+
+    def watched(members, chosen, similarity):
+        one = chosen.select("band", near_duplicates.F.col("node").alias("u"), near_duplicates.F.col("label").alias("p"))
+        two = members.select("band", near_duplicates.F.col("node").alias("v"), near_duplicates.F.col("label").alias("q"))
+        met.append(one.join(two, "band").filter("p != q").count())
+        return pairs_of(members, chosen, similarity)
+    monkeypatch.setattr(near_duplicates, "_member_pairs", watched)
+    work = {}
+    for n in (150, 300):
+        met.clear()
+        rows = passage_rows(n)
+        docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+        got = near_duplicates.near_duplicates(docs, size=2).collect()
+        assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == brute_components(rows, 2)
+        work[n] = sum(met)
+    assert work[300] <= 2.5 * work[150] + 1000  # not four times
+
+
 def test_empty_table_has_no_components(spark):
     docs = spark.createDataFrame([], "doc_id LONG, text STRING")
     assert near_duplicates.near_duplicates(docs).collect() == []

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.session import scratch_path
+from tidemark.sinks import folders
 
 # ASCII bytes that are no word characters in ``[^\x20\x09-\x0D]+``; bytes.split() cuts at just these.
 SPACE = b" \t\n\x0b\x0c\r"
@@ -22,10 +24,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Lists that are told the paths ``stored`` writes.
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def recorded_scratch(paths: list[str]) -> Iterator[None]:
+    """Paths that ``stored`` writes meanwhile are added to ``paths``."""
+    _recorders.append(paths)
+    try:
+        yield
+    finally:
+        _recorders.remove(paths)
+
+
+def release_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Remove tables that ``stored`` has written, once what was made of them is written elsewhere."""
+    while paths:
+        folders.remove(spark, paths.pop())
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts the lineage, survives lost
     executors, and gives joins a measured size to choose their strategy by."""
     path = scratch_path(df.sparkSession, label)
+    for paths in _recorders:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

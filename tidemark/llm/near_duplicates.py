@@ -12,8 +12,14 @@
    full sets of both texts.  Confirmed links give components.
 4. Band values whose members are not yet in one component go on, with another member each
    round; only members of another component are tested, and no pair twice.  In the last round,
-   the members outside a band value's main component are tested against all others there.  So
-   every pair of a band value is either tested or already connected.
+   the members outside a band value's main component are tested against all others there, if the
+   band value has at most ``FEW`` members.
+5. Larger ones, such as that of a passage which thousands of otherwise different texts share, are
+   refined by exact prefix filtering: of a set of n shingles, in order of rarity, two sets at the
+   threshold share one among the first n - ceil(threshold * n) + 1 of either.  Members meet only
+   if they share such a rare shingle, and are in different components; what they all share comes
+   last in that order and brings nobody together.  So every pair of a band value is either
+   tested, already connected, or proven too dissimilar.
 
 A link at just 0.8 shares no band value with a chance of six in a million (56 bands of 6 out of
 192 samples, simulated), a closer one with less; the screen lets through what lies up to 4.5
@@ -36,7 +42,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_batches, stored
@@ -51,6 +57,8 @@ SKETCH_LONGS = 32
 SKETCH_BITS = 64 * SKETCH_LONGS
 DEVIATIONS = 4.5  # of the screen below the threshold
 ROUNDS = 1  # in which band values test another member, before the last one
+FEW = 64  # members of a band value that may all be tested against each other
+KNOWN_WORDS = 150_000  # word hashes that a task keeps
 WANTED_BITS = 1 << 24  # of the bitmap of wanted keys, 2 MB
 PART_BITS = 1 << 15  # of its rows
 CHUNK = 2048  # shingles hashed at once
@@ -69,7 +77,7 @@ class _WordHashes(dict):
     """64-bit hashes of words, each computed once; forgets all when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > KNOWN_WORDS:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
@@ -144,8 +152,8 @@ def _key(doc_id: str, text: str) -> Column:
 def fingerprints(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     def run(batch: pa.RecordBatch) -> dict:
         count, digest, band, sketch = [], [], [], []
-        for raw in batch.column(2).cast(pa.binary()).to_pylist():
-            own = shingles(raw, size)
+        for text in batch.column(2).cast(pa.binary()):  # one text at a time is taken out of the batch
+            own = shingles(text.as_py(), size)
             count.append(len(own))
             if len(own):
                 least = samples(own)
@@ -180,19 +188,25 @@ def _screened(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFram
     return pairs.join(one, "u").join(two, "v").filter(_alike(similarity)).select("u", "v")
 
 
-def _wanted(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows whose ``key`` is among ``keys``, and few others.
+def _marked(rows: DataFrame, key: str, keys: DataFrame, name: str) -> DataFrame:
+    """The rows with a column that is true where ``key`` is among ``keys``, and for few others.
 
     The keys are marked in a bitmap of fixed size, ``WANTED_BITS`` in all, which is broadcast.
     """
-    place = F.pmod(F.xxhash64("key"), F.lit(WANTED_BITS))
-    part = F.call_function("div", F.col("place"), F.lit(PART_BITS))
-    bitmap = keys.select(place.alias("place")).groupBy(part.alias("part")) \
-        .agg(F.bitmap_construct_agg(F.col("place") % PART_BITS).alias("bits"))
-    marked = rows.withColumn("place", place).withColumn("part", part).join(F.broadcast(bitmap), "part")
-    at = F.col("place") % PART_BITS
-    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return marked.filter(F.getbit(byte, (at % 8).cast("int")) == 1).select(*rows.columns)
+    place = F.pmod(F.xxhash64(F.col(key)), F.lit(WANTED_BITS))
+    part = F.call_function("div", F.col("_place"), F.lit(PART_BITS))
+    bitmap = keys.select(place.alias("_place")).groupBy(part.alias("_part")) \
+        .agg(F.bitmap_construct_agg(F.col("_place") % PART_BITS).alias("_bits"))
+    placed = rows.withColumn("_place", place).withColumn("_part", part).join(F.broadcast(bitmap), "_part", "left")
+    at = F.col("_place") % PART_BITS
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return placed.withColumn(name, hit).select(*(F.col(f"`{c}`") for c in rows.columns), name)
+
+
+def _wanted(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose ``key`` is among ``keys``, and few others."""
+    return _marked(rows, "key", keys.select("key"), "_hit").filter("_hit").drop("_hit")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
@@ -243,6 +257,26 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(kept.unionByName(fresh), "labels")
 
 
+def _prefixes(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
+    """(node, band) for each node's rarest shingles, as many as the prefix filter needs, that another one has too."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, raw in zip(batch.column(0), batch.column(1).cast(pa.binary())):
+                own = shingles(raw.as_py(), size).view(np.int64)
+                yield pa.RecordBatch.from_pydict({"node": pa.array(np.full(len(own), node.as_py(), np.int64)),
+                                                  "n": pa.array(np.full(len(own), len(own), np.int64)), "band": pa.array(own)})
+
+    keys = nodes.select(F.col("node").alias("key"))
+    texts = _wanted(docs.select(_key(doc_id, text).alias("key"), F.col(text).cast("string").alias("text")), keys) \
+        .join(keys.distinct(), "key", "left_semi").select("key", "text")
+    rows = stored(texts.mapInArrow(run, "node long, n long, band long").distinct(), "shingles")
+    common = rows.groupBy("band").agg(F.count(F.lit(1)).alias("holders"))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("holders", "band"))
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    rare = rows.join(common, "band").withColumn("rank", rank).filter(F.col("rank") <= first).select("node", "band", "holders")
+    return rare.filter("holders > 1").select("node", "band")
+
+
 def _unsettled(members: DataFrame) -> DataFrame:
     """Band values whose members are in several components, with their size and main component."""
     by_label = members.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -258,7 +292,8 @@ def _member_pairs(members: DataFrame, chosen: DataFrame, similarity: float) -> D
                         F.col("sketch").alias("a"))
     two = members.select("band", F.col("node").alias("v"), F.col("label").alias("q"), F.col("n_shingles").alias("n"),
                          F.col("sketch").alias("b"))
-    return one.join(two, "band").filter((F.col("p") != F.col("q")) & _alike(similarity)) \
+    other = (F.col("p") != F.col("q")) & (F.col("u") != F.col("v"))
+    return one.join(two, "band").filter(other & _alike(similarity)) \
         .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
@@ -292,14 +327,25 @@ def component_table(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         members = stored(_labelled(members.select("band", "node"), labels), "members")
         open_bands = stored(_unsettled(members), "unsettled")
         members = stored(members.join(open_bands.select("band", "main"), "band").join(sketches, "node"), "open-members")
+        refined = None
         if turn < ROUNDS:
             # Another member of each band value, as good as drawn by lot: the least after mixing.
             mixed = F.xxhash64("node", F.lit(turn))
             picked = members.groupBy("band").agg(F.min(mixed).alias("first"))
             chosen = members.join(picked, "band").filter(mixed == F.col("first"))
         else:
+            large = stored(members.join(open_bands.filter(F.col("size") > FEW).select("band"), "band")
+                           .select("node", "label").distinct(), "large")
+            members = members.join(open_bands.filter(F.col("size") <= FEW).select("band"), "band")
             chosen = members.filter("label != main")
+            if not large.isEmpty():
+                rare = stored(_prefixes(large, docs, doc_id, text, size, percent), "rare")
+                met = rare.join(rare.groupBy("band").agg(F.count(F.lit(1)).alias("held")).filter("held > 1"), "band") \
+                    .join(large, "node").join(sketches, "node").select("band", "node", "label", "n_shingles", "sketch")
+                refined = _member_pairs(met, met, similarity)
         pairs = _member_pairs(members, chosen, similarity)
+        if refined is not None:
+            pairs = pairs.unionByName(refined).distinct()
         for old in tested:
             pairs = pairs.join(old, ["u", "v"], "left_anti")
         labels = _joined(labels, links_of(pairs))
@@ -323,9 +369,13 @@ def keep_one_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     """One document of each component, with all its columns; of repeated rows one stays."""
     found = component_table(docs, doc_id=doc_id, text=text, **options)
     by_key = stored(found.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("label")), "keys")
-    gone = by_key.filter("label != key").select(F.col("key").alias("_op6_key"))
-    again = by_key.filter("label = key AND rows > 1").select(F.col("key").alias("_op6_key"))
-    keyed = docs.withColumn("_op6_key", _key(doc_id, text)).join(gone, "_op6_key", "left_anti")
-    single = keyed.join(again, "_op6_key", "left_anti")
-    repeated = keyed.join(again, "_op6_key", "left_semi").dropDuplicates(["_op6_key"])
-    return single.unionByName(repeated).select(*docs.columns)
+    acted = by_key.filter("label != key OR rows > 1").select(
+        F.col("key").alias("_op6_key"), (F.col("label") != F.col("key")).alias("_op6_gone"))
+    # Most rows are in no list: a bitmap of fixed size tells so where they are read, and they pass
+    # narrow.  The others, and the few that only look alike, are joined.
+    keyed = _marked(docs.withColumn("_op6_key", _key(doc_id, text)), "_op6_key", acted.select("_op6_key"), "_op6_hit")
+    free = keyed.filter("NOT _op6_hit").select(*docs.columns)
+    known = keyed.filter("_op6_hit").join(acted, "_op6_key", "left").filter("_op6_gone IS NULL OR NOT _op6_gone")
+    single = known.filter("_op6_gone IS NULL").select(*docs.columns)
+    repeated = known.filter("_op6_gone IS NOT NULL").dropDuplicates(["_op6_key"]).select(*docs.columns)
+    return free.unionByName(single).unionByName(repeated)
