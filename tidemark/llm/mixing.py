@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
@@ -33,6 +33,7 @@ from tidemark.operators.numbering import positions_by_range
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
 SALTS = 1024
+CUT_ROWS = 500_000  # of the table of cuts that is broadcast, about 40 MB
 FIT_WORDS = 20_000  # budget left to the knapsack, at most (unless only longer documents remain)
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -110,16 +111,22 @@ def _units(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
     ).groupBy("source", "doc_id", "hash", "size").agg(F.count(F.lit(1)).alias("copies"))
 
 
+def _lots(seed: int, doc_id: str, hashed: str) -> dict[str, Column]:
+    """A document's seeded hash, and the salt that it is dealt into."""
+    lot = F.xxhash64(F.lit(seed), doc_id, hashed)
+    return {"lot": lot, "salt": F.pmod(lot, F.lit(SALTS)).cast("int")}
+
+
 def _planned(docs: DataFrame, doc_id: str, text: str, source: str, weights: Sequence[int], most: int, seed: int) -> DataFrame:
     """Per distinct document: source, doc_id, hash, size, copies, source_size, target, ``passes`` of
-    each copy and how many copies are taken once ``more``."""
+    each copy, how many copies are taken once ``more``, and its place in the ``order`` in which the
+    documents of its source and length are taken."""
     units = stored(_units(docs, doc_id, text, source), "units")
     by_source = units.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
     plan = stored(targets(stored(by_source, "by-source"), weights, most), "targets")
-    lot = F.xxhash64(F.lit(seed), "doc_id", "hash")
     units = stored(
         units.join(plan.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
-        .withColumns({"lot": lot, "salt": F.pmod(lot, F.lit(SALTS)).cast("int")}), "dealt")
+        .withColumns(_lots(seed, "doc_id", "hash")), "dealt")
     salted = stored(units.filter("size > 0").groupBy("number", "size", "salt")
                     .agg(F.sum("copies").alias("n")), "salted")
     lengths = salted.groupBy("number", "size").agg(F.sum("n").alias("n")) \
@@ -142,7 +149,8 @@ def _planned(docs: DataFrame, doc_id: str, text: str, source: str, weights: Sequ
     passes = F.when((F.col("source_size") > 0) & (F.col("size") > 0), F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     more = F.least(F.col("copies"), F.greatest(F.lit(0).cast("long"), F.coalesce("quota", F.lit(0)) - F.col("before")))
     return units.withColumn("before", before).join(quota, ["number", "size", "salt"], "left").select(
-        "source", "doc_id", "hash", "size", "copies", "source_size", "target", passes.cast("long").alias("passes"), more.alias("more"))
+        "source", "doc_id", "hash", "size", "copies", "source_size", "target", passes.cast("long").alias("passes"), more.alias("more"),
+        F.struct("salt", "lot", "doc_id", "hash").alias("order"))
 
 
 def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source",
@@ -158,32 +166,46 @@ def mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source:
 
 def mixed_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source",
                     weights: Sequence[int] = WEIGHTS, most: int = MOST_PASSES, seed: int = 5) -> DataFrame:
-    """Each row as often as the mix takes it, with all its columns."""
-    plan = stored(_planned(docs, doc_id, text, source, weights, most, seed).filter("passes > 0 OR more > 0").select(
-        F.col("source").alias("_op8_source"), F.col("doc_id").alias("_op8_id"), F.col("hash").alias("_op8_hash"),
-        F.col("passes").alias("_op8_passes"), F.col("more").alias("_op8_more"), F.col("copies").alias("_op8_copies")), "mix-plan")
-    same = F.col(source).cast("string").eqNullSafe(F.col("_op8_source")) \
-        & F.col(doc_id).cast("long").eqNullSafe(F.col("_op8_id")) & (F.col("_op8_hash") == F.col("_op8_own"))
+    """Each row as often as the mix takes it, with all its columns.
+
+    Documents of one source and length are taken in their order up to a cut, so a table of cuts, a
+    row per source and length, decides each row where it is read.  It is broadcast while it has
+    at most ``CUT_ROWS`` rows, and joined otherwise.  Only the copies of the one document at a cut
+    whose copies differ are numbered.
+    """
+    planned = _planned(docs, doc_id, text, source, weights, most, seed)
+    split = (F.col("more") > 0) & (F.col("more") < F.col("copies"))
+    cuts = stored(planned.groupBy(F.col("source").alias("_op8_source"), F.col("size").alias("_op8_size")).agg(
+        F.max("passes").alias("_op8_passes"), F.max(F.when(F.col("more") == F.col("copies"), F.col("order"))).alias("_op8_cut"),
+        F.max(F.when(split, F.struct("doc_id", "hash", "more"))).alias("_op8_split"))
+        .filter("_op8_passes > 0 OR _op8_cut IS NOT NULL OR _op8_split IS NOT NULL"), "mix-cuts")
     names = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
-    own = docs.withColumn("_op8_own", F.xxhash64(F.col(text)))
-    split = (F.col("_op8_more") > 0) & (F.col("_op8_more") < F.col("_op8_copies"))
-    once_more = F.when(F.col("_op8_more") > 0, 1).otherwise(0)
-    taken = own.join(plan.filter(~split), same).withColumn("_op8_turns", F.col("_op8_passes") + once_more)
-    if not plan.filter(split).isEmpty():
+    own = docs.select(*names, F.struct(
+        F.col(source).cast("string").alias("source"), F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("hash"),
+        F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size")).alias("_op8"))
+    lots = _lots(seed, "_op8.doc_id", "_op8.hash")
+    place = F.struct(lots["salt"].alias("salt"), lots["lot"].alias("lot"), F.col("_op8.doc_id").alias("doc_id"), F.col("_op8.hash").alias("hash"))
+    side = F.broadcast(cuts) if cuts.count() <= CUT_ROWS else cuts
+    rows = own.join(side, F.col("_op8.source").eqNullSafe(F.col("_op8_source")) & (F.col("_op8.size") == F.col("_op8_size")))
+    at_cut = F.col("_op8_split").isNotNull() & F.col("_op8.doc_id").eqNullSafe(F.col("_op8_split.doc_id")) \
+        & (F.col("_op8.hash") == F.col("_op8_split.hash"))
+    below = F.coalesce(place <= F.col("_op8_cut"), F.lit(False))
+    taken = rows.filter(~at_cut).withColumn("_op8_turns", F.col("_op8_passes") + F.when(below, 1).otherwise(0))
+    if not cuts.filter("_op8_split IS NOT NULL").isEmpty():
         # Copies that differ in their passes are numbered by written part, so no task holds all of one document.
-        rows = stored(own.join(plan.filter(split), same).withColumn("_op8_at", F.monotonically_increasing_id()), "mix-copies") \
+        copies = stored(rows.filter(at_cut).withColumn("_op8_at", F.monotonically_increasing_id()), "mix-copies") \
             .withColumn("_op8_part", F.shiftright("_op8_at", 33))
-        unit = ["_op8_source", "_op8_id", "_op8_hash"]
-        sizes = rows.groupBy(*unit, "_op8_part").agg(F.count(F.lit(1)).alias("_op8_n"))
+        unit = ["_op8_source", "_op8_size"]
+        sizes = copies.groupBy(*unit, "_op8_part").agg(F.count(F.lit(1)).alias("_op8_n"))
         ahead = Window.partitionBy(*unit).orderBy("_op8_part").rowsBetween(Window.unboundedPreceding, -1)
         sizes = sizes.withColumn("_op8_ahead", F.coalesce(F.sum("_op8_n").over(ahead), F.lit(0).cast("long"))) \
             .select(*(F.col(c).alias(c + "_") for c in unit), F.col("_op8_part").alias("_op8_part_"), "_op8_ahead")
-        place = F.row_number().over(Window.partitionBy(*unit, "_op8_part").orderBy("_op8_at"))
+        number = F.row_number().over(Window.partitionBy(*unit, "_op8_part").orderBy("_op8_at"))
         alike = F.col("_op8_part") == F.col("_op8_part_")
         for c in unit:
             alike = alike & F.col(c).eqNullSafe(F.col(c + "_"))
-        turn = F.when(F.col("_op8_place") + F.col("_op8_ahead") <= F.col("_op8_more"), 1).otherwise(0)
-        numbered = rows.withColumn("_op8_place", place).join(sizes, alike).withColumn("_op8_turns", F.col("_op8_passes") + turn)
+        turn = F.when(F.col("_op8_place") + F.col("_op8_ahead") <= F.col("_op8_split.more"), 1).otherwise(0)
+        numbered = copies.withColumn("_op8_place", number).join(sizes, alike).withColumn("_op8_turns", F.col("_op8_passes") + turn)
         taken = taken.select(*names, "_op8_turns").unionByName(numbered.select(*names, "_op8_turns"))
     return taken.filter("_op8_turns > 0").withColumn("_op8_turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_op8_turns").cast("long")))) \
         .select(*names)
