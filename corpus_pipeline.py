@@ -1,11 +1,18 @@
-"""The corpus pipeline: quality rules, near-duplicates, decontamination, mixing, sharding."""
+"""The corpus pipeline: quality rules, near-duplicates, decontamination, mixing, sharding.
+
+A stage's documents are those that the stage before has written, so a stage begins by removing
+the intermediate tables of the stages before it.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontaminate, mixing, near_duplicates, quality, sharding
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import recorded_scratch, release_scratch, table
+from tidemark.session import scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,12 +42,28 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .withColumnsRenamed({"_op4_shard": "shard", "_op4_slot": "slot"})
 
 
+# Intermediate tables of the stage that ran last.
+_tables: list[str] = []
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _cleared(stage: Stage) -> Stage:
+    """The stage, after the tables that earlier ones needed are gone."""
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release_scratch(spark, _tables)
+        with recorded_scratch(_tables):
+            return stage(spark, docs, sf_dir)
+
+    run.__doc__ = stage.__doc__
+    return run
+
+
 STAGES = [
-    ("quality rules", quality_rules),
-    ("MinHash near-duplicates", near_duplicate_documents),
-    ("benchmark decontamination", decontamination),
-    ("mixing to target weights", mixture),
-    ("sharding", sharded),
+    ("quality rules", _cleared(quality_rules)),
+    ("MinHash near-duplicates", _cleared(near_duplicate_documents)),
+    ("benchmark decontamination", _cleared(decontamination)),
+    ("mixing to target weights", _cleared(mixture)),
+    ("sharding", _cleared(sharded)),
 ]
 # Hashing words into sketches and the subset-sum program have no SQL form; tests/llm compares with brute force.
 ORACLE_SQL = None
@@ -51,5 +74,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = stored(docs, "stage-" + name.replace(" ", "-"))
+            path = scratch_path(spark, "stage-" + name.replace(" ", "-"))
+            docs.write.parquet(path)
+            docs = spark.read.schema(docs.schema).parquet(path)
     return docs
