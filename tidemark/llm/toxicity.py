@@ -33,6 +33,7 @@ VOCABULARY = 768
 FOLDS = 3
 STEPS = 200
 RIDGE = 5.0  # divided by the training rows
+LEAST_SPREAD = 0.05  # added to a column's spread: one that hardly varies is not stretched
 THRESHOLD = 0.5
 # Category and the condition on the columns of ``labels``, in the order of the chain.
 CHAIN: tuple[tuple[str, str], ...] = (
@@ -66,7 +67,7 @@ def _probability(z: np.ndarray) -> np.ndarray:
 def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = STEPS, ridge: float = RIDGE) -> np.ndarray:
     """Weights, the last one the intercept, by accelerated gradient descent on columns of one scale."""
     ridge = ridge / len(x)
-    scale = 1 / (x.std(axis=0) + 0.02)
+    scale = 1 / (x.std(axis=0) + LEAST_SPREAD)
     middle = x.mean(axis=0)
     z = np.hstack([(x - middle) * scale, np.ones((len(x), 1), x.dtype)])
     vector = np.ones(z.shape[1], x.dtype)
@@ -102,7 +103,11 @@ class Chain:
 
 
 def choose_words(texts: list[set[str]], y: np.ndarray, most: int) -> dict[str, int]:
-    """The words with the greatest chi-square in any category."""
+    """The words with the greatest chi-square in any category, above what chance gives.
+
+    Of as many words and categories without any effect, the greatest chi-square is about twice
+    the logarithm of their number: words below that only fit the noise of the training rows.
+    """
     count = Counter(w for text in texts for w in text)
     common = sorted(w for w, n in count.items() if n >= 3)
     place = {w: k for k, w in enumerate(common)}
@@ -116,7 +121,8 @@ def choose_words(texts: list[set[str]], y: np.ndarray, most: int) -> dict[str, i
         share = y[:, k].mean()
         if 0 < share < 1:
             best = np.maximum(best, (with_label - n * share) ** 2 / (n * share * (1 - share)))
-    order = np.argsort(-best, kind="stable")[:most]
+    bound = 2 * np.log(max(2, len(common) * y.shape[1]))
+    order = [k for k in np.argsort(-best, kind="stable")[:most] if best[k] > bound]
     return {common[k]: i for i, k in enumerate(order)}
 
 
