@@ -190,11 +190,12 @@ def training_texts(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
                        F.col(text).cast("string").alias("text")) \
         .filter((_remainder("doc_id") != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     drawn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id"))
-    chosen = stored(rows.select("lang", "doc_id").withColumn("n", drawn).filter(F.col("n") <= DOCS).distinct(), "drawn")
+    # Documents are drawn, not rows: one that is repeated is drawn once, and gives one stretch.
+    chosen = stored(rows.select("lang", "doc_id").distinct().withColumn("n", drawn).filter(F.col("n") <= DOCS), "drawn")
     places = F.greatest(F.lit(1), F.length("text") - DOC_CHARS + 1)
     place = (F.pmod(F.xxhash64("text", F.lit(seed)), places) + 1).cast("int")
     picked = rows.join(chosen, ["lang", "doc_id"]) \
-        .select("lang", "n", F.substr("text", place, F.lit(DOC_CHARS)).alias("text")).orderBy("lang", "n", "text").collect()
+        .groupBy("lang", "n").agg(F.min(F.substr("text", place, F.lit(DOC_CHARS))).alias("text")).orderBy("lang", "n").collect()
     names = sorted({r["lang"] for r in picked})
     texts = []
     for name in names:
