@@ -428,3 +428,23 @@ def test_random_texts_against_random_benchmarks(least):
 
 def test_digest_of_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_pages_of_any_depth(spark):
+    deep = [f"<html><body>{'<div>' * n}<p>Deep words of page {n} here</p>{'</div>' * n}<p>tail</p></body></html>" for n in (2000, 1900, 3)]
+    pages = spark.createDataFrame([(k, f"http://h/{k}", h) for k, h in enumerate(deep)], "page_id LONG, url STRING, html STRING")
+    got = {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}
+    assert all("Deep words of page" in got[k] for k in range(3))
+
+
+def test_text_of_formulas_and_objects_stays(spark):
+    pages = spark.createDataFrame([(1, "http://h/1", "<p>The area is <math><mi>x</mi></math> <object>here</object></p>")],
+                                  "page_id LONG, url STRING, html STRING")
+    assert html_text.extract(pages).first()["text"] == "The area is x here"
+
+
+def test_a_repeated_document_is_drawn_once(spark):
+    rows = [(1, "abc def ghi", "en")] * 3000 + [(k, f"text number {k}", "en") for k in range(2, 30)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING")
+    ((name, text),) = language.training_texts(docs)
+    assert name == "en" and text.count("abc def ghi") <= 1

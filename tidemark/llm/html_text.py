@@ -46,7 +46,7 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup html legend li main menu nav ol p pre search section summary "
     "table tbody td tfoot th thead tr ul".split())
-RAW = frozenset("script style title textarea noscript template iframe noframes noembed xmp svg math object".split())
+RAW = frozenset("script style title textarea noscript template iframe noframes noembed xmp svg".split())
 DROPPED = frozenset("nav header footer aside form menu dialog search fieldset head".split())
 INLINE_DROPPED = frozenset("button select label datalist audio video canvas".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
@@ -209,30 +209,54 @@ def _measure(root: Node) -> list[Node]:
     return leaves
 
 
-def matched(a: Node, b: Node) -> int:
-    """Simple tree matching: the most nodes of two trees that correspond in order."""
-    if a.label != b.label:
-        return 0
-    if a.shape == b.shape:
-        return a.size
-    return 1 + _table(a.children, b.children)[-1][-1]
+Known = dict[tuple[int, int], int]  # matched nodes by the shapes of two trees
 
 
-def _table(left: list[Node], right: list[Node]) -> list[list[int]]:
-    """Best matches of the first i nodes of one row with the first j of the other."""
-    known: dict[tuple[int, int], int] = {}
+def matched(a: Node, b: Node, known: Known | None = None) -> int:
+    """Simple tree matching: the most nodes of two trees that correspond in order.
+
+    Pairs of subtrees are worked off from a stack, children first, so trees may be of any depth.
+    """
+    known, todo = {} if known is None else known, [(a, b)]
+    while todo:
+        x, y = todo[-1]
+        pair = (x.shape, y.shape)
+        if pair not in known:
+            if x.label != y.label:
+                known[pair] = 0
+            elif x.shape == y.shape:
+                known[pair] = x.size
+            else:
+                left, right = ({c.shape: c for c in n.children} for n in (x, y))
+                open_pairs = [(p, q) for p in left.values() for q in right.values() if (p.shape, q.shape) not in known]
+                if open_pairs:
+                    todo.extend(open_pairs)
+                    continue
+                known[pair] = 1 + _best(x.children, y.children, known)[-1][-1]
+        todo.pop()
+    return known[a.shape, b.shape]
+
+
+def _best(left: list[Node], right: list[Node], known: Known) -> list[list[int]]:
     table = [[0] * (len(right) + 1)]
     for x in left:
         above, row = table[-1], [0]
         for j, y in enumerate(right):
-            pair = (x.shape, y.shape)
-            if pair not in known:
-                known[pair] = matched(x, y)
-            row.append(max(row[j], above[j + 1], above[j] + known[pair]))
+            row.append(max(row[j], above[j + 1], above[j] + known[x.shape, y.shape]))
         table.append(row)
     return table
 
 
+def _table(left: list[Node], right: list[Node]) -> list[list[int]]:
+    """Best matches of the first i nodes of one row with the first j of the other."""
+    known: Known = {}
+    for x in left:
+        for y in right:
+            if (x.shape, y.shape) not in known:
+                matched(x, y, known)
+    return _best(left, right, known)
+
+
 def aligned(a: Node, b: Node) -> Iterator[tuple[Node, Node]]:
     """Pairs of texts that correspond in a largest matching of two trees.
 
