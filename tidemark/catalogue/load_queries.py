@@ -81,15 +81,14 @@ def s8_staged_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("s8_flat_files", f"""
-    SELECT '000' || (seq % 3) AS staged_at, 'shop_' || source_table AS dest_table, CAST(id AS VARCHAR) AS id,
-           event_type FROM ({FEED_SQL})""")
+    SELECT printf('%04d', (row_number() OVER (PARTITION BY source_table ORDER BY seq) - 1) // 1000) AS staged_at,
+           'shop_' || source_table AS dest_table, CAST(id AS VARCHAR) AS id, event_type FROM ({FEED_SQL})""")
 def s8_flat_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Files named by time and table, each a JSON list of rows."""
+    """Files named by time and table, each a JSON list of at most 1,000 rows."""
     folder = scratch_path(spark, "flat")
-    rows = feed(spark, sf).select(
-        F.concat(F.lit("000"), F.col("seq") % 3, F.lit("_shop_"), F.col("source_table")).alias("file"),
+    rows = assign_batches(feed(spark, sf), size=1000, group=("source_table",)).select(
+        F.format_string("%04d_shop_%s", "batch_id", "source_table").alias("file"),
         F.struct(F.col("id").cast("string").alias("id"), "event_type").alias("row"))
-    # The feed of this query lands as one list per file; a list is a batch, as a stage writes them.
     lists = rows.groupBy("file").agg(F.to_json(F.collect_list("row")).alias("value"))
     lists.repartition("file").write.partitionBy("file").text(f"{folder}/lists")
     from tidemark.sinks import folders
@@ -442,23 +441,30 @@ def stream_two_origins(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("stream_replay_after_compact", f"""
-    SELECT id, action, amount, weight, ver FROM ({LOADED_SQL})
-    QUALIFY row_number() OVER (PARTITION BY id ORDER BY ver DESC) = 1""")
+    SELECT * FROM ({ALL_SQL}) QUALIFY row_number() OVER (PARTITION BY dest_table, id ORDER BY ver DESC) = 1""")
 def stream_replay_after_compact(spark: SparkSession, sf: str) -> DataFrame:
-    """A stream is compacted, all its batches are replayed, and it goes on: the state is whole."""
+    """A stream is compacted, replayed from its start under its own name, and goes on: the state is whole."""
     folder = scratch_path(spark, "live")
     dirs = {"replica_dir": f"{folder}/replica", "stage_dir": f"{folder}/stage"}
-    land = _routed(spark, sf)["activity"]
-    early = _batched(land.filter("ver % 4 <> 0"))
-    stage_batch({"activity": early}, dirs["stage_dir"], "events")
-    drain(spark, schemas=SCHEMAS, defaults=DEFAULTS, **dirs)
-    compact(spark, dirs["replica_dir"], "activity", SCHEMAS["activity"], ["id"])
-    stage_batch({"activity": early}, dirs["stage_dir"], "events")
-    drain(spark, schemas=SCHEMAS, defaults=DEFAULTS, **dirs)
-    late = assign_batches(land.filter("ver % 4 = 0"), size=1000, order="ver", group=())
-    stage_batch({"activity": late.withColumn("batch_id", F.col("batch_id") + 100_000)}, dirs["stage_dir"], "events")
-    drain(spark, schemas=SCHEMAS, defaults=DEFAULTS, **dirs)
-    return current_rows(spark, dirs["replica_dir"], "activity", SCHEMAS["activity"], ["id"])
+    changes = as_feed(spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf}/events.parquet")).select(
+        "xid", "seq", "op", "source_table", F.col("ts").alias("commit_ts"), F.struct("id", "event_type", "value", "props").alias("record"))
+
+    def run(checkpoint: str) -> None:
+        stream = read_changes(spark, f"{folder}/feed", changes.schema, streaming=True)
+        replicate(stream, RULES, SCHEMAS, origin="events", checkpoint_dir=f"{folder}/{checkpoint}", defaults=DEFAULTS,
+                  available_now=True, **dirs).awaitTermination()
+
+    changes.filter("seq % 4 <> 0").write.parquet(f"{folder}/feed")
+    run("checkpoint")
+    for dest in SCHEMAS:
+        compact(spark, dirs["replica_dir"], dest, SCHEMAS[dest], ["id"])
+    run("checkpoint-lost")
+    changes.filter("seq % 4 = 0").write.mode("append").parquet(f"{folder}/feed")
+    run("checkpoint")
+    parts = [current_rows(spark, dirs["replica_dir"], dest, SCHEMAS[dest], ["id"]).select(
+        F.lit(dest).alias("dest_table"), "id", F.col(label).alias("label"), F.col(value).alias("value"), "ver")
+        for dest, (label, value) in COMMON.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("stream_latest_state", f"""
