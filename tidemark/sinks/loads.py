@@ -224,7 +224,7 @@ def sweep(spark: SparkSession, replica_dir: str, dest: str, keep: Iterable[str])
     replaced = {name for e in known.entries for name in e["replaces"] or ()} - set(keep)
     gone = [e for e in known.entries if e["name"] in replaced]
     views = f"{_folder(replica_dir, dest)}/_views"
-    paths = [r["path"] for r in spark.read.schema("path STRING").json(f"{views}/*.json").collect()] \
+    paths = [r["path"] for r in spark.read.schema("path STRING").json(f"{views}/*.json").toLocalIterator()] \
         if gone and folders.names(spark, views) else []
     for path in paths:
         partials = set(folders.partitions(spark, path, "load"))
