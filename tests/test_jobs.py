@@ -226,3 +226,96 @@ def test_unknown_tables_and_jobs(spark, job_run):
         jobs.pause(5)
     with pytest.raises(LookupError):
         jobs.copy_pages(5, spark.range(1), **run)
+
+
+def counted_drains(monkeypatch):
+    calls, real = [], copy_module.drain
+
+    def drain(*args, **options):
+        calls.append(1)
+        return real(*args, **options)
+    monkeypatch.setattr(copy_module, "drain", drain)
+    return calls
+
+
+def log_steps(jobs):
+    return [(r["processed_rows"], r["last_processed_id"], r["status"])
+            for r in jobs.log().orderBy("event_no").collect()][2:]
+
+
+def test_many_small_steps_are_few_rounds(spark, job_run, monkeypatch):
+    jobs, run = job_run
+    source = items(spark, 123)
+    jobs.start("items", source, "id", batch_size=2)
+    calls = counted_drains(monkeypatch)
+    later = source.filter("id NOT BETWEEN 40 AND 49 AND id != 50")  # gone after planning
+    jobs.copy_pages(1, later.limit(0).unionByName(source), max_pages=3, pages_per_step=2, **run)
+    job = jobs.copy_pages(1, later, pages_per_step=2, **run)
+    borders = [119, 117, *range(113, 0, -4)]
+    want = [sum(1 for i in range(low, 123) if not 40 <= i <= 50) for low in borders]
+    steps = [*zip(want, borders), (112, 0)]
+    assert log_steps(jobs) == [(n, low, "completed" if low == 0 else "running") for n, low in steps]
+    assert len(calls) <= 8 and (job["status"], job["cursor"]) == ("completed", "0")
+    assert ids(spark, run) == [i for i in range(123) if not 40 <= i <= 50] == ids(spark, run, "audit")
+    rows = read_replica(spark, run["replica_dir"], "things", SCHEMAS["things"])
+    assert rows.select("load_batch").distinct().count() == len({n for n, _ in steps})
+    assert audit_transitions(jobs.log()).count() == 0
+
+
+def test_a_bad_step_among_many_fails_alone(spark, job_run):
+    jobs, run = job_run
+    source = items(spark, 40)
+    jobs.start("items", source, "id", batch_size=2)
+    broken = source.withColumn("v", F.when(F.col("id") == 15, F.raise_error(F.lit("bad row"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="bad row"):
+        jobs.copy_pages(1, broken, pages_per_step=1, **run)
+    assert log_steps(jobs) == [(n, 40 - n, "running") for n in range(2, 25, 2)] + [(24, 16, "failed")]
+    assert ids(spark, run) == list(range(16, 40))
+    jobs.resume(1, from_failed=True)
+    assert jobs.copy_pages(1, source, pages_per_step=1, **run)["processed_rows"] == 40
+    assert ids(spark, run) == list(range(40))
+
+
+def test_a_crash_after_a_round_of_steps_copies_no_row_twice(spark, job_run, monkeypatch):
+    jobs, run = job_run
+    source = items(spark, 20)
+    jobs.start("items", source, "id", batch_size=2)
+    real, calls = copy_module.drain, []
+    with monkeypatch.context() as patch:
+        def crash(*args, **options):
+            real(*args, **options)
+            calls.append(1)
+            if len(calls) == 3:
+                raise KeyboardInterrupt
+        patch.setattr(copy_module, "drain", crash)
+        with pytest.raises(KeyboardInterrupt):
+            jobs.copy_pages(1, source, pages_per_step=1, **run)
+    assert jobs.get(1)["processed_rows"] == 10
+    assert jobs.copy_pages(1, source, pages_per_step=1, **run)["processed_rows"] == 20
+    assert ids(spark, run) == list(range(20))
+
+
+@pytest.mark.parametrize("dtype, values", [
+    ("STRING", ["", '"a, b"', "a", "a\n", "z", "\ue000", chr(0x1F600)]), ("DOUBLE", [-1.5, 0.0, 0.1, 1e300, float("nan")]),
+    ("DATE", ["1900-01-01", "2024-01-01", "2024-01-02"]), ("DECIMAL(9,2)", ["-1.10", "0.00", "7.25"]),
+    ("TIMESTAMP_NTZ", ["2024-01-01 00:00:00", "2024-01-01 00:00:00.000001"]), ("INT", [-5, 0, 7])])
+def test_steps_of_values_of_any_type(spark, dtype, values):
+    rows = spark.createDataFrame([(k, str(v)) for k, v in enumerate(values)], "k INT, v STRING") \
+        .withColumn("v", F.col("v").cast(dtype))
+    texts = [r["t"] for r in rows.orderBy("k").select(F.col("v").cast("string").alias("t")).collect()]
+    got = copy_module._with_step(rows, "v", texts[:0:-1]).orderBy("k").collect()
+    assert [r[copy_module.STEP] for r in got] == list(range(len(values)))[::-1]
+
+
+def test_steps_over_ties_are_those_of_one_by_one(spark, job_run):
+    jobs, run = job_run
+    source = items(spark, 18).withColumn("o", F.expr("CASE WHEN id < 12 THEN id / 5 ELSE 9 END"))
+    seen = []
+    for at_once in (1, None):
+        job = jobs.start("items", source, "id", ordering_column="o", batch_size=2)
+        job_id = job["job_id"]
+        while job["status"] in ("pending", "running"):
+            job = jobs.copy_pages(job_id, source, max_pages=at_once, pages_per_step=1, **run)
+        seen.append([(r["processed_rows"], r["cursor"], r["status"])
+                     for r in jobs.log().filter(F.col("job_id") == job_id).orderBy("event_no").collect()])
+    assert seen[0] == seen[1] and seen[0][-1] == (18, "0.0", "completed") and seen[0][2] == (6, "9.0", "running")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterable, Sequence
 from collections.abc import Mapping as Dict
 from datetime import datetime, timezone
@@ -10,18 +11,24 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.operators.route import wire_of, wire_table
+from tidemark.operators.route import has_script, wire_of, wire_table
 from tidemark.plans.backfill import WINDOW_IDS, copy_windows, plan_pages, row_count, start_cursor
 from tidemark.plans.joblog import (JOB_DEFAULTS, JOB_SCHEMA, active_jobs, append_job_event,
                                    job_progress, job_states, list_jobs, read_job_log)
 from tidemark.plans.keys import find_key_columns
 from tidemark.sinks import folders
-from tidemark.sinks.staging import Defaults, Keys, LoadedRows, Schemas, drain, stage_wire
+from tidemark.sinks.staging import Defaults, Keys, LoadedRows, Schemas, clear_stage, drain, stage_wire
 from tidemark.sources.mapping import Mapping
 
 # Pages copied between two log entries: a hundred million rows at the default page size.
 PAGES_PER_STEP = 20_000
+# Steps copied together at most: their borders are constants of one plan.
+ROUND_STEPS = 1_024
+ROUND_GROWTH = 4
+# Reserved name: a row's step within its round.
+STEP = "_copy_step"
 
 
 class BackfillJobs:
@@ -49,7 +56,16 @@ class BackfillJobs:
         return Row(**{field.name: event.get(field.name) for field in JOB_SCHEMA.fields})
 
     def _update(self, job: Row, **changes: Any) -> Row:
-        return self._append({**job.asDict(), **changes, "event_no": job["event_no"] + 1})
+        return self._update_all(job, [changes])
+
+    def _update_all(self, job: Row, changes: Iterable[dict[str, Any]]) -> Row:
+        """Log one event after another, all at once: the job's state after the last one."""
+        now, event, events = datetime.now(timezone.utc), job.asDict(), []
+        for change in changes:
+            event = {**event, **change, "event_no": event["event_no"] + 1, "updated_at": now}
+            events.append(event)
+        append_job_event(self.spark, self.log_dir, *events)
+        return Row(**{field.name: event.get(field.name) for field in JOB_SCHEMA.fields})
 
     def _active(self, table: str) -> Row | None:
         if not folders.exists(self.spark, self.log_dir):
@@ -136,77 +152,154 @@ class BackfillJobs:
                    keys: Keys | None = None, views: Iterable[LoadedRows] = ()) -> Row:
         """Copy the next pages of a job, all of them by default, step by step.
 
-        A step copies some pages and logs the new cursor and count, so that whatever stops the
-        run loses one step.  Pages are consecutive value ranges, so a step is one filtered scan:
-        ``low <= column < cursor`` reaches the source as a pushed filter, and the rows of all
-        destinations are staged in that one job, which also counts them.  Page borders are
-        planned once per job, from the ordering column alone, and kept beside the log; the last
-        step has no lower border.  Values equal to ``low`` are copied with it.  A retry from the
-        same cursor is the same batch.  A paused, failed or completed job reads nothing.  Rows
-        a rule cannot express, or that do not fit, count as processed, and go to ``reject_dir``
-        with their reason if it is given.
+        A step copies some pages, is a batch of its own, and has an entry in the log with the new
+        cursor and count.  Pages are consecutive value ranges, so that consecutive steps are one
+        filtered scan: ``low <= column < cursor`` reaches the source as a pushed filter, and the
+        rows of all destinations are staged in that one job, which also counts them by step.  A run
+        begins with a round of one step, and each round has ``ROUND_GROWTH`` times the steps of the
+        one before, within ``PAGES_PER_STEP`` pages; what stops the run loses a round at most.  A
+        round that fails is taken up again from a single step, so that only a step that fails
+        alone fails the job, with all steps before it copied and logged.
+
+        Page borders are planned once per job, from the ordering column alone, and kept beside the
+        log; the last step has no lower border.  Values equal to ``low`` are copied with it.  A
+        retry of a step is the same batch, in whichever round.  A paused, failed or completed job
+        reads nothing; a pause meanwhile takes effect after the round.  Rows a rule cannot express,
+        or that do not fit, count as processed, and go to ``reject_dir`` with their reason if it is
+        given.  A script gets the rows of one step at a time.
         """
         job = self.get(job_id)
         if job is None:
             raise LookupError(f"no job {job_id}")
-        left = max_pages
+        single = has_script(self.mapping.by_source(job["source_table"]))
+        left, size = max_pages, 1
         while job["status"] in ("pending", "running") and left != 0:
-            pages = pages_per_step if left is None else min(left, pages_per_step)
-            job = self._copy_step(job, source, pages, replica_dir, schemas, defaults, reject_dir, keys, views)
-            left = None if left is None else left - pages
+            done = self._copy_round(job, source, 1 if single else size, left, pages_per_step, replica_dir, schemas,
+                                    defaults, reject_dir, keys, views)
+            if done is None:
+                job, size = self.get(job_id), 1
+                continue
+            job, steps = done
+            size = min(ROUND_GROWTH * size, ROUND_STEPS)
+            left = None if left is None else max(0, left - steps * pages_per_step)
         return job
 
     def origin(self, job_id: int) -> str:
         """The name of a job's batches: job ids are unique within a log folder."""
         return f"backfill-{hashlib.sha1(self.log_dir.encode()).hexdigest()[:12]}-{job_id}"
 
-    def _copy_step(self, job: Row, source: DataFrame, pages: int, replica_dir: str, schemas: Schemas,
-                   defaults: Defaults | None, reject_dir: str | None, keys: Keys | None,
-                   views: Iterable[LoadedRows]) -> Row:
+    def _copy_round(self, job: Row, source: DataFrame, size: int, left: int | None, pages_per_step: int,
+                    replica_dir: str, schemas: Schemas, defaults: Defaults | None, reject_dir: str | None,
+                    keys: Keys | None, views: Iterable[LoadedRows]) -> tuple[Row, int] | None:
+        """Up to ``size`` steps: the job's new state and how many there were; none if several failed together."""
         if job["status"] != "running":
             job = self._update(job, status="running")
-        col, origin = job["ordering_column"], self.origin(job["job_id"])
+        col, origin, table = job["ordering_column"], self.origin(job["job_id"]), job["source_table"]
         rest = source.filter(F.col(col).isNotNull())
         if job["cursor"] is not None:
             rest = rest.filter(F.col(col) < _literal(job["cursor"], source, col))
         stage = f"{self.log_dir}/_stage/{job['job_id']}"
+        lows: list[Row | None] = [None]
         try:
-            low = self._border(job, rest, pages)
-            if low is not None:
-                rest = rest.filter(F.col(col) >= _literal(low["text"], source, col))
+            lows = self._borders(job, rest, size, left, pages_per_step)
+            texts = [low["text"] for low in lows if low is not None]
+            if lows[-1] is not None:
+                rest = rest.filter(F.col(col) >= _literal(texts[-1], source, col))
+            batches = [_step_batch(cursor, low["text"] if low is not None else None)
+                       for cursor, low in zip([job["cursor"], *texts], lows)]
             seen = Observation(f"{origin}-{job['processed_rows']}-{job['event_no']}")
-            rest = rest.observe(seen, F.count(F.lit(1)).alias("rows"), F.min(col).alias("low"),
-                                F.min(col).cast("string").alias("text"))
-            stage_wire(wire_table(rest, job["source_table"], self.mapping), stage, origin,
-                       _step_batch(job["cursor"], low["text"] if low is not None else None))
-            drain(self.spark, stage, replica_dir, schemas, defaults, keys=keys, reject_dir=reject_dir, views=views)
+            found = [F.count(F.lit(1)).alias("rows"), F.min(col).alias("low"), F.min(col).cast("string").alias("text")]
+            clear_stage(self.spark, stage)
+            if len(lows) == 1:
+                stage_wire(wire_table(rest.observe(seen, *found), table, self.mapping), stage, origin, batches[0])
+            else:
+                # Room for more values than there are steps: all are tracked, so the counts are exact.
+                by_step = F.call_function("approx_top_k", F.col(STEP), F.lit(2 * ROUND_STEPS), F.lit(4 * ROUND_STEPS)).alias("steps")
+                staged = _with_step(rest, col, texts).observe(seen, *found, by_step)
+                sent = F.inline(wire_of(table, self.mapping.by_source(table), {f.name: f.dataType for f in rest.schema.fields}))
+                batch = F.get(_constant(batches, T.LongType()), F.col(STEP))
+                stage_wire(staged.select(batch.alias("batch_id"), sent), stage, origin)
+            drain(self.spark, stage, replica_dir, schemas, defaults, keys=keys, reject_dir=reject_dir, views=views,
+                  report_failure=len(lows) == 1)
         except Exception as error:
+            if len(lows) > 1:
+                return None
             self._update(job, status="failed", error_message=str(error))
             raise
         done = {"rows": 0, "low": None, "text": None, **seen.get}
+        counts = {0: done["rows"]} if len(lows) == 1 else {r["item"]: r["count"] for r in done.get("steps") or ()}
+        if sum(counts.values()) != done["rows"]:
+            raise RuntimeError(f"rows by step do not make up the {done['rows']} of the round")
         now = self.get(job["job_id"])  # paused meanwhile: keep that, and the progress made
-        status = "paused" if now["status"] == "paused" else "completed" if low is None else "running"
-        # The border counts even if its rows are gone: otherwise the job would not move.
-        reached = low if low is not None else done
-        moved = _position(reached["low"], reached["text"]) if reached["low"] is not None else {}
-        return self._update(now, status=status, processed_rows=job["processed_rows"] + done["rows"], **moved)
-
-    def _border(self, job: Row, rest: DataFrame, max_pages: int) -> Row | None:
-        """Least value of the next ``max_pages`` pages; none if they are the last ones."""
+        changes, processed = [], job["processed_rows"]
+        for step, low in enumerate(lows):
+            processed += counts.get(step, 0)
+            status = "paused" if now["status"] == "paused" else "completed" if low is None else "running"
+            # The border counts even if its rows are gone: otherwise the job would not move.
+            reached = low if low is not None else done if counts.get(step) else {"low": None}
+            moved = _position(reached["low"], reached["text"]) if reached["low"] is not None else {}
+            changes.append({"status": status, "processed_rows": processed, **moved})
+        return self._update_all(now, changes), len(lows)
+
+    def _planned(self, job: Row, rest: DataFrame) -> DataFrame:
+        """The job's pages with their least values, planned the first time."""
         path = f"{self.log_dir}/_pages/{job['job_id']}"
         if not folders.exists(self.spark, f"{path}/_SUCCESS"):
             col, key = job["ordering_column"], job["primary_key"]
             pages = plan_pages(rest, col, job["batch_size"], unique=col == key, key=key if key in rest.columns else None)
             pages.select("page", "last_id").write.mode("overwrite").parquet(path)
-        pages = self.spark.read.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def _borders(self, job: Row, rest: DataFrame, size: int, left: int | None, pages_per_step: int) -> list[Row | None]:
+        """Least values of the next steps, ``size`` at most; none for the step of the last pages."""
+        pages = self._planned(job, rest)
         ahead = pages
         if job["cursor"] is not None:
             ahead = pages.filter(F.col("last_id") < _literal(job["cursor"], pages, "last_id"))
         ends = ahead.agg(F.min("page").alias("first"), F.max("page").alias("last")).first()
-        if ends["first"] is None or ends["first"] + max_pages > ends["last"]:
-            return None
-        border = pages.filter(F.col("page") == ends["first"] + max_pages - 1)
-        return border.select(F.col("last_id").alias("low"), F.col("last_id").cast("string").alias("text")).first()
+        first, last, lows = ends["first"], ends["last"], []
+        least = pages_per_step if left is None else min(left, pages_per_step)
+        if first is None or first + least > last:
+            return [None]
+        # The last pages of the steps, one by one only where pages end at equal values.
+        reach = max(least, min(size * pages_per_step, PAGES_PER_STEP, left or PAGES_PER_STEP))
+        one = F.col("page") == first + least - 1
+        wanted = one if reach == least else F.col("page").between(first, first + reach)
+        found = pages.filter(wanted).select("page", F.col("last_id").alias("low"), F.col("last_id").cast("string").alias("text"))
+        by_page = {r["page"]: r for r in found.toLocalIterator()}
+        at = first
+        while len(lows) < size and left != 0:
+            count = pages_per_step if left is None else min(left, pages_per_step)
+            if at + count > last:
+                return [*lows, None]
+            low = by_page.get(at + count - 1)
+            if low is None:
+                break
+            lows.append(low)
+            left = None if left is None else left - count
+            at += count
+            while at in by_page and by_page[at]["text"] == low["text"]:
+                at += 1
+        return lows
+
+
+def _with_step(rows: DataFrame, col: str, lows: Sequence[str]) -> DataFrame:
+    """The rows with the number of their step: how many of the falling borders lie above the value.
+
+    A search by halves in the rising borders, each half a column of compiled code.
+    """
+    dtype, n = rows.schema[col].dataType, len(lows)
+    borders = _constant(lows[::-1], dtype)
+    rows = rows.withColumn(STEP, F.lit(0))
+    for bit in reversed(range(n.bit_length())):
+        here = F.get(borders, F.col(STEP) + (2 ** bit - 1))
+        rows = rows.withColumn(STEP, F.col(STEP) + F.when(here <= F.col(col), 2 ** bit).otherwise(0))
+    return rows.withColumn(STEP, F.lit(n) - F.col(STEP))
+
+
+def _constant(values: Sequence[Any], dtype: T.DataType) -> Column:
+    """A list as one constant, its elements read from text as ``_literal`` does."""
+    return F.from_json(F.lit(json.dumps([str(v) for v in values])), "array<string>").cast(T.ArrayType(dtype))
 
 
 def _position(value: Any, text: str | None = None) -> dict[str, Any]:

@@ -58,14 +58,15 @@ def _event_file(job_id: int | str, event_no: int | str) -> str:
     return f"{job_id}-{event_no}.json"
 
 
-def append_job_event(spark: SparkSession, log_dir: str, event: dict[str, Any]) -> None:
-    """Add one event as a file of its own; fields not given are null.
+def append_job_event(spark: SparkSession, log_dir: str, *events: dict[str, Any]) -> None:
+    """Add one event, or consecutive ones of a job, as a file of their own; fields not given are null.
 
-    The file is named by job and event number, so two writers cannot both add an event.
+    The file is named by job and number of the first event and appears whole, so two writers
+    cannot both add an event: who has not read the last one collides with the first.
     """
-    row = {f.name: event[f.name] for f in JOB_SCHEMA.fields if event.get(f.name) is not None}
-    text = json.dumps(row, default=lambda moment: moment.astimezone(timezone.utc).isoformat())
-    folders.write_new(spark, log_dir, _event_file(event["job_id"], event["event_no"]), text)
+    rows = ({f.name: event[f.name] for f in JOB_SCHEMA.fields if event.get(f.name) is not None} for event in events)
+    lines = [json.dumps(row, default=lambda moment: moment.astimezone(timezone.utc).isoformat()) for row in rows]
+    folders.write_new(spark, log_dir, _event_file(events[0]["job_id"], events[0]["event_no"]), "\n".join(lines))
 
 
 def read_job_log(spark: SparkSession, log_dir: str, job_id: int | None = None) -> DataFrame:

@@ -82,16 +82,19 @@ def joined(parts: Iterable[Ranges]) -> Ranges:
 def without(one: Ranges, two: Ranges) -> Ranges:
     """The batches of ``one`` that ``two`` does not name."""
     out: Ranges = {}
+    taken = joined([two])
     for origin, spans in joined([one]).items():
         left: list[list[int]] = []
-        gaps = joined([two]).get(origin, [])
+        gaps, at = taken.get(origin, []), 0
         for low, high in spans:
-            for start, end in gaps:
-                if end < low or start > high:
-                    continue
+            while at < len(gaps) and gaps[at][0] <= high:
+                start, end = gaps[at]
                 if start > low:
                     left.append([low, start - 1])
-                low = end + 1
+                low = max(low, end + 1)
+                if end > high:  # the next span may begin in it
+                    break
+                at += 1
             if low <= high:
                 left.append([low, high])
         if left:

@@ -193,6 +193,13 @@ def drop_segments(spark: SparkSession, stage_dir: str, dest: str, names: Iterabl
             folders.remove(spark, f"{stage_dir}/dest_table={dest}/segment={name}")
 
 
+def clear_stage(spark: SparkSession, stage_dir: str) -> None:
+    """Remove what is staged for destinations; refused rows stay until a drain takes them."""
+    for dest in folders.partitions(spark, stage_dir, "dest_table"):
+        if dest != REJECTED:
+            folders.remove(spark, f"{stage_dir}/dest_table={dest}")
+
+
 def staged_name_parts(file_name: Column) -> tuple[Column, Column]:
     """(time text, table) out of a flat staged-file name, ``<time>_<table>.json``.
 
@@ -269,21 +276,23 @@ def _withdraw(spark: SparkSession, replica_dir: str, dest: str, name: str, views
 def load_batch(spark: SparkSession, stage_dir: str, replica_dir: str, dest: str, schema: T.StructType,
                batches: loads.Ranges | None = None, defaults: Dict[str, Any] | None = None, *,
                keys: Sequence[str] = (), reject_dir: str | None = None,
-               views: Iterable[LoadedRows] = ()) -> int:
+               views: Iterable[LoadedRows] = (), report_failure: bool = True) -> int:
     """Load staged batches of one destination, all by default, as one load; then drop their segments.
 
     Batches already loaded are not loaded again, nor are those that another load commits before
     this one does.  With ``reject_dir``, rows with values that do not parse or without a key go
     there with their reason, and the rest is loaded.  Without it such a value fails the load:
     nothing is committed, the segments stay, and the batches and their ids are reported under
-    ``<replica>/_failed``.  Returns the number of batches loaded.
+    ``<replica>/_failed``, unless the caller says that it tries them one by one.  Returns the
+    number of batches loaded.
     """
     names = segments(spark, stage_dir, dest)
     wanted = _held_ranges(_segment_rows(spark, stage_dir, dest, names)) if batches is None else batches
     known = loads.manifest(spark, replica_dir, dest)
     fresh, done = loads.without(wanted, known.batches()), None
     if fresh:
-        staged = read_staged(spark, stage_dir, dest, schema, fresh, names)
+        whole = batches is None and fresh == wanted  # then the segments hold nothing else
+        staged = read_staged(spark, stage_dir, dest, schema, None if whole else fresh, names)
         keep = (ORIGIN, BATCH)
         try:
             if reject_dir is None:
@@ -311,7 +320,8 @@ def load_batch(spark: SparkSession, stage_dir: str, replica_dir: str, dest: str,
 
                 done = _append(fitted(good, schema, defaults, keep), replica_dir, dest, fresh, known, views, keep_rejects)
         except Exception:
-            _report_failure(staged, replica_dir, dest, schema)
+            if report_failure:
+                _report_failure(staged, replica_dir, dest, schema)
             raise
     if batches is None:
         for name in names:
@@ -340,7 +350,7 @@ def loaded_report(spark: SparkSession, replica_dir: str, dest: str, schema: T.St
 
 def drain(spark: SparkSession, stage_dir: str, replica_dir: str, schemas: Schemas,
           defaults: Defaults | None = None, *, keys: Keys | None = None, reject_dir: str | None = None,
-          held: Iterable[str] = (), views: Iterable[LoadedRows] = ()) -> dict[str, int]:
+          held: Iterable[str] = (), views: Iterable[LoadedRows] = (), report_failure: bool = True) -> dict[str, int]:
     """Load everything staged for destinations not held: destination → number of batches loaded.
 
     What the rules refused moves from the stage to ``reject_dir``.
@@ -355,7 +365,7 @@ def drain(spark: SparkSession, stage_dir: str, replica_dir: str, schemas: Schema
             continue
         done[dest] = load_batch(spark, stage_dir, replica_dir, dest, schemas[dest], None,
                                 (defaults or {}).get(dest), keys=(keys or {}).get(dest, ()),
-                                reject_dir=reject_dir, views=views)
+                                reject_dir=reject_dir, views=views, report_failure=report_failure)
     return done
 
 
