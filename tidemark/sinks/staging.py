@@ -218,7 +218,9 @@ def read_staged_files(spark: SparkSession, path: str, schema: T.StructType | str
 
 def write_rejects(rejected: DataFrame, reject_dir: str, kind: str) -> None:
     """Keep rejected rows (with their origin and batch), replacing those of an earlier attempt."""
-    _replace(rejected.withColumn("kind", F.lit(kind)), reject_dir, "json", "kind", ORIGIN, BATCH)
+    # A batch goes to few tasks, a large one to several: not a file of every batch from every task.
+    together = rejected.hint("rebalance", ORIGIN, BATCH)
+    _replace(together.withColumn("kind", F.lit(kind)), reject_dir, "json", "kind", ORIGIN, BATCH)
 
 
 def write_replica(df: DataFrame, replica_dir: str, dest: str, origin: str, batch_id: int,
