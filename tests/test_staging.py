@@ -338,3 +338,12 @@ def test_of_two_merges_one_is_announced(spark, dirs, tmp_path, monkeypatch):
     write_replica(rows_a(spark, 0, 3), replica, "a", "s", 2, [view])
     view.merge(spark)
     assert [r["n"] for r in view.read(spark).collect()] == [9]
+
+
+def test_rejects_of_many_batches_are_a_file_each(spark, tmp_path):
+    from tidemark.sinks.staging import write_rejects
+    rows = spark.range(0, 400, 1, 8).select(F.lit("o").alias("load_origin"), (F.col("id") % 10).alias("load_batch"),
+                                            F.lit("bad").alias("reject_reason"))
+    write_rejects(rows, str(tmp_path / "rejects"), "load-x")
+    assert spark.read.json(str(tmp_path / "rejects")).groupBy("load_batch").count().filter("count = 40").count() == 10
+    assert len(list((tmp_path / "rejects").rglob("part-*.json"))) == 10
