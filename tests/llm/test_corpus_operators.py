@@ -107,6 +107,42 @@ def test_texts_that_share_a_passage_meet_by_their_rare_shingles(spark, monkeypat
     assert work[300] <= 2.5 * work[150] + 1000  # not four times
 
 
+def test_texts_just_below_the_threshold_meet_by_what_the_smaller_one_needs(spark, monkeypatch):
+    """Most of a text is the shared passage: its prefix reaches into it, what two of them can share does not."""
+    met, pairs_of = [], near_duplicates._member_pairs
+
+    def watched(members, chosen, similarity):
+        one = chosen.select("band", near_duplicates.F.col("label").alias("p"))
+        two = members.select("band", near_duplicates.F.col("label").alias("q"))
+        met.append(one.join(two, "band").filter("p != q").count())
+        return pairs_of(members, chosen, similarity)
+    monkeypatch.setattr(near_duplicates, "_member_pairs", watched)
+    work, passage = {}, prose(120, 78)
+    for n in (200, 400):
+        met.clear()
+        rows = [(i, passage + " " + prose(20, 2000 + i)) for i in range(n)]
+        rows += [(10_000 + i, edited(rows[i][1], 0.03, i)) for i in range(0, n, 10)]
+        docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+        got = near_duplicates.near_duplicates(docs, size=2).collect()
+        assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == brute_components(rows, 2)
+        work[n] = sum(met)
+    assert work[400] <= 2.5 * work[200] + 1000  # not four times
+
+
+def test_the_join_that_screens_pairs_can_be_compiled(spark, capsys):
+    """The JVM interprets methods of more than 8,000 bytes."""
+    rows = spark.createDataFrame([(1, i, i, 50, [i] * near_duplicates.SKETCH_LONGS) for i in range(3)],
+                                 "band LONG, node LONG, label LONG, n_shingles LONG, sketch ARRAY<LONG>")
+    pairs = near_duplicates._member_pairs(rows, rows, 0.8)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan shows no code before it runs
+    try:
+        pairs.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_empty_table_has_no_components(spark):
     docs = spark.createDataFrame([], "doc_id LONG, text STRING")
     assert near_duplicates.near_duplicates(docs).collect() == []

@@ -16,10 +16,11 @@
    band value has at most ``FEW`` members.
 5. Larger ones, such as that of a passage which thousands of otherwise different texts share, are
    refined by exact prefix filtering: of a set of n shingles, in order of rarity, two sets at the
-   threshold share one among the first n - ceil(threshold * n) + 1 of either.  Members meet only
-   if they share such a rare shingle, and are in different components; what they all share comes
-   last in that order and brings nobody together.  So every pair of a band value is either
-   tested, already connected, or proven too dissimilar.
+   threshold share one among the first n - ceil(threshold * n) + 1 of either, and among still fewer
+   of the smaller one.  Members meet only if they share such a rare shingle, and are in different
+   components; what they all share comes last in that order and brings nobody together.  Where they
+   meet, the places of that shingle bound what they can share (positional filter).  So every pair of
+   a band value is either tested, already connected, or proven too dissimilar.
 
 A link at just 0.8 shares no band value with a chance of six in a million (56 bands of 6 out of
 192 samples, simulated), a closer one with less; the screen lets through what lies up to 4.5
@@ -175,8 +176,8 @@ def fingerprints(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFram
 
 def _alike(similarity: float) -> Column:
     """Whether sets of sizes m and n with the sketches a and b may be that similar."""
-    odd = sum((F.bit_count(F.get("a", k).bitwiseXOR(F.get("b", k))) for k in range(1, SKETCH_LONGS)),
-              F.bit_count(F.get("a", 0).bitwiseXOR(F.get("b", 0))))
+    # Written out for each of the longs, the code of a join would be too long for the JVM to compile.
+    odd = F.aggregate(F.zip_with("a", "b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     sizes = F.least("m", "n") >= F.greatest("m", "n") * similarity - 1e-6
     return sizes & (odd <= _most_odd_bits(F.col("m"), F.col("n"), similarity))
 
@@ -258,7 +259,7 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _prefixes(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
-    """(node, band) for each node's rarest shingles, as many as the prefix filter needs, that another one has too."""
+    """(node, band, rank) for each node's rarest shingles, as many as the prefix filter needs, that another one has too."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for node, raw in zip(batch.column(0), batch.column(1).cast(pa.binary())):
@@ -270,11 +271,11 @@ def _prefixes(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, size: i
     texts = _wanted(docs.select(_key(doc_id, text).alias("key"), F.col(text).cast("string").alias("text")), keys) \
         .join(keys.distinct(), "key", "left_semi").select("key", "text")
     rows = stored(texts.mapInArrow(run, "node long, n long, band long").distinct(), "shingles")
-    common = rows.groupBy("band").agg(F.count(F.lit(1)).alias("holders"))
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("holders", "band"))
+    common = stored(rows.groupBy("band").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1"), "holders")
+    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.col("holders").asc_nulls_first(), "band"))
     first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    rare = rows.join(common, "band").withColumn("rank", rank).filter(F.col("rank") <= first).select("node", "band", "holders")
-    return rare.filter("holders > 1").select("node", "band")
+    rare = rows.join(common, "band", "left").withColumn("rank", rank).filter(F.col("rank") <= first)
+    return rare.filter("holders > 1").select("node", "band", F.col("rank").cast("long").alias("rank"))
 
 
 def _unsettled(members: DataFrame) -> DataFrame:
@@ -287,16 +288,52 @@ def _unsettled(members: DataFrame) -> DataFrame:
 
 def _member_pairs(members: DataFrame, chosen: DataFrame, similarity: float) -> DataFrame:
     """Pairs of the chosen members with those of other components of their band value, screened
-    where they meet: only pairs that may be links come out of the join."""
+    where they meet: only pairs that may be links come out of the join.
+
+    Rows may have a ``rank``, the place of their band value in the node's order of shingles.  Then
+    the chosen one is the smaller set, and nothing that ranks before the band value is counted as
+    shared: two sets have no more in common than what is left of either from there on.
+    """
+    ranked = "rank" in members.columns
     one = chosen.select("band", F.col("node").alias("u"), F.col("label").alias("p"), F.col("n_shingles").alias("m"),
-                        F.col("sketch").alias("a"))
+                        F.col("sketch").alias("a"), *([F.col("rank").alias("i")] if ranked else []))
     two = members.select("band", F.col("node").alias("v"), F.col("label").alias("q"), F.col("n_shingles").alias("n"),
-                         F.col("sketch").alias("b"))
+                         F.col("sketch").alias("b"), *([F.col("rank").alias("j")] if ranked else []))
     other = (F.col("p") != F.col("q")) & (F.col("u") != F.col("v"))
+    if ranked:
+        smaller = (F.col("m") < F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("u") < F.col("v")))
+        left = F.least(F.col("m") - F.col("i"), F.col("n") - F.col("j")) + 1
+        other = other & smaller & (left >= _least_common(F.col("m") + F.col("n"), similarity))
     return one.join(two, "band").filter(other & _alike(similarity)) \
         .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
+def _least_common(sizes: Column, similarity: float) -> Column:
+    """What two sets at the similarity have in common at the least, by the sum of their sizes."""
+    return sizes * (similarity / (1 + similarity)) - 1e-6
+
+
+def _rare_pairs(rare: DataFrame, similarity: float) -> DataFrame:
+    """Screened pairs of different components that share a rare shingle (``band``).
+
+    The smaller set of a pair shares one at a place that leaves enough even for a partner of its
+    own size.  Those of a shingle's main component meet only what is outside it.
+    """
+    by_label = rare.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
+    mains = stored(by_label.groupBy("band").agg(F.count(F.lit(1)).alias("parts"),
+                                                F.max_by("label", F.struct("n", "label")).alias("main"))
+                   .filter("parts > 1").select("band", "main"), "mains")
+    outside = F.col("label") != F.col("main")
+    rows = rare.join(mains, "band")
+
+    def met(rows: DataFrame, kind: Column) -> DataFrame:
+        return rows.select(F.xxhash64("band", kind).alias("band"), "node", "label", "n_shingles", "sketch", "rank")
+    everyone, outsiders = met(rows, F.lit(0)), met(rows.filter(outside), F.lit(1))
+    enough = F.col("n_shingles") - F.col("rank") + 1 >= _least_common(2 * F.col("n_shingles"), similarity)
+    chosen = met(rows.filter(enough), F.when(outside, 0).otherwise(1))
+    return _member_pairs(everyone.unionAll(outsiders), chosen, similarity)
+
+
 def component_table(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS,
                     percent: int = PERCENT) -> DataFrame:
     """Per row: key, doc_id, n_shingles, its component's least key and least doc_id."""
@@ -340,9 +377,7 @@ def component_table(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
             chosen = members.filter("label != main")
             if not large.isEmpty():
                 rare = stored(_prefixes(large, docs, doc_id, text, size, percent), "rare")
-                met = rare.join(rare.groupBy("band").agg(F.count(F.lit(1)).alias("held")).filter("held > 1"), "band") \
-                    .join(large, "node").join(sketches, "node").select("band", "node", "label", "n_shingles", "sketch")
-                refined = _member_pairs(met, met, similarity)
+                refined = _rare_pairs(rare.join(large, "node").join(sketches, "node"), similarity)
         pairs = _member_pairs(members, chosen, similarity)
         if refined is not None:
             pairs = pairs.unionByName(refined).distinct()
